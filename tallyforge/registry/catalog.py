@@ -40,4 +40,4 @@ def money(expression: str, places: int = 2) -> str:
 
 def half_up(expression: str) -> str:
     """SQL for rounding a double to two places half up on its printed value."""
-    return f"CAST(ROUND(CAST({expression} AS DECIMAL(18, 6)), 2) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 15)), 2) AS DOUBLE)"

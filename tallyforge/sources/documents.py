@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyforge.session import at_least_parallel
+
 # The parser travels to the executors by value, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -97,7 +99,7 @@ def flatten_till_documents(documents: DataFrame, text: Column | str = "text") ->
     Columns of ``documents`` other than the text stay in front.
     """
     carried = [c for c in documents.columns if not isinstance(text, str) or c != text]
-    items = documents.select(*carried, F.explode(parse_till_document(text)).alias("item"))
+    items = at_least_parallel(documents).select(*carried, F.explode(parse_till_document(text)).alias("item"))
     return items.select(*carried, "item.*")
 
 

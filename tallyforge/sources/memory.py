@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def table_from_rows(
@@ -26,8 +25,8 @@ def table_from_rows(
         {n: row.get(n) for n in names} if isinstance(row, Mapping) else dict(zip(names, row, strict=True))
         for row in rows
     ]
-    arrow = pa.Table.from_pylist(records, schema=to_arrow_schema(struct, timezone="UTC"))
-    return spark.createDataFrame(arrow, schema=struct)
+    columns = pa.table({n: pa.array([record[n] for record in records]) for n in names})
+    return spark.createDataFrame(columns, schema=struct)
 
 
 def rates_table(spark: SparkSession, rates: Mapping[str, float]) -> DataFrame:

@@ -63,7 +63,7 @@ def difference(spark, connection, base: str, name: str) -> str | None:
 def main(base: str, wanted: list[str]) -> int:
     from tallyforge.session import build_session
 
-    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     connection, failed = connect(base), 0
     for name in wanted or contract.queries():
