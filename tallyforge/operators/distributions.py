@@ -10,7 +10,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.operators.quantiles import quantiles_of_counts, spread, value_counts
+from tallyforge.operators.quantiles import beside, exact_quantiles, spread
+from tallyforge.session import stage_table
 from tallyforge.sources.memory import table_from_rows
 
 
@@ -83,27 +84,32 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 def box_plot(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Per group: size, quartiles (linear), whiskers within 1.5 interquartile ranges, outlier count."""
-    counts = value_counts(df, value, by)
-    quartiles = spread(
-        quantiles_of_counts(counts, [0.25, 0.5, 0.75], by, interpolate=True), by, {0.25: "q1", 0.5: "median", 0.75: "q3"}
-    )
+    by = list(by)
+    names = {0.25: "q1", 0.5: "median", 0.75: "q3"}
+    quartiles = stage_table(spread(exact_quantiles(df, value, list(names), by, interpolate=True), by, names), "quartiles")
+    rows = df.select(*by, F.col(value).alias("value")).filter(F.col("value").isNotNull())
+    x = F.col("value")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    x, n = F.col("value"), F.col("n")
     inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
-    values = counts.select(*[F.col(f"grp.{b}").alias(b) for b in by], "value", "n")
     return (
-        values.join(quartiles, list(by))
+        beside(rows, quartiles, by)
         .groupBy(*by, "q1", "median", "q3")
         .agg(
-            F.sum("n").alias("count"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
+            F.count("*").alias("count"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
             F.min(F.when(inside, x)).alias("lowest_inside"),
             F.max(F.when(inside, x)).alias("highest_inside"),
-            F.sum(F.when(inside, 0).otherwise(n)).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
         .select(
-            *by, "count", "min", "q1", "median", "q3", "max",
+            *by,
+            "count",
+            "min",
+            "q1",
+            "median",
+            "q3",
+            "max",
             F.least("lowest_inside", "q1").alias("whisker_low"),
             F.greatest("highest_inside", "q3").alias("whisker_high"),
             "outliers",

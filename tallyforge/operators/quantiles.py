@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.session import stage_table
 
-_SLICES = 64
+# A sketch of this accuracy is off by at most 1/10000 of the rows; brackets reach five times as far.
+_ACCURACY = 10_000
+_REACH = 5 / _ACCURACY
+# Below this size the reach is only a few rows, so the bracket is the whole group.
+_SMALL = 20_000
 
 
 def approx_quantiles(
@@ -17,7 +21,7 @@ def approx_quantiles(
     value: str,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    accuracy: int = 10_000,
+    accuracy: int = _ACCURACY,
 ) -> DataFrame:
     """Long rows (``by``, ``p``, ``value``) from one partial-and-final aggregate; rank error 1/accuracy."""
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
@@ -26,20 +30,6 @@ def approx_quantiles(
     return sketch.select(*by, pairs.alias("q")).select(*by, "q.p", "q.value")
 
 
-def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Written table of the distinct non-null values per group with their frequencies.
-
-    Equal values collapse before the shuffle, so a hot value or group costs no more than others.
-    """
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("value"))
-        .agg(F.count("*").alias("n"))
-        .select(F.struct(*by, F.lit(0).alias("_all")).alias("grp"), "value", "n")
-    )
-    return stage_table(counted, "value-counts")
-
-
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -50,46 +40,51 @@ def exact_quantiles(
     """Long rows (``by``, ``p``, ``value``) with exact quantiles.
 
     Discrete by default (the least value whose cumulative share reaches p); with ``interpolate``
-    linear between neighbours.
-    """
-    return quantiles_of_counts(value_counts(df, value, by), probabilities, by, interpolate)
-
-
-def quantiles_of_counts(
-    counts: DataFrame,
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    interpolate: bool = False,
-) -> DataFrame:
-    """Exact quantiles from :func:`value_counts`.
+    linear between neighbours. ``df`` is read twice; store it first if it is costly.
 
-    The values of each group are cut into slices at sketch pivots. Slice totals, a bounded
-    number per group, tell which slice holds each wanted rank; only those slices are sorted.
+    The first pass sketches each group and so brackets every quantile between two values that
+    are a thousandth of the rows apart. The second counts the rows below each bracket and the
+    distinct values inside. Only those values are shuffled and sorted.
     """
-    pivots = counts.groupBy("grp").agg(
-        F.percentile_approx("value", F.array(*[F.lit(i / _SLICES) for i in range(1, _SLICES)]), 1_000).alias("cut")
+    by = list(by)
+    rows = df.select(*by, F.col(value).alias("value")).filter(F.col("value").isNotNull())
+    brackets = stage_table(_brackets(rows, probabilities, by), "quantile-brackets")
+
+    spots = range(len(probabilities))
+    x = F.col("value")
+    inside = F.lit(False)
+    for i in spots:
+        inside = inside | x.between(F.col(f"low{i}"), F.col(f"high{i}"))
+    counted = (
+        beside(rows, brackets, by)
+        .groupBy(*by, F.when(inside, x).alias("kept"))
+        .agg(F.count("*").alias("n"), *[F.count_if(x < F.col(f"low{i}")).alias(f"below{i}") for i in spots])
     )
-    sliced = counts.join(pivots, "grp").select(
-        "grp", F.size(F.filter("cut", lambda c: c < F.col("value"))).alias("slice"), "value", "n"
+    counted = stage_table(counted, "quantile-candidates")
+    below = counted.groupBy(*by).agg(*[F.sum(f"below{i}").alias(f"below{i}") for i in spots])
+
+    candidates = counted.filter(F.col("kept").isNotNull()).select(*by, "kept", "n")
+    placed = beside(beside(candidates, brackets, by), below, by).select(
+        *by, "kept", "n", F.explode(F.array(*[_spot(i, p, interpolate) for i, p in enumerate(probabilities)])).alias("s")
     )
-    spans = _spans(sliced.groupBy("grp", "slice").agg(F.sum("n").alias("n")), ["grp"], "slice")
-    ranks = _wanted_ranks(counts, probabilities, interpolate)
-    homes = (
-        spans.join(ranks, "grp")
-        .filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
-        .select("grp", "slice", "before", "p", "rank", "share")
+    ordered = placed.filter(F.col("kept").between(F.col("s.low"), F.col("s.high"))).select(
+        *by, "kept", "n", "s.p", "s.below", "s.rank", "s.next_rank", "s.share"
     )
-    holders = sliced.join(homes.select("grp", "slice").distinct(), ["grp", "slice"])
-    within = _spans(holders, ["grp", "slice"], "value").withColumnRenamed("before", "inside")
-    rank_inside = F.col("rank") - F.col("before")
-    found = (
-        within.join(homes, ["grp", "slice"])
-        .filter((rank_inside > F.col("inside")) & (rank_inside <= F.col("inside") + F.col("n")))
-        .groupBy("grp", "p")
-        .agg(F.min_by("value", "rank").alias("lo"), F.max_by("value", "rank").alias("hi"), F.max("share").alias("share"))
+    earlier = Window.partitionBy(*by, "p").orderBy("kept").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("below") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    spans = ordered.withColumn("start", start)
+
+    def at(rank: str):
+        holds = (F.col(rank) > F.col("start")) & (F.col(rank) <= F.col("start") + F.col("n"))
+        return F.max(F.when(holds, F.col("kept")))
+
+    found = spans.groupBy(*by, "p").agg(
+        at("rank").alias("lower"), at("next_rank").alias("upper"), F.max("share").alias("share")
     )
-    result = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("share") if interpolate else F.col("lo")
-    return found.select(*[F.col(f"grp.{b}").alias(b) for b in by], "p", result.alias("value"))
+    lost = F.raise_error(F.lit("a quantile fell outside its bracket"))
+    lower, upper = F.coalesce("lower", lost), F.coalesce("upper", lost)
+    result = lower + (upper - lower) * F.col("share") if interpolate else lower
+    return found.select(*by, "p", result.alias("value"))
 
 
 def spread(long: DataFrame, by: Sequence[str], names: dict[float, str]) -> DataFrame:
@@ -97,27 +92,50 @@ def spread(long: DataFrame, by: Sequence[str], names: dict[float, str]) -> DataF
     return long.groupBy(*by).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in names.items()])
 
 
-def _spans(df: DataFrame, group: list[str], order: str) -> DataFrame:
-    """Adds ``before``: how many rows of the group precede this entry."""
-    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+def beside(rows: DataFrame, per_group: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Attach a table of one row per group to the rows of the group; null keys match each other.
 
+    Without keys the one row's columns are scalar subqueries, which needs no join.
+    """
+    added = [c for c in per_group.columns if c not in by]
+    if not by:
+        return rows.withColumns({c: per_group.select(c).scalar() for c in added})
+    keyed = per_group.withColumnsRenamed({b: f"_{b}" for b in by})
+    same = [rows[b].eqNullSafe(keyed[f"_{b}"]) for b in by]
+    return rows.join(keyed, same).select(*rows.columns, *added)
+
+
+def _brackets(rows: DataFrame, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
+    edges = [edge for p in probabilities for edge in (max(p - _REACH, 0.0), min(p + _REACH, 1.0))]
+    sketch = rows.groupBy(*by).agg(
+        F.count("value").alias("size"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
+        F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), _ACCURACY).alias("edges"),
+    )
+    small = F.col("size") <= _SMALL
+    bounds = []
+    for i in range(len(probabilities)):
+        bounds.append(F.when(small, F.col("least")).otherwise(F.col("edges")[2 * i]).alias(f"low{i}"))
+        bounds.append(F.when(small, F.col("most")).otherwise(F.col("edges")[2 * i + 1]).alias(f"high{i}"))
+    return sketch.select(*by, "size", *bounds)
 
-def _wanted_ranks(counts: DataFrame, probabilities: Sequence[float], interpolate: bool) -> DataFrame:
-    """Per group, the 1-based rank (two neighbouring ranks when interpolating) for each p."""
-    size = F.col("size")
 
-    def target(p: float) -> list[Column]:
-        if not interpolate:
-            rank = F.greatest(F.ceil(size * F.lit(p)), F.lit(1))
-            return [F.struct(F.lit(p).alias("p"), rank.alias("rank"), F.lit(0.0).alias("share"))]
-        position = (size - 1) * F.lit(p)
-        share = position - F.floor(position)
-        return [
-            F.struct(F.lit(p).alias("p"), (edge + 1).alias("rank"), share.alias("share"))
-            for edge in (F.floor(position), F.ceil(position))
-        ]
-
-    targets = F.array_distinct(F.array(*[t for p in probabilities for t in target(float(p))]))
-    sizes = counts.groupBy("grp").agg(F.sum("n").alias("size"))
-    return sizes.select("grp", F.explode(targets).alias("t")).select("grp", "t.*")
+def _spot(i: int, p: float, interpolate: bool):
+    """Where a quantile lies in its group: its bracket, the rows below that, and the 1-based rank(s)."""
+    size = F.col("size")
+    if interpolate:
+        position = (size - 1) * F.lit(float(p))
+        rank, next_rank, share = F.floor(position) + 1, F.ceil(position) + 1, position - F.floor(position)
+    else:
+        rank = next_rank = F.greatest(F.ceil(size * F.lit(float(p))), F.lit(1))
+        share = F.lit(0.0)
+    return F.struct(
+        F.lit(float(p)).alias("p"),
+        F.col(f"low{i}").alias("low"),
+        F.col(f"high{i}").alias("high"),
+        F.col(f"below{i}").alias("below"),
+        rank.alias("rank"),
+        next_rank.alias("next_rank"),
+        share.alias("share"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.numbers import lenient_number, product, total
 from tallyforge.operators.aggregates import extremes, leader
 from tallyforge.operators.metrics import long_metrics
-from tallyforge.operators.quantiles import approx_quantiles, exact_quantiles, spread
+from tallyforge.operators.quantiles import approx_quantiles, beside, exact_quantiles, spread
 from tallyforge.session import stage_table
 
 # The names under which metrics are published.
@@ -62,7 +62,7 @@ def till_metrics(totals: DataFrame, till: str = "till", exact: bool = True) -> D
     stored = stage_table(totals, "till-totals")
     find = exact_quantiles if exact else approx_quantiles
     quartiles = spread(find(stored, "total_sold", list(_QUARTILES)), [], _QUARTILES)
-    return _beside(extremes(stored, till, "total_sold", "best_till", "worst_till"), quartiles)
+    return beside(extremes(stored, till, "total_sold", "best_till", "worst_till"), quartiles, [])
 
 
 def product_metrics(
@@ -76,23 +76,27 @@ def product_metrics(
     per_product = lines.groupBy(name).agg(
         total(quantity, places).alias("units"), total(product(quantity, unit_price), places).alias("income")
     )
-    return per_product.agg(
-        leader(name, "units").alias("top_by_units"),
-        leader(name, "income").alias("top_by_income"),
-    )
+    return _product_leaders(per_product, name)
 
 
-def report(lines: DataFrame, on: date, deduplicate: bool = True) -> DataFrame:
+def report(lines: DataFrame, on: date, deduplicate: bool = True, places: int | None = 2) -> DataFrame:
     """All metrics of ``till, product, quantity, unit_price`` lines in long form, dated ``on``.
 
-    ``deduplicate`` merges equal lines first; that also merges genuine repeat purchases.
+    ``deduplicate`` merges equal lines first; that also merges genuine repeat purchases. The
+    lines are read once: both groupings are taken from stored totals per till and product.
     """
     if deduplicate:
         lines = lines.dropDuplicates()
-    row = _beside(till_metrics(totals_by_till(with_sale(lines))), product_metrics(lines))
+    pairs = with_sale(lines).groupBy("till", "product").agg(
+        total("sale", places).alias("sale"), total("quantity", places).alias("quantity")
+    )
+    pairs = stage_table(pairs, "till-product-totals")
+    per_product = pairs.groupBy("product").agg(
+        total("quantity", places).alias("units"), total("sale", places).alias("income")
+    )
+    row = beside(till_metrics(totals_by_till(pairs, places=places)), _product_leaders(per_product, "product"), [])
     return long_metrics(row, METRIC_NAMES, F.lit(on))
 
 
-def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Two one-row tables as one row: the right one's values are scalar subqueries of the left."""
-    return left.withColumns({c: right.select(c).scalar() for c in right.columns})
+def _product_leaders(per_product: DataFrame, name: str) -> DataFrame:
+    return per_product.agg(leader(name, "units").alias("top_by_units"), leader(name, "income").alias("top_by_income"))

@@ -9,6 +9,7 @@ from tallyforge.functions.numbers import mean, product, total
 from tallyforge.operators.aggregates import extremes, group_counts, sum_numeric, tally
 from tallyforge.operators.quantiles import approx_quantiles, exact_quantiles
 from tallyforge.registry.catalog import Catalog, money
+from tallyforge.session import stage_table
 from tallyforge.sources.tables import Tables
 
 catalog = Catalog()
@@ -130,7 +131,8 @@ def agg_argmax_argmin(t: Tables) -> DataFrame:
         UNION ALL SELECT 0.75, quantile_disc(income, 0.75) FROM totals"""
 )
 def percentile_disc_totals(t: Tables) -> DataFrame:
-    return exact_quantiles(tally(t.lineitem, "l_suppkey", income=total("l_extendedprice", 2)), "income", [0.25, 0.5, 0.75])
+    totals = stage_table(tally(t.lineitem, "l_suppkey", income=total("l_extendedprice", 2)), "supplier-totals")
+    return exact_quantiles(totals, "income", [0.25, 0.5, 0.75])
 
 
 @catalog.query(

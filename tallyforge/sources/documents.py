@@ -40,41 +40,42 @@ _ITEM = T.StructType(
 )
 
 
-def _undashed(node):
-    """Both layouts as plain mappings: single-key list entries merge, dashed names lose the dash."""
-    if isinstance(node, dict):
-        return {str(key).removeprefix("- "): _undashed(value) for key, value in node.items()}
-    if isinstance(node, list):
-        return [_undashed(entry) for entry in node]
-    return node
+def _get(mapping: dict, name: str):
+    """A field under its plain or its dashed name."""
+    return mapping[name] if name in mapping else mapping.get("- " + name)
+
+
+def _has(mapping: dict, name: str) -> bool:
+    return name in mapping or "- " + name in mapping
 
 
 def _items(text: str | None) -> list[tuple]:
     try:
-        document = _undashed(yaml.load(text or "", Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader)))
+        document = yaml.load(text or "", Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
     except yaml.YAMLError:
         return [(None, None, None, None, None, "unreadable document")]
     if isinstance(document, list):
         document = {key: value for part in document if isinstance(part, dict) for key, value in part.items()}
-    if not isinstance(document, dict) or TILL not in document or PURCHASES not in document:
+    if not isinstance(document, dict) or not _has(document, TILL) or not _has(document, PURCHASES):
         return [(None, None, None, None, None, "document without till or purchases")]
-    lines = [
-        entry.get(PRODUCT, entry) if isinstance(entry, dict) else None
-        for purchase in document[PURCHASES] or []
-        for entry in (purchase.get(PURCHASE) if isinstance(purchase, dict) else None) or []
+    till = _get(document, TILL)
+    return [
+        _line(till, entry.get(PRODUCT, entry) if isinstance(entry, dict) else None)
+        for purchase in _get(document, PURCHASES) or []
+        for entry in (_get(purchase, PURCHASE) if isinstance(purchase, dict) else None) or []
     ]
-    return [_line(document[TILL], line) for line in lines]
 
 
 def _line(till, line) -> tuple:
     fields = line if isinstance(line, dict) else {}
-    name, sold_on = fields.get(NAME), fields.get(DATE)
+    name, sold_on = _get(fields, NAME), fields.get(DATE)
     try:
         quantity, price, number = (
             None if value is None else kind(value)
             for kind, value in ((float, fields.get(QUANTITY)), (float, fields.get(UNIT_PRICE)), (int, till))
         )
-        problem = None if {NAME, QUANTITY, UNIT_PRICE} <= fields.keys() else "item without name, quantity or price"
+        whole = _has(fields, NAME) and QUANTITY in fields and UNIT_PRICE in fields
+        problem = None if whole else "item without name, quantity or price"
     except (TypeError, ValueError):
         quantity, price, number, problem = None, None, None, "item with an unreadable number"
     return number, _text(name), quantity, price, _text(sold_on), problem
