@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.session import stage_table
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
     """One row per key: the one with the greatest ``version``, else the greatest values.
@@ -22,9 +24,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str | None = Non
 def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
     """``current`` with the rows of ``changes`` put in by key: known keys replaced, new keys added.
 
-    Only the changes are deduplicated, so a small batch is broadcast and the large table is not
-    shuffled. As with a unique constraint, null keys equal nothing.
+    Only the changes are deduplicated and stored: read back, their size is known, so a small
+    batch is broadcast and the large table is not shuffled. As with a unique constraint, null
+    keys equal nothing.
     """
-    latest = latest_per_key(changes, keys, version)
+    latest = stage_table(latest_per_key(changes, keys, version), "upsert-changes")
     kept = current.join(latest.select(*keys), list(keys), "left_anti")
     return kept.unionByName(latest)

@@ -103,16 +103,25 @@ def agg_avg(t: Tables) -> DataFrame:
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
 )
 def agg_multi(t: Tables) -> DataFrame:
-    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    return tally(
-        order_days(t).join(customers, "o_custkey"),
-        ["c_nationkey", "day"],
+    # One row per customer and day before the join, so customers of a day can be counted as rows after it.
+    per_customer = tally(
+        order_days(t),
+        ["o_custkey", "day"],
         amount=total("o_totalprice", 2),
-        customers=F.count_distinct("o_custkey"),
         n_orders=F.count("*"),
         least=F.min("o_totalprice"),
         most=F.max("o_totalprice"),
     )
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return tally(
+        per_customer.join(customers, "o_custkey"),
+        ["c_nationkey", "day"],
+        amount=total("amount", 2),
+        customers=F.count("*"),
+        n_orders=F.sum("n_orders"),
+        least=F.min("least"),
+        most=F.max("most"),
+    )
 
 
 @catalog.query(

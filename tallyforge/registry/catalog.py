@@ -23,11 +23,11 @@ class Entry:
 class Catalog:
     entries: dict[str, Entry] = field(default_factory=dict)
 
-    def query(self, sql: str | None = None):
-        """Register the decorated function under its own name."""
+    def query(self, sql: str | None = None, name: str | None = None):
+        """Register the decorated function under ``name``, by default its own."""
 
         def register(build: Callable[[Tables], DataFrame]):
-            self.entries[build.__name__] = Entry(build, sql)
+            self.entries[name or build.__name__] = Entry(build, sql)
             return build
 
         return register

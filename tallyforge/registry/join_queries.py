@@ -89,7 +89,8 @@ def join_lookup_rates(t: Tables) -> DataFrame:
 
 @catalog.query(
     """SELECT l_orderkey, l_linenumber, l_linestatus, o_orderkey, o_orderstatus, o_orderpriority
-       FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND l_linestatus = o_orderstatus"""
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND l_linestatus = o_orderstatus""",
+    name="join_on_pairs",
 )
 def join_pair_lists(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_linestatus")
@@ -183,5 +184,7 @@ def union_all(t: Tables) -> DataFrame:
 def union_distinct(t: Tables) -> DataFrame:
     customers = t.customer.select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("label"))
     suppliers = t.supplier.select("s_nationkey", F.lit("SUPPLIER"))
-    orders = join_on_pairs(t.orders, t.customer, ["o_custkey"], ["c_custkey"]).select("c_nationkey", "o_orderpriority")
+    # Equal pairs of customer and priority collapse before they meet the customers.
+    placed = t.orders.select("o_custkey", "o_orderpriority").distinct()
+    orders = join_on_pairs(placed, t.customer, ["o_custkey"], ["c_custkey"]).select("c_nationkey", "o_orderpriority")
     return union_tables_distinct([customers, suppliers, orders])

@@ -54,7 +54,8 @@ def fill_constant(t: Tables) -> DataFrame:
 
 @catalog.query(
     f"""WITH {_GAPPED_SQL}
-        SELECT o_orderkey, COALESCE(price, (SELECT quantile_disc(price, 0.5) FROM gapped)) AS price FROM gapped"""
+        SELECT o_orderkey, COALESCE(price, (SELECT quantile_disc(price, 0.5) FROM gapped)) AS price FROM gapped""",
+    name="impute_median",
 )
 def impute_median_exact(t: Tables) -> DataFrame:
     return impute_median(gapped(t).select("o_orderkey", "price"), ["price"])
@@ -73,7 +74,8 @@ def impute_median_sketch(t: Tables) -> DataFrame:
        SELECT l_orderkey, l_linenumber,
               ROUND(COALESCE(quantity, (SELECT AVG(quantity) FROM gapped)), 4) AS quantity,
               ROUND(COALESCE(price, (SELECT AVG(price) FROM gapped)), 4) AS price
-       FROM gapped"""
+       FROM gapped""",
+    name="impute_mean",
 )
 def impute_mean_columns(t: Tables) -> DataFrame:
     lines = t.lineitem.select(

@@ -7,13 +7,14 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.numbers import mean, total
+from tallyforge.functions.numbers import ratio, total
 from tallyforge.plans import crossing
 from tallyforge.plans import till_reports as tills
 from tallyforge.plans.daily_spend import RATES, daily_spend, in_fixed_currencies, in_own_currency, with_names
 from tallyforge.plans.top_entities import activity_per_entity, top_per_region, with_daily_average
 from tallyforge.registry.catalog import Catalog, half_up, money
 from tallyforge.registry.join_queries import CURRENCY_SQL, RATES_SQL, customers_with_currency
+from tallyforge.session import stage_table
 from tallyforge.sources.memory import rates_table
 from tallyforge.sources.tables import Tables
 
@@ -223,13 +224,17 @@ def _census(t: Tables) -> DataFrame:
 
 
 def _crimes(t: Tables) -> DataFrame:
-    placed = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"), "o_totalprice")
+    per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year")).agg(
+        F.count("*").alias("n_orders"), total("o_totalprice", 2).alias("spent")
+    )
     yearly = (
-        placed.join(t.customer.select("c_custkey", F.col("c_nationkey").alias("nation_key")), "c_custkey")
+        per_customer.join(t.customer.select("c_custkey", F.col("c_nationkey").alias("nation_key")), "c_custkey")
         .groupBy("nation_key", "year")
-        .agg(F.count("*").alias("n_orders"), mean("o_totalprice", 2).alias("average"))
+        .agg(F.sum("n_orders").alias("n_orders"), total("spent", 2).alias("spent"))
     )
-    return yearly.withColumn("average", F.when(F.col("year") != 1997, F.col("average")))
+    average = F.when(F.col("year") != 1997, ratio("spent", "n_orders"))
+    # Stored, because imputing reads it twice.
+    return stage_table(yearly.select("nation_key", "year", "n_orders", average.alias("average")), "yearly-orders")
 
 
 @catalog.query(

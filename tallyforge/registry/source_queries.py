@@ -9,7 +9,7 @@ from tallyforge.functions.numbers import total
 from tallyforge.operators.projection import preview
 from tallyforge.operators.upsert import upsert
 from tallyforge.registry.catalog import Catalog, money
-from tallyforge.session import scratch_path
+from tallyforge.session import at_least_parallel, scratch_path
 from tallyforge.sources.delimited import read_csv, read_csv_inferred, write_csv
 from tallyforge.sources.documents import flatten_till_documents, valid_lines
 from tallyforge.sources.tables import Tables
@@ -84,7 +84,9 @@ def flatten_nested_docs(t: Tables) -> DataFrame:
         F.date_format("l_shipdate", "yyyy/MM/dd"),
         F.col("l_tax").cast("string"),
     )
-    documents = t.lineitem.select(F.col("l_orderkey").alias("document"), F.col("l_linenumber").alias("line"), document.alias("text"))
+    documents = at_least_parallel(t.lineitem).select(
+        F.col("l_orderkey").alias("document"), F.col("l_linenumber").alias("line"), document.alias("text")
+    )
     lines = valid_lines(flatten_till_documents(documents))
     return lines.withColumn("sold_on", F.date_format("sold_on", "yyyy-MM-dd"))
 

@@ -57,10 +57,10 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
 
 
 def at_least_parallel(df: DataFrame) -> DataFrame:
-    """Redistribute rows when a scan yields fewer partitions than the cluster has cores.
+    """Redistribute the rows of a plain scan that has fewer partitions than the cluster has cores.
 
-    For stages that are costly per row, such as parsing in Python. A large input already has
-    more partitions than cores and is left as it is.
+    For scans that feed work costly per row, such as parsing in Python. A large input already
+    has more partitions than cores and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 import yaml
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.session import at_least_parallel
-
 # The parser travels to the executors by value, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -28,16 +27,15 @@ UNIT_PRICE = "precio_unitario"
 DATE = "fecha"
 DATE_FORMATS = ("yyyy/MM/dd", "yyyy-MM-dd")
 
-_ITEM = T.StructType(
-    [
-        T.StructField("till", T.LongType()),
-        T.StructField("product", T.StringType()),
-        T.StructField("quantity", T.DoubleType()),
-        T.StructField("unit_price", T.DoubleType()),
-        T.StructField("sold_on", T.StringType()),
-        T.StructField("problem", T.StringType()),
-    ]
-)
+_ITEM = [
+    ("till", pa.int64()),
+    ("product", pa.string()),
+    ("quantity", pa.float64()),
+    ("unit_price", pa.float64()),
+    ("sold_on", pa.string()),
+    ("problem", pa.string()),
+]
+_SPARK_TYPES = {pa.int64(): T.LongType(), pa.float64(): T.DoubleType(), pa.string(): T.StringType()}
 
 
 def _get(mapping: dict, name: str):
@@ -85,23 +83,34 @@ def _text(value) -> str | None:
     return None if value is None else str(value)
 
 
-parse_till_document = F.udf(_items, T.ArrayType(_ITEM), useArrow=True)
-
-
 def read_document_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per file (``file``, ``text``); paths may be globs, so many files are one scan."""
     raw = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
     return raw.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
-def flatten_till_documents(documents: DataFrame, text: Column | str = "text") -> DataFrame:
+def flatten_till_documents(documents: DataFrame, text: str = "text") -> DataFrame:
     """One row per item with the till repeated; ``problem`` names what is wrong, else null.
 
-    Columns of ``documents`` other than the text stay in front.
+    Columns of ``documents`` other than the text stay in front. Parsing is Python work on Arrow
+    batches: each batch of documents gives one flat batch of items, with no nested column between.
     """
-    carried = [c for c in documents.columns if not isinstance(text, str) or c != text]
-    items = at_least_parallel(documents).select(*carried, F.explode(parse_till_document(text)).alias("item"))
-    return items.select(*carried, "item.*")
+    carried = [c for c in documents.columns if c != text]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parents, items = [], []
+            for position, document in enumerate(batch.column(text).to_pylist()):
+                found = _items(document)
+                parents.extend([position] * len(found))
+                items.extend(found)
+            values = zip(*items) if items else [()] * len(_ITEM)
+            kept = batch.select(carried).take(pa.array(parents, pa.int64()))
+            flat = [pa.array(v, kind) for v, (_, kind) in zip(values, _ITEM, strict=True)]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *flat], [*carried, *(name for name, _ in _ITEM)])
+
+    columns = [*documents.select(*carried).schema, *(T.StructField(n, _SPARK_TYPES[k]) for n, k in _ITEM)]
+    return documents.select(*carried, text).mapInArrow(parse, T.StructType(columns))
 
 
 def valid_lines(flattened: DataFrame) -> DataFrame:
