@@ -95,11 +95,12 @@ def spread(long: DataFrame, by: Sequence[str], names: dict[float, str]) -> DataF
 def beside(rows: DataFrame, per_group: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach a table of one row per group to the rows of the group; null keys match each other.
 
-    Without keys the one row's columns are scalar subqueries, which needs no join.
+    Without keys the one row is a scalar subquery, which needs no join.
     """
     added = [c for c in per_group.columns if c not in by]
     if not by:
-        return rows.withColumns({c: per_group.select(c).scalar() for c in added})
+        one = per_group.select(F.struct(*added).alias("_one")).scalar()
+        return rows.withColumn("_one", one).select(*rows.columns, *[F.col(f"_one.{c}").alias(c) for c in added])
     keyed = per_group.withColumnsRenamed({b: f"_{b}" for b in by})
     same = [rows[b].eqNullSafe(keyed[f"_{b}"]) for b in by]
     return rows.join(keyed, same).select(*rows.columns, *added)

@@ -8,7 +8,6 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame
 
 from tallyforge.operators.learning import assemble, linear_regression, standardise
-from tallyforge.session import stage_table
 from tallyforge.sources.memory import table_from_rows
 
 # The text columns that arrive as strings, and the types they are given.
@@ -23,11 +22,12 @@ def typed(df: DataFrame, types: dict[str, str] = TEXT_NUMBERS) -> DataFrame:
 def fit_price(df: DataFrame, features: Sequence[str], label: str) -> tuple[Model, DataFrame]:
     """Assemble, scale to unit deviation and fit ordinary least squares on all complete rows.
 
-    The scaled vectors are stored once: scaling, fitting and the fit's summary all read them.
+    Scaling, fitting and the fit's summary are one pass each over the columns used; rebuilding
+    the vectors costs less than storing them.
     """
     vectors = assemble(df.select(*features, label).na.drop(), features).select("features", label)
-    scaled = stage_table(standardise(vectors), "scaled-features")
-    return linear_regression(scaled, "scaled", label), scaled
+    scaled = standardise(vectors)
+    return linear_regression(scaled, "scaled", label, solver="normal"), scaled
 
 
 def fit_report(model: Model, df: DataFrame, features: Sequence[str]) -> DataFrame:
