@@ -65,19 +65,21 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts in equal-width bins between minimum and maximum; the last bin is closed, empty bins are kept."""
-    x = F.col(column).cast("double")
-    known = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    least, greatest = known.agg(F.min("x")).scalar(), known.agg(F.max("x")).scalar()
+    known = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    ends = known.agg(F.min("x").alias("least"), F.max("x").alias("most"))
     # A single value sits in the middle of a range of width one.
-    low = F.when(least == greatest, least - 0.5).otherwise(least)
-    width = F.when(least == greatest, F.lit(1.0)).otherwise(greatest - least) / bins
-    place = F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1))
-    counted = known.groupBy(place.alias("bin")).agg(F.count("*").alias("found"))
-    every = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    single = F.col("least") == F.col("most")
+    frame = ends.select(
+        F.when(single, F.col("least") - 0.5).otherwise(F.col("least")).alias("low"),
+        (F.when(single, 1.0).otherwise(F.col("most") - F.col("least")) / bins).alias("width"),
+    )
+    place = F.least(F.floor((F.col("x") - F.col("low")) / F.col("width")), F.lit(bins - 1))
+    counted = beside(known, frame, []).groupBy(place.alias("bin")).agg(F.count("*").alias("found"))
+    every = beside(df.sparkSession.range(bins).select(F.col("id").alias("bin")), frame, [])
     return every.join(counted, "bin", "left").select(
         "bin",
-        (low + F.col("bin") * width).alias("lower"),
-        (low + (F.col("bin") + 1) * width).alias("upper"),
+        (F.col("low") + F.col("bin") * F.col("width")).alias("lower"),
+        (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("upper"),
         F.coalesce("found", F.lit(0)).alias("count"),
     )
 

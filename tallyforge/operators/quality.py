@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge.operators.projection import each_column
-from tallyforge.operators.quantiles import exact_quantiles
+from tallyforge.operators.quantiles import beside, exact_quantiles
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -28,12 +28,10 @@ def fractional_columns(df: DataFrame) -> list[str]:
 def impute_mean(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Replace nulls by the column's mean; all float and double columns by default.
 
-    The means of all columns come from one scan: the scalar subqueries are merged by the optimizer.
+    The means of all columns come from one more scan. An input that is costly to compute is better stored first.
     """
     columns = columns or fractional_columns(df)
-    return df.withColumns(
-        {c: F.coalesce(F.col(c), df.agg(F.avg(c)).scalar()).cast(df.schema[c].dataType) for c in columns}
-    )
+    return _filled(df, df.agg(*[F.avg(c).alias(c) for c in columns]), columns) if columns else df
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
@@ -42,14 +40,18 @@ def impute_median(df: DataFrame, columns: Sequence[str], accuracy: int | None =
     With ``accuracy`` the median is a mergeable sketch's (rank error 1/accuracy), one scan for
     all columns; without it the median is exact.
     """
-    filled = {}
+    if accuracy:
+        return _filled(df, df.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in columns]), columns)
     for c in columns:
-        if accuracy:
-            middle = df.agg(F.percentile_approx(c, 0.5, accuracy)).scalar()
-        else:
-            middle = exact_quantiles(df, c, [0.5]).select("value").scalar()
-        filled[c] = F.coalesce(F.col(c), middle).cast(df.schema[c].dataType)
-    return df.withColumns(filled)
+        df = _filled(df, exact_quantiles(df, c, [0.5]).select(F.col("value").alias(c)), [c])
+    return df
+
+
+def _filled(df: DataFrame, row: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Nulls replaced by the values of a one-row table with the same column names."""
+    known = beside(df, row.withColumnsRenamed({c: f"_{c}" for c in columns}), [])
+    values = {c: F.coalesce(F.col(c), F.col(f"_{c}")).cast(df.schema[c].dataType) for c in columns}
+    return known.withColumns(values).select(*df.columns)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
