@@ -14,7 +14,7 @@ from tallyforge.functions.numbers import conversions, product, total
 RATES = {"EUR": 0.9, "CRC": 600.0}
 
 
-def daily_spend(transactions: DataFrame, customer: str, amount: str, at: str, places: int | None = 2) -> DataFrame:
+def daily_spend(transactions: DataFrame, customer: str, amount: str, at: str, places: int | None = None) -> DataFrame:
     """``customer_id, day, amount``: one row per customer and day."""
     return transactions.groupBy(F.col(customer).alias("customer_id"), day_of(at).alias("day")).agg(
         total(amount, places).alias("amount")

@@ -30,24 +30,24 @@ def with_sale(lines: DataFrame, quantity: str = "quantity", unit_price: str = "u
     return lines.withColumn("sale", product(quantity, unit_price))
 
 
-def totals_by_till(lines: DataFrame, till: str = "till", sale: str = "sale", places: int | None = 2) -> DataFrame:
+def totals_by_till(lines: DataFrame, till: str = "till", sale: str = "sale", places: int | None = None) -> DataFrame:
     return lines.groupBy(till).agg(total(sale, places).alias("total_sold"))
 
 
 def totals_by_product(
-    lines: DataFrame, name: str = "product", quantity: str = "quantity", places: int | None = 2
+    lines: DataFrame, name: str = "product", quantity: str = "quantity", places: int | None = None
 ) -> DataFrame:
     return lines.groupBy(name).agg(total(quantity, places).alias("units"))
 
 
-def clean_totals_by_till(lines: DataFrame, till: str = "till", sale: str = "sale", places: int | None = 2) -> DataFrame:
+def clean_totals_by_till(lines: DataFrame, till: str = "till", sale: str = "sale", places: int | None = None) -> DataFrame:
     """Returns (negative sales), unknown sales and unknown tills do not count; a sale of zero does."""
     kept = lines.withColumn(sale, lenient_number(sale)).filter(F.col(till).isNotNull() & (F.col(sale) >= 0))
     return totals_by_till(kept, till, sale, places)
 
 
 def clean_totals_by_product(
-    lines: DataFrame, name: str = "product", quantity: str = "quantity", places: int | None = 2
+    lines: DataFrame, name: str = "product", quantity: str = "quantity", places: int | None = None
 ) -> DataFrame:
     """Names are compared without case; only positive, known quantities of named products count."""
     kept = lines.filter(F.col(name).isNotNull() & F.col(quantity).isNotNull() & (F.col(quantity) > 0))
@@ -70,7 +70,7 @@ def product_metrics(
     name: str = "product",
     quantity: str = "quantity",
     unit_price: str = "unit_price",
-    places: int | None = 2,
+    places: int | None = None,
 ) -> DataFrame:
     """One row: ``top_by_units, top_by_income``, both from one grouping of the lines."""
     per_product = lines.groupBy(name).agg(
@@ -79,7 +79,7 @@ def product_metrics(
     return _product_leaders(per_product, name)
 
 
-def report(lines: DataFrame, on: date, deduplicate: bool = True, places: int | None = 2) -> DataFrame:
+def report(lines: DataFrame, on: date, deduplicate: bool = True, places: int | None = None) -> DataFrame:
     """All metrics of ``till, product, quantity, unit_price`` lines in long form, dated ``on``.
 
     ``deduplicate`` merges equal lines first; that also merges genuine repeat purchases. The

@@ -58,7 +58,7 @@ _DAILY_SQL = f"""daily AS (
 
 
 def _daily(t: Tables) -> DataFrame:
-    return daily_spend(t.orders, "o_custkey", "o_totalprice", "o_orderdate")
+    return daily_spend(t.orders, "o_custkey", "o_totalprice", "o_orderdate", places=2)
 
 
 def _day_shown(df: DataFrame) -> DataFrame:
@@ -136,12 +136,12 @@ def _dirty(t: Tables) -> DataFrame:
 
 @catalog.query(f"WITH {_LINES_SQL} SELECT till, {money('quantity * unit_price')} AS total_sold FROM lines GROUP BY till")
 def totals_by_till(t: Tables) -> DataFrame:
-    return tills.totals_by_till(tills.with_sale(_lines(t)))
+    return tills.totals_by_till(tills.with_sale(_lines(t)), places=2)
 
 
 @catalog.query(f"WITH {_LINES_SQL} SELECT product, {money('quantity')} AS units FROM lines GROUP BY product")
 def totals_by_product(t: Tables) -> DataFrame:
-    return tills.totals_by_product(_lines(t))
+    return tills.totals_by_product(_lines(t), places=2)
 
 
 @catalog.query(
@@ -149,7 +149,7 @@ def totals_by_product(t: Tables) -> DataFrame:
         WHERE till IS NOT NULL AND sale >= 0 GROUP BY till"""
 )
 def totals_by_till_clean(t: Tables) -> DataFrame:
-    return tills.clean_totals_by_till(_dirty(t))
+    return tills.clean_totals_by_till(_dirty(t), places=2)
 
 
 @catalog.query(
@@ -157,7 +157,7 @@ def totals_by_till_clean(t: Tables) -> DataFrame:
         WHERE product IS NOT NULL AND quantity > 0 GROUP BY LOWER(product)"""
 )
 def totals_by_product_clean(t: Tables) -> DataFrame:
-    return tills.clean_totals_by_product(_dirty(t))
+    return tills.clean_totals_by_product(_dirty(t), places=2)
 
 
 def _metrics_sql(source: str) -> str:
@@ -178,12 +178,12 @@ def _metrics_sql(source: str) -> str:
 
 @catalog.query(f"WITH {_LINES_SQL}, {_metrics_sql('lines')} SELECT best_till, worst_till, p25, p50, p75 FROM wide")
 def till_metrics(t: Tables) -> DataFrame:
-    return tills.till_metrics(tills.totals_by_till(tills.with_sale(_lines(t))))
+    return tills.till_metrics(tills.totals_by_till(tills.with_sale(_lines(t)), places=2))
 
 
 @catalog.query(f"WITH {_LINES_SQL}, {_metrics_sql('lines')} SELECT top_by_units, top_by_income FROM wide")
 def product_metrics(t: Tables) -> DataFrame:
-    return tills.product_metrics(_lines(t))
+    return tills.product_metrics(_lines(t), places=2)
 
 
 def _long_sql() -> str:
@@ -199,7 +199,7 @@ def _long_sql() -> str:
     f"""WITH {_LINES_SQL}, unique_lines AS (SELECT DISTINCT * FROM lines), {_metrics_sql("unique_lines")} {_long_sql()}"""
 )
 def metrics_long(t: Tables) -> DataFrame:
-    return _day_shown(tills.report(_lines(t), date(2024, 10, 16)))
+    return _day_shown(tills.report(_lines(t), date(2024, 10, 16), places=2))
 
 
 # Customers stand for census rows, yearly order figures per nation for crime rows.

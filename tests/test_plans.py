@@ -143,7 +143,8 @@ def test_dated_report(table, rows):
 def test_clean_till_totals(table, rows):
     sales = [("a", 100.0), ("a", -20.0), ("b", 0.0), ("c", None), (None, 50.0), ("d", -1.0), ("a", 0.55)]
     df = table(sales, "till string, sale double")
-    assert rows(tills.clean_totals_by_till(df)) == [("a", 100.55), ("b", 0.0)]
+    assert rows(tills.clean_totals_by_till(df, places=2)) == [("a", 100.55), ("b", 0.0)]
+    assert rows(tills.clean_totals_by_till(df)) == [("a", pytest.approx(100.55)), ("b", 0.0)]
     text = table([("a", "7.5"), ("a", "bad")], "till string, sale string")
     assert rows(tills.clean_totals_by_till(text)) == [("a", 7.5)]
     assert rows(tills.clean_totals_by_till(df.limit(0))) == []
@@ -152,7 +153,7 @@ def test_clean_till_totals(table, rows):
 def test_clean_product_totals(table, rows):
     sold = [("manzana", 10), ("Manzana", 5), ("MANZANA", 3), (None, 4), ("pan", None), ("pan", 0), ("pan", -2), ("uva", 1)]
     df = table(sold, "product string, quantity int")
-    assert rows(tills.clean_totals_by_product(df)) == [("manzana", 18.0), ("uva", 1.0)]
+    assert rows(tills.clean_totals_by_product(df)) == [("manzana", 18), ("uva", 1)]
     half = table([("a", 1.5), ("A", 2.25)], "product string, quantity double")
     assert rows(tills.clean_totals_by_product(half)) == [("a", 3.75)]
 
