@@ -42,9 +42,10 @@ def impute_median(df: DataFrame, columns: Sequence[str], accuracy: int | None =
     """
     if accuracy:
         return _filled(df, df.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in columns]), columns)
+    filled = df
     for c in columns:
-        df = _filled(df, exact_quantiles(df, c, [0.5]).select(F.col("value").alias(c)), [c])
-    return df
+        filled = _filled(filled, exact_quantiles(df, c, [0.5]).select(F.col("value").alias(c)), [c])
+    return filled
 
 
 def _filled(df: DataFrame, row: DataFrame, columns: Sequence[str]) -> DataFrame:

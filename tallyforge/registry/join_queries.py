@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.numbers import total
@@ -29,6 +29,23 @@ CURRENCY_SQL = """CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'EUR' WHEN c_mktseg
 RATES_SQL = "(VALUES ('EUR', CAST(0.9 AS DOUBLE)), ('CRC', CAST(600 AS DOUBLE))) rates(currency, rate)"
 
 
+# Every customer has orders and every order a customer. To have gaps, pending orders lose their
+# customer, urgent ones get an unknown one, and customers in debt are given keys without orders.
+_ORDER_KEY_SQL = """CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderpriority = '1-URGENT' THEN -1 - o_custkey
+                         ELSE o_custkey END"""
+_CUSTOMER_KEY_SQL = "CASE WHEN c_acctbal < 0 THEN 1000000000000 + c_custkey ELSE c_custkey END"
+
+
+def _order_key() -> Column:
+    unknown = F.when(F.col("o_orderpriority") == "1-URGENT", -1 - F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    return F.when(F.col("o_orderstatus") != "P", unknown)
+
+
+def _customer_key() -> Column:
+    indebted = F.col("c_acctbal") < 0
+    return F.when(indebted, F.col("c_custkey") + 1_000_000_000_000).otherwise(F.col("c_custkey"))
+
+
 def customers_with_currency(t: Tables) -> DataFrame:
     """Every market segment is given a currency; two segments get one without a rate."""
     segment = F.col("c_mktsegment")
@@ -99,14 +116,14 @@ def join_pair_lists(t: Tables) -> DataFrame:
 
 
 @catalog.query(
-    """SELECT COALESCE(o.o_custkey, c.c_custkey) AS c_custkey, o_orderkey, c_name
-       FROM (SELECT * FROM orders WHERE o_orderstatus = 'O') o
-       FULL OUTER JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o.o_custkey = c.c_custkey"""
+    f"""SELECT COALESCE(o.key, c.key) AS key, o_orderkey, c_name
+        FROM (SELECT {_ORDER_KEY_SQL} AS key, o_orderkey FROM orders) o
+        FULL OUTER JOIN (SELECT {_CUSTOMER_KEY_SQL} AS key, c_name FROM customer) c ON o.key = c.key"""
 )
 def join_full_outer(t: Tables) -> DataFrame:
-    orders = t.orders.filter(F.col("o_orderstatus") == "O").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    customers = t.customer.filter(F.col("c_acctbal") > 0).select("c_custkey", "c_name")
-    return full_outer_to_entities(orders, customers, "c_custkey")
+    orders = t.orders.select(_order_key().alias("key"), "o_orderkey")
+    customers = t.customer.select(_customer_key().alias("key"), "c_name")
+    return full_outer_to_entities(orders, customers, "key")
 
 
 @catalog.query(
@@ -148,24 +165,23 @@ def join_left_period(t: Tables) -> DataFrame:
 
 
 @catalog.query(
-    """WITH acts AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE o_custkey END AS key,
-                            o_totalprice, CASE WHEN o_orderstatus = 'F' THEN 'O' ELSE 'X' END AS flag
-                     FROM orders WHERE o_orderstatus <> 'P'),
-            ents AS (SELECT c_custkey AS key, c_name, c_nationkey FROM customer WHERE c_acctbal > 0),
+    f"""WITH acts AS (SELECT o_orderkey, {_ORDER_KEY_SQL} AS key, o_totalprice,
+                            CASE WHEN o_orderstatus = 'F' THEN 'O' ELSE 'X' END AS flag
+                     FROM orders),
+            ents AS (SELECT {_CUSTOMER_KEY_SQL} AS key, c_name, c_nationkey FROM customer),
             routes AS (SELECT l_linestatus AS flag, COUNT(*) AS route_lines FROM lineitem GROUP BY l_linestatus)
        SELECT COALESCE(a.key, e.key) AS key, a.o_orderkey, a.o_totalprice, e.c_name, e.c_nationkey, a.flag,
               r.route_lines
        FROM acts a FULL OUTER JOIN ents e ON a.key = e.key LEFT JOIN routes r ON a.flag = r.flag"""
 )
 def unify_entities(t: Tables) -> DataFrame:
-    status = F.col("o_orderstatus")
-    activities = t.orders.filter(status != "P").select(
+    activities = t.orders.select(
         "o_orderkey",
-        F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")).alias("key"),
+        _order_key().alias("key"),
         "o_totalprice",
-        F.when(status == "F", "O").otherwise("X").alias("flag"),
+        F.when(F.col("o_orderstatus") == "F", "O").otherwise("X").alias("flag"),
     )
-    entities = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("key"), "c_name", "c_nationkey")
+    entities = t.customer.select(_customer_key().alias("key"), "c_name", "c_nationkey")
     routes = t.lineitem.groupBy(F.col("l_linestatus").alias("flag")).agg(F.count("*").alias("route_lines"))
     return unify(activities, entities, "key", routes, "flag")
 
