@@ -44,12 +44,12 @@ def drop_null_rows(t: Tables) -> DataFrame:
 
 @catalog.query(
     f"""WITH {_GAPPED_SQL}
-        SELECT o_orderkey, COALESCE(priority, 'Desconocido') AS priority, COALESCE(status, '?') AS status,
+        SELECT o_orderkey, COALESCE(priority, 'unknown') AS priority, COALESCE(status, '?') AS status,
                COALESCE(price, 0.0) AS price
         FROM gapped"""
 )
 def fill_constant(t: Tables) -> DataFrame:
-    return fill(gapped(t), {"priority": "Desconocido", "status": "?", "price": 0.0})
+    return fill(gapped(t), {"priority": "unknown", "status": "?", "price": 0.0})
 
 
 @catalog.query(

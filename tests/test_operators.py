@@ -30,14 +30,14 @@ def test_projection_helpers(table, rows):
 
 
 def test_incomplete_rows_are_dropped(table, rows):
-    df = table([("California", 50000), (None, 30000)], "State string, Population int")
-    assert rows(quality.drop_incomplete(df)) == [("California", 50000)]
-    assert quality.drop_incomplete(df, ["Population"]).count() == 2
+    df = table([("north", 5, 0.5), (None, 3, 0.1), ("south", 4, None)], "zone string, people int, share double")
+    assert rows(quality.drop_incomplete(df)) == [("north", 5, 0.5)]
+    assert quality.drop_incomplete(df, ["people", "zone"]).count() == 2
 
 
 def test_fill_is_per_column(table, rows):
     df = table([(None, None), ("A1", 3)], "cabin string, age int")
-    assert rows(quality.fill(df, {"cabin": "Desconocido"})) == [("A1", 3), ("Desconocido", None)]
+    assert rows(quality.fill(df, {"cabin": "unknown"})) == [("A1", 3), ("unknown", None)]
 
 
 def test_mean_imputation_touches_fractional_columns_only(table, rows):
@@ -76,11 +76,12 @@ def test_duplicates(table, rows):
 
 
 def test_pair_join(table, rows):
-    grades = table([(1, 50), (2, 100)], "student_id int, grade int")
-    students = table([(1, "Juan"), (2, "Maria")], "id int, name string")
-    assert rows(joins.join_on_pairs(grades, students, ["student_id"], ["id"])) == [(1, 50, 1, "Juan"), (2, 100, 2, "Maria")]
+    sales = table([(7, "n", 2.5), (7, "s", 4.0), (8, "n", 9.0), (None, "n", 1.0)], "shop int, zone string, amount double")
+    shops = table([(7, "n", "Alba"), (8, "s", "Brisa"), (None, "n", "Cima")], "id int, area string, name string")
+    assert rows(joins.join_on_pairs(sales, shops, ["shop", "zone"], ["id", "area"])) == [(7, "n", 2.5, 7, "n", "Alba")]
+    assert joins.join_on_pairs(sales, shops, ["shop"], ["id"]).count() == 3
     with pytest.raises(ValueError):
-        joins.join_on_pairs(grades, students, ["student_id", "grade"], ["id"])
+        joins.join_on_pairs(sales, shops, ["shop", "zone"], ["id"])
 
 
 def test_outer_join_keeps_gaps_on_both_sides(table, rows):

@@ -10,7 +10,7 @@ from tallyforge.plans import till_reports as tills
 from tallyforge.plans.top_entities import activity_per_entity, top_per_region, unify, with_daily_average
 from tallyforge.sources.memory import rates_table
 
-CUSTOMERS = [(1, "John", "CRC"), (2, "Jane", "EUR"), (3, "Jack", "USD")]
+CUSTOMERS = [(1, "Olga", "CRC"), (2, "Iván", "EUR"), (3, "Noa", "USD")]
 TRANSACTIONS = [
     (1, 100.0, dt.datetime(2020, 3, 1, 8)),
     (1, 80.0, dt.datetime(2020, 3, 1, 23, 59)),
@@ -45,14 +45,14 @@ def test_daily_spend_in_fixed_currencies(daily, rows):
 def test_daily_spend_with_names_and_own_currency(daily, table, spark, rows, plan):
     customers = table(CUSTOMERS, "id int, name string, currency string")
     named = daily_spend.with_names(daily, customers, "id")
-    assert rows(named, "customer_id", "id", "name", "day")[0] == (1, 1, "John", D1)
+    assert rows(named, "customer_id", "id", "name", "day")[0] == (1, 1, "Olga", D1)
     rates = rates_table(spark, daily_spend.RATES)
     own = daily_spend.in_own_currency(daily, customers, rates, "id", "name")
     assert rows(own) == [
-        (1, "John", D1, 108000.0),
-        (1, "John", D2, 57600.0),
-        (2, "Jane", D1, 900.0),
-        (2, "Jane", D3, 49.5),
+        (1, "Olga", D1, 108000.0),
+        (1, "Olga", D2, 57600.0),
+        (2, "Iván", D1, 900.0),
+        (2, "Iván", D3, 49.5),
     ]
     assert "BroadcastHashJoin" in plan(customers.join(rates, "currency"))
 
@@ -159,16 +159,16 @@ def test_clean_product_totals(table, rows):
 
 
 def test_crossing_in_both_variants(table, rows):
-    census = table([("Texas", 10.0), ("Utah", None), (None, 1.0)], "State string, income double")
-    crimes = table([("Texas", 5.0, 2018), ("Texas", None, 2019), ("Utah", 7.0, 2018)], "state_name string, crimes double, Year int")
-    cleaned = crossing.cross(census, crimes, "State", "state_name", drop=("year",))
-    assert rows(cleaned["right"]) == [("Texas", 5.0), ("Utah", 7.0)]
-    assert rows(cleaned["crossed"]) == [("Texas", 10.0, "Texas", 5.0)]
-    imputed = crossing.cross(census, crimes, "State", "state_name", crossing.impute, ("year",))
+    tracts = table([("east", 10.0), ("west", None), (None, 1.0)], "zone string, income double")
+    cases = table([("east", 5.0, 2018), ("east", None, 2019), ("west", 7.0, 2018)], "area string, cases double, Year int")
+    cleaned = crossing.cross(tracts, cases, "zone", "area", drop=("year",))
+    assert rows(cleaned["right"]) == [("east", 5.0), ("west", 7.0)]
+    assert rows(cleaned["crossed"]) == [("east", 10.0, "east", 5.0)]
+    imputed = crossing.cross(tracts, cases, "zone", "area", crossing.impute, ("year",))
     assert rows(imputed["crossed"]) == [
-        ("Texas", 10.0, "Texas", 5.0),
-        ("Texas", 10.0, "Texas", 6.0),
-        ("Utah", 5.5, "Utah", 7.0),
+        ("east", 10.0, "east", 5.0),
+        ("east", 10.0, "east", 6.0),
+        ("west", 5.5, "west", 7.0),
     ]
 
 

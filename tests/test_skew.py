@@ -1,0 +1,92 @@
+"""One key holds a third of all rows; results against plain Python over the same rows."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyforge.functions.numbers import total
+from tallyforge.operators import joins, ranking
+from tallyforge.operators.upsert import latest_per_key
+from tallyforge.plans import till_reports as tills
+from tallyforge.plans.top_entities import activity_per_entity, top_per_region, with_daily_average
+
+SIZE = 30_000
+
+
+@pytest.fixture(scope="module")
+def facts():
+    draw = random.Random(11)
+    return [
+        (0 if i % 3 == 0 else draw.randint(1, 4000), draw.randint(1, 900), round(draw.uniform(1, 500), 2), i)
+        for i in range(SIZE)
+    ]
+
+
+@pytest.fixture(scope="module")
+def orders(spark, facts):
+    return spark.createDataFrame(facts, "customer int, day int, amount double, id int").repartition(16)
+
+
+@pytest.fixture(scope="module")
+def customers(spark):
+    # Every other customer has a record; most of those lie in one region.
+    rows = [(k, "north" if k % 10 else "south") for k in range(0, 6000, 2)]
+    return spark.createDataFrame(rows, "customer int, region string")
+
+
+def test_full_outer_join(orders, customers, facts):
+    united = joins.full_outer_to_entities(orders, customers, "customer")
+    known = {k for k in range(0, 6000, 2)}
+    seen = Counter(f[0] for f in facts)
+    assert united.count() == SIZE + len(known - seen.keys())
+    assert united.filter("region IS NULL").count() == sum(n for k, n in seen.items() if k not in known)
+    assert united.filter("customer = 0 AND region = 'south'").count() == seen[0] >= SIZE // 3
+
+
+def test_top_customers(orders, customers, facts):
+    spent, days = defaultdict(int), defaultdict(set)
+    for customer, day, amount, _ in facts:
+        spent[customer] += round(amount * 100)
+        days[customer].add(day)
+    expected = {}
+    for region in ("north", "south"):
+        inside = [k for k in spent if k % 2 == 0 and ("north" if k % 10 else "south") == region]
+        expected[region] = sorted(inside, key=lambda k: (-spent[k], k))[:5]
+    per_customer = with_daily_average(activity_per_entity(orders, "customer", "amount", "day", places=2))
+    found = top_per_region(per_customer, customers, "customer", "region", 5, ties=False).collect()
+    assert {r: {f["customer"] for f in found if f["region"] == r} for r in expected} == {
+        r: set(keys) for r, keys in expected.items()
+    }
+    hot = next(f for f in found if f["customer"] == 0)
+    assert hot["total"] == spent[0] / 100 and hot["active_days"] == len(days[0])
+
+
+def test_ranked_list_of_the_hot_key(orders, facts):
+    lists = ranking.ranked_lists(orders, "customer", [F.desc("amount"), F.asc("id")], 7, ["id"])
+    best = sorted((f for f in facts if f[0] == 0), key=lambda f: (-f[2], f[3]))[:7]
+    assert [e["id"] for e in lists.filter("customer = 0").first()["top"]] == [f[3] for f in best]
+
+
+def test_latest_row_of_the_hot_key(orders, facts):
+    latest = {r["customer"]: r["id"] for r in latest_per_key(orders, ["customer"], "id").collect()}
+    expected = {}
+    for customer, _, _, i in facts:
+        expected[customer] = max(i, expected.get(customer, -1))
+    assert latest == expected
+
+
+def test_till_metrics(orders, facts):
+    sums = Counter()
+    for customer, _, amount, _ in facts:
+        sums[customer] += round(amount * 100)
+    ordered = sorted((v, k) for k, v in sums.items())
+    totals = orders.groupBy(F.col("customer").alias("till")).agg(total("amount", 2).alias("total_sold"))
+    found = tills.till_metrics(totals).first()
+    assert (found["best_till"], found["worst_till"]) == (ordered[-1][1], ordered[0][1])
+    for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        assert found[name] == ordered[math.ceil(len(ordered) * p) - 1][0] / 100

@@ -51,11 +51,11 @@ compras:
 
 
 def test_csv_schema_names_win_over_header(spark, tmp_path, rows):
-    path = tmp_path / "names.csv"
-    path.write_text("ID,Name,Currency\n1,John,CRC\n2,Jane,EUR\n")
+    path = tmp_path / "people.csv"
+    path.write_text("ID,Name,Currency\n4,Olga,EUR\n9,Iván,CRC\n")
     df = read_csv(spark, str(path), "id int, name string, currency string")
     assert df.columns == ["id", "name", "currency"]
-    assert rows(df) == [(1, "John", "CRC"), (2, "Jane", "EUR")]
+    assert rows(df) == [(4, "Olga", "EUR"), (9, "Iván", "CRC")]
 
 
 def test_csv_inferred_types_and_positions(spark, tmp_path, rows):
@@ -65,10 +65,10 @@ def test_csv_inferred_types_and_positions(spark, tmp_path, rows):
     assert dict(df.dtypes) == {"route": "int", "id": "int", "day": "date"}
     assert rows(df)[0] == (1, 10000001, dt.date(2024, 1, 2))
     with_header = tmp_path / "header.csv"
-    with_header.write_text("State,Population\nTexas,5.5\n")
+    with_header.write_text("Zone,Share\nnorth,5.5\n")
     assert dict(read_csv_inferred(spark, str(with_header), header=True).dtypes) == {
-        "State": "string",
-        "Population": "double",
+        "Zone": "string",
+        "Share": "double",
     }
 
 
