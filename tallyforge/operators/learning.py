@@ -41,9 +41,11 @@ def vector_columns(df: DataFrame, source: str, names: Sequence[str]) -> DataFram
 def in_training(key: str, percent: int = 80):
     """Whether a row belongs to the training share, decided by a digest of its key.
 
-    The same rows are chosen whatever the partitioning, and in any engine that has MD5.
+    The same rows are chosen whatever the partitioning, and in any engine that has MD5. A null
+    key counts as empty text, so that no row falls out of both shares.
     """
-    head = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     return (head % 100) < percent
 
 

@@ -49,8 +49,13 @@ def exact_quantiles(
     and the distinct values inside; only those are shuffled. Brackets are then cut into slices,
     and only the slices that hold a wanted rank are sorted.
     """
-    by = list(by)
-    rows = df.select(*by, F.col(value).alias("value")).filter(F.col("value").isNotNull())
+    # Working names for the group columns, which may be called anything.
+    named = {f"_by{i}": b for i, b in enumerate(by)}
+    rows = df.select(*[F.col(b).alias(k) for k, b in named.items()], F.col(value).alias("value"))
+    return _exact(rows.filter(F.col("value").isNotNull()), probabilities, list(named), interpolate).withColumnsRenamed(named)
+
+
+def _exact(rows: DataFrame, probabilities: Sequence[float], by: list[str], interpolate: bool) -> DataFrame:
     brackets = stage_table(_brackets(rows, probabilities, by), "quantile-brackets")
 
     spots = range(len(probabilities))

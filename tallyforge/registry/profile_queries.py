@@ -13,7 +13,9 @@ from tallyforge.operators.distributions import (
     profile,
     summary,
 )
+from tallyforge.plans.passengers import fill_gaps, report
 from tallyforge.registry.catalog import Catalog
+from tallyforge.registry.quality_queries import GAPPED_SQL, gapped
 from tallyforge.sources.tables import Tables
 
 catalog = Catalog()
@@ -95,3 +97,17 @@ def boxplot_summary(t: Tables) -> DataFrame:
     boxes = box_plot(t.lineitem, "l_extendedprice", ["l_returnflag"])
     rounded = ("q1", "median", "q3", "whisker_low", "whisker_high")
     return boxes.withColumns({c: F.round(c, 4) for c in rounded})
+
+
+@catalog.query(
+    f"""WITH {GAPPED_SQL},
+            filled AS (SELECT o_orderkey, COALESCE(priority, 'unknown') AS priority,
+                              COALESCE(price, (SELECT quantile_disc(price, 0.5) FROM gapped)) AS price FROM gapped)
+        SELECT 'price' AS "column", COUNT(price) AS "count", ROUND(AVG(price), 4) AS mean,
+               ROUND(STDDEV_SAMP(price), 4) AS stddev, MIN(price) AS "min", MAX(price) AS "max" FROM filled"""
+)
+def profile_filled(t: Tables) -> DataFrame:
+    raw = gapped(t)
+    filled = fill_gaps(raw, {"priority": "unknown", "status": "unknown"}, ["price"], accuracy=None)
+    statistics = report(raw, filled, ["price"], "priority", "price")["statistics"]
+    return statistics.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})

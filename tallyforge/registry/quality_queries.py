@@ -19,7 +19,7 @@ from tallyforge.sources.tables import Tables
 
 catalog = Catalog()
 
-_GAPPED_SQL = """gapped AS (
+GAPPED_SQL = """gapped AS (
     SELECT o_orderkey, NULLIF(o_orderpriority, '5-LOW') AS priority, NULLIF(o_orderstatus, 'F') AS status,
            CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS price
     FROM orders)"""
@@ -35,7 +35,7 @@ def gapped(t: Tables) -> DataFrame:
 
 
 @catalog.query(
-    f"""WITH {_GAPPED_SQL} SELECT * FROM gapped
+    f"""WITH {GAPPED_SQL} SELECT * FROM gapped
         WHERE priority IS NOT NULL AND status IS NOT NULL AND price IS NOT NULL"""
 )
 def drop_null_rows(t: Tables) -> DataFrame:
@@ -43,7 +43,7 @@ def drop_null_rows(t: Tables) -> DataFrame:
 
 
 @catalog.query(
-    f"""WITH {_GAPPED_SQL}
+    f"""WITH {GAPPED_SQL}
         SELECT o_orderkey, COALESCE(priority, 'unknown') AS priority, COALESCE(status, '?') AS status,
                COALESCE(price, 0.0) AS price
         FROM gapped"""
@@ -53,7 +53,7 @@ def fill_constant(t: Tables) -> DataFrame:
 
 
 @catalog.query(
-    f"""WITH {_GAPPED_SQL}
+    f"""WITH {GAPPED_SQL}
         SELECT o_orderkey, COALESCE(price, (SELECT quantile_disc(price, 0.5) FROM gapped)) AS price FROM gapped""",
     name="impute_median",
 )
@@ -89,7 +89,7 @@ def impute_mean_columns(t: Tables) -> DataFrame:
 
 
 @catalog.query(
-    f"""WITH {_GAPPED_SQL}
+    f"""WITH {GAPPED_SQL}
         SELECT COUNT(*) - COUNT(o_orderkey) AS o_orderkey, COUNT(*) - COUNT(priority) AS priority,
                COUNT(*) - COUNT(status) AS status, COUNT(*) - COUNT(price) AS price
         FROM gapped"""

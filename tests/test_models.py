@@ -45,6 +45,8 @@ def test_split_depends_on_the_key_only(spark, rows):
     assert rows(train) == rows(again)
     assert train.count() + test.count() == 5000
     assert 0.77 < train.count() / 5000 < 0.83
+    gaps = df.select(F.when(F.col("id") < 10, F.col("id")).alias("id"))
+    assert sum(part.count() for part in learning.split_by_key(gaps, "id")) == 5000
 
 
 def test_scores_agree_with_the_evaluator(table):

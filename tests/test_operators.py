@@ -201,6 +201,13 @@ def test_approximate_quantiles_stay_in_their_rank_error(spark):
         assert abs(values.index(row["value"]) - row["p"] * len(values)) <= len(values) / 1000 + 1
 
 
+def test_group_columns_may_have_any_name(table, rows):
+    df = table([(1, "a", 5.0), (1, "a", 7.0), (2, None, 1.0)], "value int, p string, n double")
+    assert rows(quantiles.exact_quantiles(df, "n", [0.5], by=["value"])) == [(1, 0.5, 5.0), (2, 0.5, 1.0)]
+    named = quantiles.exact_quantiles(df.withColumnRenamed("p", "kept"), "n", [1.0], by=["kept", "value"])
+    assert rows(named) == [(None, 2, 1.0, 1.0), ("a", 1, 1.0, 7.0)]
+
+
 def test_quantiles_of_nothing(table, rows):
     empty = table([], "k string, v double")
     assert rows(quantiles.exact_quantiles(empty, "v", [0.5], by=["k"])) == []

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.plans import crossing, daily_spend, housing, survival
+from tallyforge.plans import crossing, daily_spend, housing, passengers, survival
 from tallyforge.plans import till_reports as tills
 from tallyforge.plans.top_entities import activity_per_entity, top_per_region, unify, with_daily_average
 from tallyforge.sources.memory import rates_table
@@ -198,3 +198,24 @@ def test_house_types_and_regression(spark, table, rows):
 def test_passenger_encoding(table, rows):
     df = table([("male", "S"), ("female", None), ("male", "Q")], "Sex string, Embarked string")
     assert rows(survival.encoded(df, survival.PASSENGER_CODES)) == [(0, 3), (1, 0), (1, 2)]
+
+
+def test_passenger_profile(table, rows):
+    raw = table(
+        [(0, 20.0, 7.0, None), (1, None, 80.0, "C1"), (1, 40.0, 30.0, None), (0, 30.0, 8.0, "B2")],
+        "Survived int, Age double, Fare double, Cabin string",
+    )
+    filled = passengers.fill_gaps(raw, {"Cabin": "unknown"}, ["Age"])
+    tables = passengers.report(raw, filled, ["Age", "Fare"], "Survived", "Age")
+    assert rows(tables["nulls_before"]) == [(0, 1, 0, 2)] and rows(tables["nulls_after"]) == [(0, 0, 0, 0)]
+    assert rows(tables["statistics"], "column", "count", "mean", "min", "max") == [
+        ("Age", 4, 30.0, 20.0, 40.0),
+        ("Fare", 4, 31.25, 7.0, 80.0),
+    ]
+    assert rows(tables["label_counts"]) == [(0, 2), (1, 2)]
+    assert len(rows(tables["correlations"])) == 4
+    assert sum(n for *_, n in rows(tables["histogram"])) == 4
+    assert rows(passengers.box_plot(filled, "Fare", ["Survived"]), "Survived", "median", "outliers") == [(0, 7.5, 0), (1, 55.0, 0)]
+    for exact in (False, True):
+        found = passengers.quartiles(filled, ["Age", "Fare"], exact)
+        assert rows(found["Fare"]) == [(0.25, 7.0), (0.5, 8.0), (0.75, 30.0)]
