@@ -7,6 +7,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Rows are handed on in slices of about this many bytes of text, whatever the size of Spark's batches.
 SLICE_BYTES = 4 << 20
@@ -15,10 +16,13 @@ REMEMBERED = 250_000
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The rows in order, in slices whose ``text`` column has about ``SLICE_BYTES``; one row at least."""
+    """The rows in order, in slices whose ``text`` column (texts or lists of texts) has about ``SLICE_BYTES``; one row at least."""
     for batch in batches:
         column = batch.column(text)
-        sizes = np.array([len(v) if v is not None else 0 for v in column.cast(pa.binary()).to_pylist()], dtype=np.int64)
+        if pa.types.is_list(column.type):
+            sizes = np.array([sum(map(len, v or ())) for v in column.to_pylist()], np.int64)
+        else:
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         at = np.cumsum(sizes) // SLICE_BYTES
         edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), batch.num_rows]
         for start, stop in zip(edges, edges[1:]):

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallyforge.llm.embedding_lsh import contained_items
+from tallyforge.llm.hyper_minhash import near_duplicates
+from tallyforge.llm.importance import resampled
+from tallyforge.llm.line_frequency import judged
 from tallyforge.llm.overlap_counts import count_tokens
 from tallyforge.llm.trie_bpe import encode_and_decode
 from tallyforge.registry.catalog import Catalog, Entry
@@ -29,6 +33,29 @@ def op1_token_counts(t: Tables) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+@catalog.query()
+def op2_near_duplicates(t: Tables) -> DataFrame:
+    return near_duplicates(t.documents, words=4).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+@catalog.query()
+def op3_quality_rules(t: Tables) -> DataFrame:
+    return judged(t.documents).drop("cleaned")
+
+
+@catalog.query()
+def op6_contained_items(t: Tables) -> DataFrame:
+    return contained_items(t.documents, t.benchmark)
+
+
+@catalog.query()
+def op9_importance_resampling(t: Tables) -> DataFrame:
+    # Good labels as the target; as large a share is drawn as documents have good quality among the labelled.
+    share = t.labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0] or 0.0
+    target = t.labels.filter("quality = 1 AND toxic = 0")
+    return resampled(t.documents, target, share)
+
+
 @catalog.query()
 def op10_bpe_roundtrip(t: Tables) -> DataFrame:
     coded = encode_and_decode(t.documents, _word_bpe())
