@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallyforge.llm.bin_packing import packed
+from tallyforge.llm.edit_join import near_lines
 from tallyforge.llm.embedding_lsh import contained_items
 from tallyforge.llm.hyper_minhash import near_duplicates
 from tallyforge.llm.importance import resampled
@@ -70,3 +72,17 @@ def op10_bpe_roundtrip(t: Tables) -> DataFrame:
 @catalog.query(sql=corpus_pipeline.ORACLE_SQL)
 def pipeline(t: Tables) -> DataFrame:
     return corpus_pipeline.run(t.spark, t.base)
+
+
+@catalog.query()
+def op4_near_lines(t: Tables) -> DataFrame:
+    found = near_lines(t.documents)
+    return found.withColumnsRenamed({"class_key": "class_doc_id"})
+
+
+@catalog.query()
+def op8_packed_shards(t: Tables) -> DataFrame:
+    placed = packed(t.documents, 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
