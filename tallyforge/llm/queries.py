@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyforge.llm.bin_packing import packed
+from tallyforge.llm.chaining import shared_passages
 from tallyforge.llm.edit_join import near_lines
 from tallyforge.llm.embedding_lsh import contained_items
 from tallyforge.llm.hyper_minhash import near_duplicates
@@ -86,3 +87,8 @@ def op8_packed_shards(t: Tables) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@catalog.query()
+def op5_shared_passages(t: Tables) -> DataFrame:
+    return shared_passages(t.documents)
