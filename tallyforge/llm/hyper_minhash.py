@@ -84,19 +84,21 @@ def estimated_similarity(a: str, b: str, size_a: str, size_b: str) -> Column:
     return (equal / REGISTERS - chance) / (1 - chance)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, slack: float = 0.25) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, slack: float = 0.15) -> DataFrame:
     """``key, n_shingles long, component_id long``: the smallest key that links lead to.
 
     A link: 100 * shared shingles >= ``percent`` * all shingles of both, on whole sets (of 64-bit shingle
     hashes). Documents with equal sets are one class from the start and stand in for each other. Classes
     whose bands agree are candidates. Pairs whose corrected estimate is below the threshold by
-    more than ``slack`` (seven standard deviations of 128 registers at 0.8) are dropped, the others are
-    confirmed on their texts.
+    more than ``slack`` (four standard deviations of 128 registers at 0.8) are dropped, the others are
+    confirmed on their texts. Texts of candidates are fetched once.
 
     No bucket gives all its pairs. First every member meets the smallest and the largest of its bucket, and
     the confirmed links make components. Only members of a bucket that are not in its largest
     component then meet those of other components of the bucket: within a component a further link
-    changes nothing.
+    changes nothing. Before they meet, the shingles that no other candidate has are counted: a pair shares at
+    most the others, and if that cannot make a link, the join drops the pair. Families of copies too far
+    apart to be linked thus give no pairs, however large they are.
 
     Texts without words are linked with nothing and are their own component. Rows with a null key come back
     with a null component; repeated rows come back as often, and a key with several texts stands for all of
@@ -134,31 +136,64 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     buckets = stage_table(bands.join(ends, "bucket"), "buckets")
     star = buckets.select(F.col("rep").alias("x"), F.explode(F.array("low", "high")).alias("y")).filter("x <> y")
     star = star.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    confirmed = stage_table(_confirmed(star, classes, rows, words, percent, slack), "links")
+    # Dealt by key at every size, so that what is moved stays in proportion to the input.
+    candidates = buckets.select(F.col("rep").alias("c_key")).distinct()
+    texts = rows.repartition("key").join(candidates, F.col("key") == F.col("c_key"), "left_semi")
+    texts = stage_table(texts.groupBy("key").agg(F.collect_set("text").alias("texts")), "candidates")
+    confirmed = stage_table(_confirmed(star, classes, texts, words, percent, slack), "links")
     groups = components(confirmed)
 
     # What is left: members of buckets that hold several components.
     placed = buckets.join(groups, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
-    mixed_buckets = stage_table(placed.join(main.filter("parts > 1"), "bucket"), "mixed")
-    stray = mixed_buckets.filter("component <> main").select("bucket", F.col("rep").alias("x"), F.col("component").alias("cx"))
-    other = mixed_buckets.select("bucket", F.col("rep").alias("y"), F.col("component").alias("cy"), "main")
-    cross = stray.join(other, "bucket").filter("cx <> cy AND (cy = main OR x < y)")
-    cross = cross.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().join(star, ["x", "y"], "left_anti")
-    rest = stage_table(_confirmed(cross, classes, rows, words, percent, slack), "links")
+    members = stage_table(placed.join(main.filter("parts > 1"), "bucket"), "mixed")
+    shared = _shared_shingles(members.select(F.col("rep").alias("m_key")).distinct(), texts, words)
+    members = members.join(shared, F.col("rep") == F.col("s_key"), "left")
+    members = members.filter("size IS NULL OR 100 * common >= {} * size".format(percent))
+    columns = ("bucket", "rep", "component", "size", "common")
+    stray = members.filter("component <> main").select("bucket", *(F.col(c).alias(f"x_{c}") for c in columns[1:]))
+    other = members.select("bucket", "main", *(F.col(c).alias(f"y_{c}") for c in columns[1:]))
+    most = F.least("x_common", "y_common")
+    possible = 100 * most >= percent * (F.col("x_size") + F.col("y_size") - most)
+    apart = F.expr("x_component <> y_component AND (y_component = main OR x_rep < y_rep)")
+    cross = stray.join(other, (stray["bucket"] == other["bucket"]) & apart & F.coalesce(possible, F.lit(True)))
+    cross = cross.select(F.least("x_rep", "y_rep").alias("x"), F.greatest("x_rep", "y_rep").alias("y")).distinct()
+    cross = cross.join(star, ["x", "y"], "left_anti")
+    rest = stage_table(_confirmed(cross, classes, texts, words, percent, slack), "links")
 
     groups = components(confirmed.unionByName(rest).unionByName(same_set))
     found = sketched.join(groups, F.col("key") == F.col("node"), "left")
     return found.select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id"))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, percent: int, slack: float) -> DataFrame:
-    """``a, b``: the pairs of classes ``x, y`` that are links, by their keys.
+def _shared_shingles(keys: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``s_key, size, common``: how many shingles a candidate has, and how many of them some other one has too.
 
-    Only texts of classes in some pair that passes the estimate are shuffled, once for each such pair and
-    once for each class.
+    Keys with several texts are left out: nothing is dropped on their account.
     """
+    schema = pa.schema([("key", pa.int64()), ("shingle", pa.int64())])
+
+    def shingles(piece: pa.RecordBatch) -> dict:
+        hashes, found, keys = WordHashes(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for key, own in zip(piece.column("key").to_pylist(), piece.column("texts").to_pylist()):
+            for text in own:
+                found.append(text_shingles(text, words, hashes))
+                keys.append(np.full(len(found[-1]), key))
+        return {"key": np.concatenate(keys), "shingle": np.concatenate(found).view(np.int64)}
+
+    wanted = texts.join(keys, F.col("key") == F.col("m_key"), "left_semi")
+    several = wanted.filter(F.size("texts") > 1).select(F.col("key").alias("v_key"))
+    each = wanted.mapInArrow(mapped(shingles, "texts", schema), "key long, shingle long")
+    seen = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("key").alias("key"))
+    alone = seen.filter("n = 1").groupBy("key").agg(F.count("*").alias("alone"))
+    sizes = each.groupBy("key").agg(F.count("*").alias("size")).join(alone, "key", "left")
+    sizes = sizes.join(several, F.col("key") == F.col("v_key"), "left_anti")
+    return sizes.select(F.col("key").alias("s_key"), "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, slack: float) -> DataFrame:
+    """``a, b``: the pairs of classes ``x, y`` that are links, by their keys."""
     sketch = classes.select("rep", "n", "registers")
     left = sketch.select(*(F.col(c).alias(f"x_{c}") for c in sketch.columns))
     right = sketch.select(*(F.col(c).alias(f"y_{c}") for c in sketch.columns))
@@ -166,9 +201,6 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int
     likely = likely.filter(100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
     likely = likely.filter(estimated_similarity("x_registers", "y_registers", "x_n", "y_n") >= percent / 100 - slack)
     likely = stage_table(likely.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "likely")
-
-    needed = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    texts = rows.join(needed, "key", "left_semi").groupBy("key").agg(F.collect_set("text").alias("texts"))
     second = likely.join(texts.select(F.col("key").alias("b"), F.col("texts").alias("second")), "b")
     both = second.join(texts.select(F.col("key").alias("a"), F.col("texts").alias("first")), "a")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
