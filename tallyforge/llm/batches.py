@@ -31,16 +31,17 @@ def slices(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
 
 
 def mapped(work: Callable[[pa.RecordBatch], dict[str, object] | None], text: str, schema: pa.Schema):
-    """A function for ``mapInArrow``: ``work`` makes the columns of the output from a slice of the input."""
+    """A function for ``mapInArrow``: ``work`` makes the columns of the output from a slice of the input.
+
+    Lists become arrays of the types of ``schema``; Arrow arrays are passed on with the type they have.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, text):
             made = work(piece)
             if made is not None:
-                yield pa.RecordBatch.from_arrays(
-                    [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for f, v in ((f, made[f.name]) for f in schema)],
-                    schema=schema,
-                )
+                arrays = [made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], type=f.type) for f in schema]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return run
 

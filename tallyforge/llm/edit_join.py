@@ -141,34 +141,45 @@ def near_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: i
     parities differ in no more bits than the edits can change; the others are dropped inside the join. Texts of
     lines in some pair alone are then fetched and compared. A line stands for all its copies.
 
-    Null and empty texts have no lines; null keys come last; repeated rows are later occurrences. Other
-    columns are not read.
+    Null and empty texts have no lines; null keys come last; rows that repeat key and text are one occurrence
+    and judged alike. Other columns are not read.
     """
+    return _judged_lines(docs, key, text, most, chars_per_edit).drop("row")
+
+
+def _row(key: str, text: str):
+    """Tells rows apart that differ in key or text; nulls as well."""
+    return F.xxhash64(F.col(key).cast("long"), F.col(text))
+
+
+def _judged_lines(docs: DataFrame, key: str, text: str, most: int, chars_per_edit: int) -> DataFrame:
+    """``near_lines`` with the column ``row`` of ``_row``."""
     kind = docs.schema[key].dataType
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    schema = pa.schema([("key", pa.int64()), ("line_no", pa.int32()), ("line", pa.int64())])
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), _row(key, text).alias("row"))
+    schema = pa.schema([("row", pa.int64()), ("key", pa.int64()), ("line_no", pa.int32()), ("line", pa.int64())])
 
     def occurrences(piece: pa.RecordBatch) -> dict:
         made: dict[str, list] = {f.name: [] for f in schema}
-        for k, t in zip(piece.column("key").to_pylist(), piece.column("text").to_pylist()):
+        for r, k, t in zip(*(piece.column(c).to_pylist() for c in ("row", "key", "text"))):
             for number, line in _shown_lines(t):
-                for name, value in zip(made, (k, number, line_number(line))):
+                for name, value in zip(made, (r, k, number, line_number(line))):
                     made[name].append(value)
         return made
 
-    seen = stage_table(rows.mapInArrow(mapped(occurrences, "text", schema), "key long, line_no int, line long"), "lines")
+    ddl = "row long, key long, line_no int, line long"
+    seen = stage_table(rows.mapInArrow(mapped(occurrences, "text", schema), ddl), "lines")
     linked = stage_table(links(rows, most, chars_per_edit), "line-links")
     classes = components(linked).select(F.col("node").alias("line"), F.col("component").alias("class"))
     both = linked.select(F.col("a").alias("line")).unionByName(linked.select(F.col("b").alias("line")))
     degrees = both.groupBy("line").agg(F.count("*").alias("n_links"))
     known = classes.join(degrees, "line")
     placed = seen.join(known, "line", "left").withColumn("class", F.coalesce("class", "line"))
-    place = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("class_key"), F.col("line_no").alias("class_line_no"))
-    # Rows that are equal in key and line number are told apart by their number, so that one of them is kept.
+    place = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("class_key"), F.col("line_no").alias("class_line_no"), F.col("row").alias("class_row"))
     firsts = placed.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     joined = placed.join(firsts, "class", "left")
-    own = F.struct(F.col("first.class_key").eqNullSafe(F.col("key")) & (F.col("first.class_line_no") == F.col("line_no"))).getField("col1")
+    own = (F.col("first.class_row") == F.col("row")) & (F.col("first.class_line_no") == F.col("line_no"))
     return joined.select(
+        "row",
         F.col("key").cast(kind).alias(key),
         "line_no",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -221,17 +232,18 @@ def links(rows: DataFrame, most: int, chars_per_edit: int) -> DataFrame:
 
 
 def without_later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = 2, chars_per_edit: int = 20) -> DataFrame:
-    """``docs`` without the lines that are not kept; documents left without any line go.
+    """``docs`` without the lines that ``near_lines`` does not keep; documents left without any line go.
 
-    Documents that lose nothing keep their text as it is. Needs unique keys, as documents have.
+    All columns stay. Documents that lose nothing keep their text as it is, also those without any line.
     """
-    found = near_lines(docs, key, text, most, chars_per_edit)
-    lost = found.groupBy(F.col(key).alias("l_key")).agg(
-        F.collect_set(F.when(~F.col("kept"), F.col("line_no"))).alias("l_lines"), F.count("*").alias("l_count")
-    )
-    lost = lost.filter(F.size("l_lines") > 0)
-    joined = docs.join(lost, F.col(key) == F.col("l_key"), "left")
-    left = F.filter(F.split(text, "\n", -1), lambda line, k: ~F.array_contains(F.coalesce("l_lines", F.array().cast("array<int>")), k))
-    cleaned = F.when(F.col("l_key").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    gone = F.coalesce(F.size("l_lines") == F.col("l_count"), F.lit(False))
-    return joined.filter(~gone).select(*(cleaned.alias(c) if c == text else docs[c] for c in docs.columns))
+    found = _judged_lines(docs, key, text, most, chars_per_edit)
+    numbers = F.collect_set(F.when(~F.col("kept"), F.col("line_no")))
+    lost = found.groupBy(F.col("row").alias("_row")).agg(numbers.alias("_lines"), F.count_distinct("line_no").alias("_count"))
+    lost = lost.filter(F.size("_lines") > 0)
+    # Dealt out at every size, so that what is moved stays in proportion to the input.
+    told = docs.select(F.struct(*docs.columns).alias("_doc"), _row(key, text).alias("_row")).repartition("_row")
+    joined = told.join(lost, "_row", "left").filter("_lines IS NULL OR size(_lines) < _count")
+    whole = F.col("_doc").getField(text)
+    left = F.filter(F.split(whole, "\n", -1), lambda line, k: ~F.array_contains("_lines", k))
+    cleaned = F.when(F.col("_lines").isNull(), whole).otherwise(F.array_join(left, "\n"))
+    return joined.select(*((cleaned if c == text else F.col("_doc").getField(c)).alias(c) for c in docs.columns))

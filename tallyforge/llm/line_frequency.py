@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyforge.llm.batches import mapped
 from tallyforge.session import stage_table
@@ -114,6 +116,7 @@ def judged(
     share: float = 0.01,
     depleted_percent: int = 50,
     min_words: int = 50,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The measures of every document, what is left of it, and whether it is kept.
 
@@ -122,17 +125,27 @@ def judged(
     A document is kept if the base rules pass and at least ``depleted_percent`` of its words are left.
 
     A null text has no words, fails the base rules and stays null; a null host is a host of its own; null
-    and repeated keys are passed on, one row for each row. Other columns are not read.
+    and repeated keys are passed on, one row for each row. Columns named in ``carry`` come along in the
+    struct ``carried``; others are not read.
     """
     kind = docs.schema[key].dataType
     over = stage_table(frequent_lines(docs, text, host, least, share), "frequent-lines")
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
-    rows = rows.join(over.withColumnRenamed("host", "o_host"), F.col("host").eqNullSafe(F.col("o_host")), "left").select("key", "lines", "text")
+    rows = docs.select(
+        F.col(key).cast("long").alias("key"),
+        F.col(host).cast("string").alias("host"),
+        F.col(text).alias("text"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
+    )
+    rows = rows.join(over.withColumnRenamed("host", "o_host"), F.col("host").eqNullSafe(F.col("o_host")), "left").drop("host", "o_host")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words")
     schema = pa.schema([("key", pa.int64()), *((c, pa.int64()) for c in counts), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("cleaned", pa.string())])
+    made_schema = StructType.fromDDL(f"key long, {', '.join(f'{c} long' for c in counts)}, base_failed boolean, kept boolean, cleaned string")
+    if carry:
+        made_schema = made_schema.add("carried", rows.schema["carried"].dataType)
+        schema = schema.append(pa.field("carried", pa.null()))  # passed on with its own type
 
     def judge(piece: pa.RecordBatch) -> dict:
-        made: dict[str, list] = {f.name: [] for f in schema}
+        made: dict[str, list] = {f.name: [] for f in schema if f.name != "carried"}
         for k, lines, t in zip(*(piece.column(c).to_pylist() for c in ("key", "lines", "text"))):
             found = measures(t)
             cleaned, removed = without(t, frozenset(lines)) if lines and t else (t, 0)
@@ -140,10 +153,9 @@ def judged(
             kept = not failed and 100 * (found[0] - removed) >= depleted_percent * found[0]
             for name, value in zip(made, (k, *found, removed, failed, kept, cleaned)):
                 made[name].append(value)
-        return made
+        return made | ({"carried": piece.column("carried")} if carry else {})
 
-    ddl = f"key long, {', '.join(f'{c} long' for c in counts)}, base_failed boolean, kept boolean, cleaned string"
-    return rows.mapInArrow(mapped(judge, "text", schema), ddl).withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
+    return rows.mapInArrow(mapped(judge, "text", schema), made_schema).withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
 
 
 def without(text: str, lines: frozenset[int]) -> tuple[str, int]:
