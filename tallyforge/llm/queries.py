@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallyforge.llm.bin_packing import packed
 from tallyforge.llm.chaining import shared_passages
+from tallyforge.llm.difference_cover import without_earlier_strings
 from tallyforge.llm.edit_join import near_lines
 from tallyforge.llm.embedding_lsh import contained_items
 from tallyforge.llm.hyper_minhash import near_duplicates
@@ -92,3 +93,15 @@ def op8_packed_shards(t: Tables) -> DataFrame:
 @catalog.query()
 def op5_shared_passages(t: Tables) -> DataFrame:
     return shared_passages(t.documents)
+
+
+@catalog.query()
+def op7_repeated_bytes(t: Tables) -> DataFrame:
+    found = without_earlier_strings(t.documents)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda total, span: total + span["stop"] - span["start"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
