@@ -69,11 +69,13 @@ def gumbel(*columns: str, seed: int) -> Column:
 
 
 def resampled(
-    docs: DataFrame, target: DataFrame, share: float, key: str = "doc_id", text: str = "text", temperature: float = 0.002, seed: int = 17
+    docs: DataFrame, target: DataFrame, share: float, key: str = "doc_id", text: str = "text", temperature: float = 0.002, seed: int = 17,
+    target_rows: int = 20_000,
 ) -> DataFrame:
     """``key, n_grams long, log_weight, noisy, kept``: every document, and whether it is drawn.
 
-    ``target`` has the keys (column ``key``) of documents that the drawn ones should look like. Two models
+    ``target`` has the keys (column ``key``) of documents that the drawn ones should look like; of these at most
+    ``target_rows``, chosen by a hash, are used, so their keys can be sent to all tasks. Two models
     of hashed words and pairs, one of the target and one of all documents, give each document its mean log
     ratio for an n-gram, ``log_weight``. Gumbel noise is added to it over ``temperature``, and the ``share`` of
     documents with the largest sums is kept: a draw without replacement in proportion to the exponential
@@ -83,12 +85,13 @@ def resampled(
     equal in all columns. Without a target document all weights are 0. An empty table gives no rows.
     """
     kind = docs.schema[key].dataType
-    wanted = target.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("w_key")).distinct().withColumn("hit", F.lit(1))
+    wanted = target.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("w_key")).distinct()
+    wanted = stage_table(wanted.orderBy(F.xxhash64("w_key"), "w_key").limit(target_rows), "target")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    # Only the texts of the target are dealt out; the raw counts are the target's and those of all rows.
-    chosen = rows.join(wanted, F.col("key") == F.col("w_key"), "left_semi")
-    labelled = rows.withColumn("kind", F.lit(0)).unionByName(chosen.withColumn("kind", F.lit(1)))
-    ratio = log_ratio(_without_target(stage_table(ngram_counts(labelled, "text", "kind"), "ngrams")))
+    # Broadcast: at most target_rows numbers.
+    labelled = rows.join(F.broadcast(wanted), F.col("key") == F.col("w_key"), "left")
+    labelled = labelled.select("text", F.col("w_key").isNotNull().cast("long").alias("kind"))
+    ratio = log_ratio(stage_table(ngram_counts(labelled, "text", "kind"), "ngrams"))
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
     schema = pa.schema([("key", pa.int64()), ("n_grams", pa.int64()), ("log_weight", pa.float64())])
 
@@ -108,14 +111,6 @@ def resampled(
     return weighed.withColumn("kept", above).withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
 
 
-def _without_target(counts: DataFrame) -> DataFrame:
-    """Counts of the target stand in those of all rows too; here each n-gram is of one kind."""
-    target = F.sum(F.when(F.col("kind") == 1, F.col("n")).otherwise(0))
-    total = F.sum(F.when(F.col("kind") == 0, F.col("n")).otherwise(0))
-    both = counts.groupBy("bucket").agg(target.alias("one"), (total - target).alias("zero"))
-    return both.select("bucket", F.explode(F.map_from_arrays(F.array(F.lit(0), F.lit(1)), F.array("zero", "one"))).alias("kind", "n"))
-
-
 def top_k_boundary(df: DataFrame, value: str, key: str, share: float, fan: int = 4096) -> tuple[float | None, int]:
     """The value and key of the last of the ``share`` of rows with the largest values.
 
