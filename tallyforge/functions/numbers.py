@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 ColumnLike = Column | str
 
 _LOW_BITS = 20
+_LARGEST = 2.0**62
 
 
 def _col(column: ColumnLike) -> Column:
@@ -23,13 +24,18 @@ def total(column: ColumnLike, places: int | None = None) -> Column:
     A plain sum of doubles differs from run to run with the order of the rows, and a decimal
     sum costs several times as much. Here the values are counted in whole units (cents for two
     places), and the units' high and low bits are summed as two integers that cannot overflow.
+    NaN, infinities and values too large to be counted so are summed plainly beside them.
     """
     if places is None:
         return F.sum(column)
     scale = 10**places
-    units = F.rint(_col(column).cast("double") * scale).cast("bigint")
+    value = _col(column).cast("double")
+    counted = F.abs(value) < _LARGEST / scale  # false for NaN, which is above all numbers
+    units = F.when(counted, F.rint(value * scale).cast("bigint"))
     high, low = F.sum(F.shiftright(units, _LOW_BITS)), F.sum(units.bitwiseAND(2**_LOW_BITS - 1))
-    return (high.cast("double") * 2**_LOW_BITS + low.cast("double")) / scale
+    exact = (high.cast("double") * 2**_LOW_BITS + low.cast("double")) / scale
+    plain = F.sum(F.when(~counted, value))
+    return F.when(plain.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + plain)
 
 
 def mean(column: ColumnLike, places: int | None = None) -> Column:

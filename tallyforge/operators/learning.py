@@ -134,9 +134,10 @@ def classification_scores(predictions: DataFrame, label: str, prediction: str =
     )
 
 
-def exportable_predictions(predictions: DataFrame, label: str, features: str = "features") -> DataFrame:
-    """Label, prediction and the features as text, ready for a table sink without a vector type."""
+def exportable_predictions(predictions: DataFrame, label: str, features: str = "features", keys: Sequence[str] = ()) -> DataFrame:
+    """Keys, label, prediction and the features as text, ready for a table sink without a vector type."""
     return predictions.select(
+        *keys,
         label,
         "prediction",
         F.concat(F.lit("["), F.array_join(vector_to_array(features).cast("array<string>"), ","), F.lit("]")).alias(

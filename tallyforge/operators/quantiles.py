@@ -9,13 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyforge.session import stage_table
 
-# A sketch of this accuracy is off by at most 1/2000 of the rows; brackets reach five times as far.
+# A sketch of this accuracy is off by at most 1/2000 of the rows.
 _ACCURACY = 2_000
-_REACH = 5 / _ACCURACY
-# Below this size the reach is only a few rows, so the bracket is the whole group.
-_SMALL = 20_000
-# Equal-width slices of a bracket, of which only those holding a wanted rank are sorted.
-_SLICES = 256
+# Brackets around a quantile, as shares of the rows on either side, the narrowest first. The last is the whole group.
+_REACHES = (2 / _ACCURACY, 0.06, 1.0)
 
 
 def approx_quantiles(
@@ -44,10 +41,11 @@ def exact_quantiles(
     Discrete by default (the least value whose cumulative share reaches p); with ``interpolate``
     linear between neighbours. ``df`` is read twice; store it first if it is costly.
 
-    The first pass sketches each group and so brackets every quantile between two values that
-    are about half a percent of the rows apart. The second counts the rows below each bracket
-    and the distinct values inside; only those are shuffled. Brackets are then cut into slices,
-    and only the slices that hold a wanted rank are sorted.
+    The first pass sketches each group and so puts nested brackets around every quantile. The
+    second counts the rows below and up to the edges of each, in one row a group. For each group and
+    quantile the narrowest bracket that holds the wanted ranks is taken, and the third pass
+    counts the distinct values inside it; only those are shuffled. They are sorted by ranges that
+    are cut where the values lie, so a large bracket is spread over tasks however it is distributed.
     """
     # Working names for the group columns, which may be called anything.
     named = {f"_by{i}": b for i, b in enumerate(by)}
@@ -56,30 +54,17 @@ def exact_quantiles(
 
 
 def _exact(rows: DataFrame, probabilities: Sequence[float], by: list[str], interpolate: bool) -> DataFrame:
-    brackets = stage_table(_brackets(rows, probabilities, by), "quantile-brackets")
-
-    spots = range(len(probabilities))
+    spots = stage_table(_spots(rows, probabilities, by, interpolate), "quantile-brackets")
+    per_group = spots.groupBy(*by).agg(F.collect_list(F.struct("p", "low", "high")).alias("spots"))
     x = F.col("value")
-    inside = F.lit(False)
-    for i in spots:
-        inside = inside | x.between(F.col(f"low{i}"), F.col(f"high{i}"))
-    counted = (
-        beside(rows, brackets, by)
-        .groupBy(*by, F.when(inside, x).alias("kept"))
-        .agg(F.count("*").alias("n"), *[F.count_if(x < F.col(f"low{i}")).alias(f"below{i}") for i in spots])
-    )
-    counted = stage_table(counted, "quantile-candidates")
-    below = counted.groupBy(*by).agg(*[F.sum(f"below{i}").alias(f"below{i}") for i in spots])
-
-    candidates = counted.filter(F.col("kept").isNotNull()).select(*by, "kept", "n")
-    placed = beside(beside(candidates, brackets, by), below, by).select(
-        *by, "kept", "n", F.explode(F.array(*[_spot(i, p, interpolate) for i, p in enumerate(probabilities)])).alias("s")
-    )
-    height = (F.col("kept") - F.col("s.low")) / (F.col("s.high") - F.col("s.low"))
-    slice_of = F.when(F.col("s.high") > F.col("s.low"), F.floor(height.cast("double") * _SLICES)).otherwise(0)
-    sliced = placed.filter(F.col("kept").between(F.col("s.low"), F.col("s.high"))).select(
-        *by, "kept", "n", "s.p", slice_of.alias("slice"), "s.below", "s.rank", "s.next_rank", "s.share"
-    )
+    # A row is looked at once for each quantile, but goes on only where it lies inside a bracket.
+    inside = F.filter("spots", lambda s: x.between(s["low"], s["high"]))
+    hit = beside(rows, per_group, by).select(*by, "value", F.explode(F.transform(inside, lambda s: s["p"])).alias("p"))
+    spot = [*by, "p"]
+    counted = hit.groupBy(*spot, "value").agg(F.count("*").alias("n"))
+    ranges = counted.repartitionByRange(*spot, "value").withColumn("slice", F.spark_partition_id())
+    ranges = stage_table(ranges, "quantile-candidates")  # written, so that a row keeps its slice
+    sliced = beside(ranges, spots.drop("low", "high"), spot)
 
     def starts(df: DataFrame, group: list[str], order: str, base: str) -> DataFrame:
         earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -88,19 +73,16 @@ def _exact(rows: DataFrame, probabilities: Sequence[float], by: list[str], inter
     def holds(rank: str) -> Column:
         return (F.col(rank) > F.col("start")) & (F.col(rank) <= F.col("start") + F.col("n"))
 
-    spot, rest = [*by, "p"], ["below", "rank", "next_rank", "share"]
+    rest = ["below", "rank", "next_rank", "share"]
     slices = starts(sliced.groupBy(*spot, "slice", *rest).agg(F.sum("n").alias("n")), spot, "slice", "below")
     wanted = slices.filter(holds("rank") | holds("next_rank")).select(*spot, "slice", F.col("start").alias("slice_start"))
-    spans = starts(beside(sliced, wanted, [*spot, "slice"]), [*spot, "slice"], "kept", "slice_start")
-
+    spans = starts(beside(sliced, wanted, [*spot, "slice"]), [*spot, "slice"], "value", "slice_start")
     found = spans.groupBy(*spot).agg(
-        F.max(F.when(holds("rank"), F.col("kept"))).alias("lower"),
-        F.max(F.when(holds("next_rank"), F.col("kept"))).alias("upper"),
+        F.max(F.when(holds("rank"), F.col("value"))).alias("lower"),
+        F.max(F.when(holds("next_rank"), F.col("value"))).alias("upper"),
         F.max("share").alias("share"),
     )
-    lost = F.raise_error(F.lit("a quantile fell outside its bracket"))
-    lower, upper = F.coalesce("lower", lost), F.coalesce("upper", lost)
-    result = lower + (upper - lower) * F.col("share") if interpolate else lower
+    result = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("share") if interpolate else F.col("lower")
     return found.select(*by, "p", result.alias("value"))
 
 
@@ -123,37 +105,38 @@ def beside(rows: DataFrame, per_group: DataFrame, by: Sequence[str]) -> DataFram
     return rows.join(keyed, same).select(*rows.columns, *added)
 
 
-def _brackets(rows: DataFrame, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
-    edges = [edge for p in probabilities for edge in (max(p - _REACH, 0.0), min(p + _REACH, 1.0))]
+def _spots(rows: DataFrame, probabilities: Sequence[float], by: list[str], interpolate: bool) -> DataFrame:
+    """For each group and p: the bracket to search, the rows below it, and the 1-based rank(s) wanted."""
+    levels = range(len(_REACHES) - 1)
+    edges = [e for p in probabilities for k in levels for e in (max(p - _REACHES[k], 0.0), min(p + _REACHES[k], 1.0))]
     sketch = rows.groupBy(*by).agg(
-        F.count("value").alias("size"),
         F.min("value").alias("least"),
         F.max("value").alias("most"),
         F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), _ACCURACY).alias("edges"),
     )
-    small = F.col("size") <= _SMALL
-    bounds = []
-    for i in range(len(probabilities)):
-        bounds.append(F.when(small, F.col("least")).otherwise(F.col("edges")[2 * i]).alias(f"low{i}"))
-        bounds.append(F.when(small, F.col("most")).otherwise(F.col("edges")[2 * i + 1]).alias(f"high{i}"))
-    return sketch.select(*by, "size", *bounds)
-
-
-def _spot(i: int, p: float, interpolate: bool):
-    """Where a quantile lies in its group: its bracket, the rows below that, and the 1-based rank(s)."""
-    size = F.col("size")
-    if interpolate:
-        position = (size - 1) * F.lit(float(p))
-        rank, next_rank, share = F.floor(position) + 1, F.ceil(position) + 1, position - F.floor(position)
-    else:
-        rank = next_rank = F.greatest(F.ceil(size * F.lit(float(p))), F.lit(1))
-        share = F.lit(0.0)
-    return F.struct(
-        F.lit(float(p)).alias("p"),
-        F.col(f"low{i}").alias("low"),
-        F.col(f"high{i}").alias("high"),
-        F.col(f"below{i}").alias("below"),
-        rank.alias("rank"),
-        next_rank.alias("next_rank"),
-        share.alias("share"),
+    x, places = F.col("value"), range(0, len(edges), 2)
+    counted = beside(rows, sketch.select(*by, "edges"), by).groupBy(*by)
+    counts = counted.agg(
+        F.count("*").alias("size"),
+        *[F.count_if(x < F.col("edges")[i]).alias(f"below{i}") for i in places],
+        *[F.count_if(x <= F.col("edges")[i + 1]).alias(f"upto{i}") for i in places],
     )
+    size = F.col("size")
+    found = []
+    for i, p in enumerate(probabilities):
+        if interpolate:
+            position = (size - 1) * F.lit(float(p))
+            rank, next_rank, share = F.floor(position) + 1, F.ceil(position) + 1, position - F.floor(position)
+        else:
+            rank = next_rank = F.greatest(F.ceil(size * F.lit(float(p))), F.lit(1))
+            share = F.lit(0.0)
+        bracket = F.struct(F.col("least").alias("low"), F.col("most").alias("high"), F.lit(0).cast("long").alias("below"))
+        for k in reversed(levels):
+            e = 2 * (i * len(levels) + k)
+            narrower = F.struct(F.col("edges")[e].alias("low"), F.col("edges")[e + 1].alias("high"), F.col(f"below{e}").alias("below"))
+            bracket = F.when((F.col(f"below{e}") < rank) & (next_rank <= F.col(f"upto{e}")), narrower).otherwise(bracket)
+        found.append(
+            F.struct(F.lit(float(p)).alias("p"), bracket.alias("b"), rank.alias("rank"), next_rank.alias("next_rank"), share.alias("share"))
+        )
+    both = beside(sketch, counts, by).select(*by, F.explode(F.array(*found)).alias("s"))
+    return both.select(*by, "s.p", "s.b.low", "s.b.high", "s.b.below", "s.rank", "s.next_rank", "s.share")

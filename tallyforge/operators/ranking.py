@@ -17,8 +17,7 @@ def _keys(keys: Keys) -> list[str]:
 def top_with_ties(df: DataFrame, per: Keys, order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
     """Rows of rank 1..n per group. Equal rows share a rank, so a group may keep more than n.
 
-    The rank filter sits directly on the window: each task first cuts its own rows to n per
-    group, and only the survivors are shuffled.
+    Parts of each group are cut to n first, and only the survivors meet.
     """
     return _ranked(df, F.rank(), per, order, n, rank)
 
@@ -54,8 +53,15 @@ def sort_rows(df: DataFrame, columns: Sequence[str], ascending: bool | Sequence[
     return df.orderBy(*columns, ascending=ascending if isinstance(ascending, bool) else list(ascending))
 
 
+# Parts of a group that are ranked apart before the group is ranked.
+_PARTS = 64
+
+
 def _ranked(df, function: Column, per: Keys, order: Sequence[Column], n: int, rank: str | None) -> DataFrame:
-    name = rank or "_rank"
-    window = Window.partitionBy(*_keys(per)).orderBy(*order)
-    kept = df.withColumn(name, function.over(window)).filter(F.col(name) <= n)
+    """Ranks parts of a group first, so for any n a task sorts a part, and at last ``_PARTS`` times n rows of a group."""
+    name, keys = rank or "_rank", _keys(per)
+    parted = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(_PARTS)))
+    first = parted.withColumn("_first", function.over(Window.partitionBy(*keys, "_part").orderBy(*order)))
+    cut = first.filter(F.col("_first") <= n).drop("_part", "_first")
+    kept = cut.withColumn(name, function.over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(name) <= n)
     return kept if rank else kept.drop(name)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tallyforge.operators.joins import join_on_pairs
 from tallyforge.operators.quality import drop_incomplete, impute_mean
+from tallyforge.session import stage_table
 from tallyforge.sources.relational import write_table
 
 
@@ -28,9 +29,15 @@ def cross(
     right_key: str,
     prepare: Callable[..., DataFrame] = clean,
     drop: tuple[str, ...] = (),
+    stored: bool = False,
 ) -> dict[str, DataFrame]:
-    """The prepared inputs and their inner join; ``drop`` names columns of the right side."""
+    """The prepared inputs and their inner join; ``drop`` names columns of the right side.
+
+    With ``stored`` the prepared inputs are written once, for use with :func:`store`, which reads all three.
+    """
     left, right = prepare(left), prepare(right, drop)
+    if stored:
+        left, right = stage_table(left, "crossing-left"), stage_table(right, "crossing-right")
     return {"left": left, "right": right, "crossed": join_on_pairs(left, right, [left_key], [right_key])}
 
 

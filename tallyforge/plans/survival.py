@@ -11,9 +11,8 @@ from tallyforge.functions.categories import encode
 from tallyforge.operators.learning import assembler, logistic_search, random_forest, split_by_key
 from tallyforge.session import stage_table
 
-# The passenger data's categories and feature columns.
+# The passenger data's categories.
 PASSENGER_CODES = {"Sex": ({"male": 1}, 0), "Embarked": ({"S": 0, "C": 1, "Q": 2}, 3)}
-PASSENGER_FEATURES = ["Pclass", "Sex", "Age", "SibSp", "Parch", "Fare", "Embarked"]
 
 
 def encoded(df: DataFrame, codes: Mapping[str, tuple[Mapping, int]]) -> DataFrame:

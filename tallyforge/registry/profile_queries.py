@@ -13,7 +13,7 @@ from tallyforge.operators.distributions import (
     profile,
     summary,
 )
-from tallyforge.plans.passengers import fill_gaps, report
+from tallyforge.plans.passengers import fill_gaps, long_report, report
 from tallyforge.registry.catalog import Catalog
 from tallyforge.registry.quality_queries import GAPPED_SQL, gapped
 from tallyforge.sources.tables import Tables
@@ -111,3 +111,64 @@ def profile_filled(t: Tables) -> DataFrame:
     filled = fill_gaps(raw, {"priority": "unknown", "status": "unknown"}, ["price"], accuracy=None)
     statistics = report(raw, filled, ["price"], "priority", "price")["statistics"]
     return statistics.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
+
+
+def _filled_sql() -> str:
+    """All tables of the profile of the filled rows as long rows."""
+    def long(part: str, item: str, columns: dict[str, str], source: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{part}' AS part, {item} AS item, '{name}' AS measure, CAST({value} AS DOUBLE) AS value FROM {source}"
+            for name, value in columns.items()
+        )
+
+    columns = ("o_orderkey", "priority", "status", "price")
+    box = ("count", "min", "q1", "median", "q3", "max", "whisker_low", "whisker_high", "outliers")
+    parts = [
+        long("nulls_before", "''", {c: f"COUNT(*) - COUNT({c})" for c in columns}, "gapped"),
+        long("nulls_after", "''", {c: f"COUNT(*) - COUNT({c})" for c in columns}, "filled"),
+        *(
+            long("statistics", f"'{c}'", {"count": f"COUNT({c})", "mean": f"AVG({c})", "stddev": f"STDDEV_SAMP({c})", "min": f"MIN({c})", "max": f"MAX({c})"}, "filled")
+            for c in ("o_orderkey", "price")
+        ),
+        *(long("percentiles", f"'{c}/{p}'", {"value": f"quantile_disc({c}, {p})"}, "filled") for c in ("o_orderkey", "price") for p in (0.25, 0.5, 0.75)),
+        *(
+            long("correlations", f"'{a}/{b}'", {"correlation": "1" if a == b else "CORR(o_orderkey, price)"}, "filled" if a != b else "(SELECT 1)")
+            for a in ("o_orderkey", "price")
+            for b in ("o_orderkey", "price")
+        ),
+        long("label_counts", "priority", {"count": "COUNT(*)"}, "filled GROUP BY priority"),
+        long("histogram", "CAST(bin AS VARCHAR)", {"lower": "lo + bin * width", "upper": "lo + (bin + 1) * width", "count": "COALESCE(n, 0)"}, "bins"),
+        long("box_plots", "priority", {c: f'"{c}"' for c in box}, "boxes"),
+    ]
+    rows = " UNION ALL ".join(parts)
+    return f"""WITH {GAPPED_SQL},
+        filled AS (SELECT o_orderkey, COALESCE(priority, 'unknown') AS priority, COALESCE(status, 'unknown') AS status,
+                          COALESCE(price, (SELECT quantile_disc(price, 0.5) FROM gapped)) AS price FROM gapped),
+        r AS (SELECT MIN(price) AS lo, (MAX(price) - MIN(price)) / 20 AS width FROM filled),
+        c AS (SELECT LEAST(CAST(FLOOR((price - lo) / width) AS BIGINT), 19) AS bin, COUNT(*) AS n FROM filled, r GROUP BY 1),
+        bins AS (SELECT b.bin, lo, width, n FROM (SELECT unnest(range(20)) AS bin) b CROSS JOIN r LEFT JOIN c ON b.bin = c.bin),
+        q AS (SELECT priority, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS median,
+                     quantile_cont(price, 0.75) AS q3 FROM filled GROUP BY priority),
+        boxes AS (SELECT priority, COUNT(*) AS "count", MIN(price) AS "min", q1, median, q3, MAX(price) AS "max",
+                         LEAST(MIN(price) FILTER (price >= q1 - 1.5 * (q3 - q1)), q1) AS whisker_low,
+                         GREATEST(MAX(price) FILTER (price <= q3 + 1.5 * (q3 - q1)), q3) AS whisker_high,
+                         COUNT(*) FILTER (price NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
+                  FROM filled JOIN q USING (priority) GROUP BY priority, q1, median, q3),
+        long AS ({rows})
+        SELECT part, item, measure, ROUND(value, 3) AS value FROM long"""
+
+
+@catalog.query(_filled_sql())
+def passenger_profile(t: Tables) -> DataFrame:
+    raw = gapped(t)
+    filled = fill_gaps(raw, {"priority": "unknown", "status": "unknown"}, ["price"], accuracy=None)
+    tables = report(raw, filled, ["o_orderkey", "price"], "priority", "price")
+    labels = {
+        "statistics": ["column"],
+        "percentiles": ["column", "p"],
+        "correlations": ["left", "right"],
+        "label_counts": ["priority"],
+        "histogram": ["bin"],
+        "box_plots": ["priority"],
+    }
+    return long_report(tables, labels).withColumn("value", F.round("value", 3))

@@ -11,9 +11,10 @@ from tallyforge.operators.quality import (
     fill,
     impute_mean,
     impute_median,
-    mark_problems,
     null_counts,
+    split_valid,
 )
+from tallyforge.operators.quantiles import beside
 from tallyforge.registry.catalog import Catalog
 from tallyforge.sources.tables import Tables
 
@@ -61,9 +62,20 @@ def impute_median_exact(t: Tables) -> DataFrame:
     return impute_median(gapped(t).select("o_orderkey", "price"), ["price"])
 
 
-@catalog.query()
+@catalog.query(f"WITH {GAPPED_SQL} SELECT o_orderkey, price IS NULL AS gap, TRUE AS within FROM gapped")
 def impute_median_sketch(t: Tables) -> DataFrame:
-    return impute_median(gapped(t).select("o_orderkey", "price"), ["price"], accuracy=100)
+    """For every row whether it was a gap, and whether its fill is a median within the sketch's rank error."""
+    accuracy = 100
+    raw = gapped(t).select("o_orderkey", "price", F.col("price").isNull().alias("gap"))
+    filled = impute_median(raw, ["price"], accuracy=accuracy)
+    value = filled.agg(F.max(F.when(F.col("gap"), F.col("price"))).alias("fill"))
+    price = F.col("price")
+    ranks = beside(raw, value, []).agg(
+        F.count_if(price < F.col("fill")).alias("below"), F.count_if(price <= F.col("fill")).alias("upto"), F.count("price").alias("n")
+    )
+    near = (F.col("below") <= F.col("n") * (0.5 + 1 / accuracy)) & (F.col("upto") >= F.col("n") * (0.5 - 1 / accuracy))
+    found = beside(filled, ranks.select(near.alias("near")), [])
+    return found.select("o_orderkey", "gap", (~F.col("gap") | F.col("near")).alias("within"))
 
 
 @catalog.query(
@@ -104,11 +116,12 @@ def dedup_rows(t: Tables) -> DataFrame:
 
 
 @catalog.query(
-    """SELECT l_orderkey, l_linenumber,
-              concat_ws(',', CASE WHEN COALESCE(l_quantity <= 45, FALSE) THEN NULL ELSE 'quantity' END,
-                             CASE WHEN COALESCE(NULLIF(l_discount, 0) >= 0.01, FALSE) THEN NULL ELSE 'discount' END,
-                             CASE WHEN COALESCE(l_tax < 0.08, FALSE) THEN NULL ELSE 'tax' END) AS problems
-       FROM lineitem"""
+    """SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN problems = '' THEN 'valid' ELSE 'rejected' END AS side, problems
+       FROM (SELECT l_orderkey, l_linenumber, l_quantity,
+                    concat_ws(',', CASE WHEN COALESCE(l_quantity <= 45, FALSE) THEN NULL ELSE 'quantity' END,
+                                   CASE WHEN COALESCE(NULLIF(l_discount, 0) >= 0.01, FALSE) THEN NULL ELSE 'discount' END,
+                                   CASE WHEN COALESCE(l_tax < 0.08, FALSE) THEN NULL ELSE 'tax' END) AS problems
+             FROM lineitem)"""
 )
 def validate_split(t: Tables) -> DataFrame:
     rules = {
@@ -116,5 +129,8 @@ def validate_split(t: Tables) -> DataFrame:
         "discount": F.nullif("l_discount", F.lit(0.0)) >= 0.01,
         "tax": F.col("l_tax") < 0.08,
     }
-    marked = mark_problems(t.lineitem, rules)
-    return marked.select("l_orderkey", "l_linenumber", F.array_join("problems", ",").alias("problems"))
+    valid, rejected = split_valid(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"), rules)
+    shown = ["l_orderkey", "l_linenumber", "l_quantity"]
+    return valid.select(*shown, F.lit("valid").alias("side"), F.lit("").alias("problems")).unionByName(
+        rejected.select(*shown, F.lit("rejected").alias("side"), F.array_join("problems", ",").alias("problems"))
+    )

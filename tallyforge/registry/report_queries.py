@@ -14,6 +14,7 @@ from tallyforge.plans.daily_spend import RATES, daily_spend, in_fixed_currencies
 from tallyforge.plans.top_entities import activity_per_entity, top_per_region, with_daily_average
 from tallyforge.registry.catalog import Catalog, half_up, money
 from tallyforge.registry.join_queries import CURRENCY_SQL, RATES_SQL, customers_with_currency
+from tallyforge.operators.upsert import upsert
 from tallyforge.session import stage_table
 from tallyforge.sources.memory import rates_table
 from tallyforge.sources.tables import Tables
@@ -100,9 +101,9 @@ _LINES_SQL = """lines AS (
         FROM lineitem)"""
 
 
-def _lines(t: Tables) -> DataFrame:
+def _lines(lineitem: DataFrame) -> DataFrame:
     """Order lines as till lines: the supplier is the till, the part the product."""
-    return t.lineitem.select(
+    return lineitem.select(
         F.col("l_suppkey").alias("till"),
         F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("product"),
         F.col("l_quantity").alias("quantity"),
@@ -136,12 +137,12 @@ def _dirty(t: Tables) -> DataFrame:
 
 @catalog.query(f"WITH {_LINES_SQL} SELECT till, {money('quantity * unit_price')} AS total_sold FROM lines GROUP BY till")
 def totals_by_till(t: Tables) -> DataFrame:
-    return tills.totals_by_till(tills.with_sale(_lines(t)), places=2)
+    return tills.totals_by_till(tills.with_sale(_lines(t.lineitem)), places=2)
 
 
 @catalog.query(f"WITH {_LINES_SQL} SELECT product, {money('quantity')} AS units FROM lines GROUP BY product")
 def totals_by_product(t: Tables) -> DataFrame:
-    return tills.totals_by_product(_lines(t), places=2)
+    return tills.totals_by_product(_lines(t.lineitem), places=2)
 
 
 @catalog.query(
@@ -178,12 +179,12 @@ def _metrics_sql(source: str) -> str:
 
 @catalog.query(f"WITH {_LINES_SQL}, {_metrics_sql('lines')} SELECT best_till, worst_till, p25, p50, p75 FROM wide")
 def till_metrics(t: Tables) -> DataFrame:
-    return tills.till_metrics(tills.totals_by_till(tills.with_sale(_lines(t)), places=2))
+    return tills.till_metrics(tills.totals_by_till(tills.with_sale(_lines(t.lineitem)), places=2))
 
 
 @catalog.query(f"WITH {_LINES_SQL}, {_metrics_sql('lines')} SELECT top_by_units, top_by_income FROM wide")
 def product_metrics(t: Tables) -> DataFrame:
-    return tills.product_metrics(_lines(t), places=2)
+    return tills.product_metrics(_lines(t.lineitem), places=2)
 
 
 def _long_sql() -> str:
@@ -199,7 +200,28 @@ def _long_sql() -> str:
     f"""WITH {_LINES_SQL}, unique_lines AS (SELECT DISTINCT * FROM lines), {_metrics_sql("unique_lines")} {_long_sql()}"""
 )
 def metrics_long(t: Tables) -> DataFrame:
-    return _day_shown(tills.report(_lines(t), date(2024, 10, 16), places=2))
+    return _day_shown(tills.report(_lines(t.lineitem), date(2024, 10, 16), places=2))
+
+
+def _report_sql(condition: str, day: str) -> str:
+    lines = _LINES_SQL.replace("FROM lineitem", f"FROM lineitem WHERE {condition}")
+    rows = _long_sql().replace("2024-10-16", day)
+    return f"SELECT * FROM (WITH {lines}, unique_lines AS (SELECT DISTINCT * FROM lines), {_metrics_sql('unique_lines')} {rows})"
+
+
+@catalog.query(f"""{_report_sql("l_linestatus = 'O'", "2024-10-16")} UNION ALL {_report_sql("l_returnflag <> 'R'", "2024-10-17")}""")
+def metrics_upserted(t: Tables) -> DataFrame:
+    """Reports of two dates put into one table; the first date is reported again and replaces its rows."""
+    first, second = date(2024, 10, 16), date(2024, 10, 17)
+
+    def made(kept: str | None, on: date) -> DataFrame:
+        chosen = t.lineitem.filter(kept) if kept else t.lineitem
+        return tills.report(_lines(chosen), on, places=2)
+
+    stored = made(None, first)
+    for changes in (made("l_returnflag <> 'R'", second), made("l_linestatus = 'O'", first)):
+        stored = upsert(stored, changes, ["metric", "day"])
+    return _day_shown(stored)
 
 
 # Customers stand for census rows, yearly order figures per nation for crime rows.

@@ -9,9 +9,9 @@ from tallyforge.functions.numbers import total
 from tallyforge.operators.projection import preview
 from tallyforge.operators.upsert import upsert
 from tallyforge.registry.catalog import Catalog, money
-from tallyforge.session import at_least_parallel, scratch_path
+from tallyforge.session import scratch_path
 from tallyforge.sources.delimited import read_csv, read_csv_inferred, write_csv
-from tallyforge.sources.documents import flatten_till_documents, valid_lines
+from tallyforge.sources.documents import flatten_till_documents, rejected_lines, valid_lines
 from tallyforge.sources.tables import Tables
 from tallyforge.streaming.messages import as_text, folder_messages, to_parquet
 
@@ -45,7 +45,7 @@ def csv_roundtrip(t: Tables) -> DataFrame:
     totals = t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n_lines"), total("l_quantity", 2).alias("units")
     )
-    write_csv(totals, path, single_file_rows=10_000)
+    write_csv(totals, path, files=1)
     return read_csv(t.spark, path, totals.schema)
 
 
@@ -55,18 +55,40 @@ def preview_limit(t: Tables) -> DataFrame:
     return preview(rows, 35, [F.desc("o_totalprice"), F.asc("o_orderkey")])
 
 
-@catalog.query(
-    """SELECT l_orderkey AS document, l_linenumber AS line, l_suppkey AS till, 'part ' || l_partkey AS product,
-              l_quantity AS quantity, l_extendedprice AS unit_price, strftime(l_shipdate, '%Y-%m-%d') AS sold_on
-       FROM lineitem
+_DOCUMENTS_SQL = """WITH lines AS (
+           SELECT l_orderkey, MIN(l_suppkey) OVER (PARTITION BY l_orderkey) AS till, l_partkey, l_quantity, l_extendedprice, l_tax,
+                  strftime(l_shipdate, '%Y-%m-%d') AS day
+           FROM lineitem)
+       SELECT l_orderkey AS document, till, 'part ' || l_partkey AS product, l_quantity AS quantity,
+              l_extendedprice AS unit_price, day AS sold_on
+       FROM lines
        UNION ALL
-       SELECT l_orderkey, l_linenumber, l_suppkey, 'tax', 1.0, l_tax, NULL FROM lineitem"""
-)
+       SELECT l_orderkey, till, 'tax', 1.0, l_tax, NULL FROM lines"""
+
+
+def _documents(t: Tables, head: str, purchase: str) -> DataFrame:
+    """One document for each order: each of its lines is a purchase of two items, the second without a date."""
+    shown = F.format_string(
+        purchase,
+        F.col("l_partkey"),
+        F.col("l_quantity").cast("string"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+        F.date_format("l_shipdate", "yyyy/MM/dd"),
+        F.col("l_tax").cast("string"),
+    )
+    lines = t.lineitem.select("l_orderkey", "l_suppkey", F.struct("l_linenumber", shown.alias("text")).alias("line"))
+    orders = lines.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("till"), F.sort_array(F.collect_list("line")).alias("lines"))
+    text = F.concat(F.format_string(head, "till"), F.array_join("lines.text", ""))
+    return orders.select(F.col("l_orderkey").alias("document"), text.alias("text"))
+
+
+def _flat(documents: DataFrame) -> DataFrame:
+    return valid_lines(flatten_till_documents(documents)).withColumn("sold_on", F.date_format("sold_on", "yyyy-MM-dd"))
+
+
+@catalog.query(_DOCUMENTS_SQL)
 def flatten_nested_docs(t: Tables) -> DataFrame:
-    # Each order line becomes a document with two items; the second carries no date.
-    document = F.format_string(
-        "numero_caja: %d\n"
-        "compras:\n"
+    purchase = (
         "  - compra:\n"
         "    - producto:\n"
         "        nombre: part %d\n"
@@ -76,19 +98,52 @@ def flatten_nested_docs(t: Tables) -> DataFrame:
         "    - producto:\n"
         "        nombre: tax\n"
         "        cantidad: 1\n"
-        "        precio_unitario: %s\n",
-        "l_suppkey",
-        "l_partkey",
-        F.col("l_quantity").cast("string"),
-        F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
-        F.date_format("l_shipdate", "yyyy/MM/dd"),
-        F.col("l_tax").cast("string"),
+        "        precio_unitario: %s\n"
     )
-    documents = at_least_parallel(t.lineitem).select(
-        F.col("l_orderkey").alias("document"), F.col("l_linenumber").alias("line"), document.alias("text")
+    return _flat(_documents(t, "numero_caja: %d\ncompras:\n", purchase))
+
+
+@catalog.query(_DOCUMENTS_SQL)
+def flatten_dashed_docs(t: Tables) -> DataFrame:
+    purchase = (
+        "  - '- compra':\n"
+        "    - '- nombre': part %d\n"
+        "      cantidad: %s\n"
+        "      precio_unitario: %s\n"
+        "      fecha: %s\n"
+        "    - '- nombre': tax\n"
+        "      cantidad: 1\n"
+        "      precio_unitario: %s\n"
     )
-    lines = valid_lines(flatten_till_documents(documents))
-    return lines.withColumn("sold_on", F.date_format("sold_on", "yyyy-MM-dd"))
+    return _flat(_documents(t, "- '- numero_caja': %d\n- '- compras':\n", purchase))
+
+
+# Documents that are wrong in different ways, by customer, and what each is rejected for.
+_WRONG = [
+    ("numero_caja: 1\ncompras: 5\n", "purchases that are no list"),
+    ("numero_caja: 1\ncompras:\n- compra: 7\n", "purchase that is no list of items"),
+    ("numero_caja: 1\ncompras: []\n", "document without purchases"),
+    ("numero_caja: 1\ncompras: {a: 1}\n", "purchases that are no list"),
+    ("compras:\n- compra: []\n", "document without till or purchases"),
+    ("numero_caja: [\n", "unreadable document"),
+    ("numero_caja: .inf\ncompras:\n- compra:\n  - {nombre: a, cantidad: 1, precio_unitario: 2}\n", "item with an unreadable number"),
+    ("numero_caja: 3.7\ncompras:\n- compra:\n  - {nombre: a, cantidad: 1, precio_unitario: 2}\n", "item with an unreadable number"),
+    ("numero_caja: 4\ncompras:\n- compra:\n  - {nombre: a, precio_unitario: 2}\n", "item without name, quantity or price"),
+    ("numero_caja: 4\ncompras:\n- compra:\n  - {nombre: a, cantidad: many, precio_unitario: 2}\n", "item with an unreadable number"),
+]
+
+
+@catalog.query(
+    "SELECT c_custkey AS document, CASE c_custkey % 11 "
+    + " ".join(f"WHEN {k} THEN '{problem}'" for k, (_, problem) in enumerate(_WRONG))
+    + " END AS problem FROM customer WHERE c_custkey % 11 < 10"
+)
+def document_rejects(t: Tables) -> DataFrame:
+    """Every wrong document gives one row that names the problem; right ones, every eleventh, give none."""
+    right = "numero_caja: 4\ncompras:\n- compra:\n  - {nombre: a, cantidad: 1, precio_unitario: 2}\n"
+    texts = F.array(*[F.lit(text) for text, _ in _WRONG], F.lit(right))
+    documents = t.customer.select(F.col("c_custkey").alias("document"), F.element_at(texts, (F.col("c_custkey") % 11 + 1).cast("int")).alias("text"))
+    return rejected_lines(flatten_till_documents(documents)).select("document", "problem")
 
 
 @catalog.query("SELECT CAST(event_id AS VARCHAR) AS key, props AS value FROM events")

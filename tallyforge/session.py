@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,9 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+#: Scratch paths given out, by application.
+_staged: dict[str, list[str]] = {}
+
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """Create or reuse a session; ``conf`` overrides the defaults (dots written as ``__``)."""
@@ -32,16 +34,28 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
-    The folder must be reachable from every executor. Only a local session may go without
-    it; a cluster session that names none is refused rather than given a machine-local path.
+    The folder must be reachable from the driver and every executor, so none is made up: without the setting
+    a ``ValueError`` says what to set. ``remove_scratch`` deletes what a session has staged.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
-        root = tempfile.mkdtemp(prefix="tallyforge-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tallyforge/{label}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{root.rstrip('/')}/tallyforge/{label}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete every scratch path that this application was given; returns how many there were.
+
+    Call it when no DataFrame that reads a staged table is needed any more.
+    """
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    hadoop, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(hadoop).delete(target, True)
+    return len(paths)
 
 
 def stage_table(df: DataFrame, label: str) -> DataFrame:
@@ -54,13 +68,3 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def at_least_parallel(df: DataFrame) -> DataFrame:
-    """Redistribute the rows of a plain scan that has fewer partitions than the cluster has cores.
-
-    For scans that feed work costly per row, such as parsing in Python. A large input already
-    has more partitions than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -30,21 +30,13 @@ def read_csv_inferred(
     return df.toDF(*names) if names else df
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, single_file_rows: int | None = None) -> None:
-    """Replace ``path`` with ``df``.
+def write_csv(df: DataFrame, path: str, header: bool = True, files: int | None = None) -> None:
+    """Replace ``path`` with ``df``, in as many files as ``files`` says, or one for each task.
 
-    ``single_file_rows`` asks for one output file, granted only while the result has at most
-    that many rows; a larger result is written in parallel.
+    The number is always obeyed: a single file is written by a single task, whatever its size.
     """
-    if single_file_rows is None:
-        df.write.mode("overwrite").csv(path, header=header)
-        return
-    kept = df.persist()
-    try:
-        fits = kept.limit(single_file_rows + 1).count() <= single_file_rows
-        (kept.repartition(1) if fits else kept).write.mode("overwrite").csv(path, header=header)
-    finally:
-        kept.unpersist()
+    shaped = df.repartition(files) if files else df
+    shaped.write.mode("overwrite").csv(path, header=header)
 
 
 def _as_paths(path: Paths) -> str | list[str]:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 import yaml
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,34 +48,58 @@ def _has(mapping: dict, name: str) -> bool:
     return name in mapping or "- " + name in mapping
 
 
+def _rejected(problem: str) -> list[tuple]:
+    return [(None, None, None, None, None, problem)]
+
+
 def _items(text: str | None) -> list[tuple]:
+    """The items of one document, or one row that names what is wrong; never nothing."""
     try:
         document = yaml.load(text or "", Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
-    except yaml.YAMLError:
-        return [(None, None, None, None, None, "unreadable document")]
-    if isinstance(document, list):
-        document = {key: value for part in document if isinstance(part, dict) for key, value in part.items()}
+    except (yaml.YAMLError, ValueError, RecursionError):  # ValueError: a date that does not exist
+        return _rejected("unreadable document")
+    if isinstance(document, list):  # of several tills or lists of purchases the first counts
+        merged: dict = {}
+        for part in document:
+            for key, value in part.items() if isinstance(part, dict) else ():
+                merged.setdefault(key, value)
+        document = merged
     if not isinstance(document, dict) or not _has(document, TILL) or not _has(document, PURCHASES):
-        return [(None, None, None, None, None, "document without till or purchases")]
-    till = _get(document, TILL)
-    return [
-        _line(till, entry.get(PRODUCT, entry) if isinstance(entry, dict) else None)
-        for purchase in _get(document, PURCHASES) or []
-        for entry in (_get(purchase, PURCHASE) if isinstance(purchase, dict) else None) or []
-    ]
+        return _rejected("document without till or purchases")
+    purchases = _get(document, PURCHASES)
+    if not isinstance(purchases, list):
+        return _rejected("document without purchases" if purchases is None else "purchases that are no list")
+    till, found = _get(document, TILL), []
+    for purchase in purchases:
+        entries = _get(purchase, PURCHASE) if isinstance(purchase, dict) else None
+        if not isinstance(entries, list):
+            found.extend(_rejected("purchase that is no list of items"))
+            continue
+        found.extend(_line(till, entry.get(PRODUCT, entry) if isinstance(entry, dict) else None) for entry in entries)
+    return found or _rejected("document without purchases")
+
+
+def _number(value, kind: type):
+    """A number of the kind; None stays None, and what is not exactly of the kind raises."""
+    if value is None:
+        return None
+    number = float(value)
+    if kind is float:
+        return number
+    if isinstance(value, bool) or number != int(number) or abs(int(value)) >= 1 << 63:
+        raise ValueError(value)
+    return int(value)
 
 
 def _line(till, line) -> tuple:
     fields = line if isinstance(line, dict) else {}
     name, sold_on = _get(fields, NAME), fields.get(DATE)
     try:
-        quantity, price, number = (
-            None if value is None else kind(value)
-            for kind, value in ((float, fields.get(QUANTITY)), (float, fields.get(UNIT_PRICE)), (int, till))
-        )
+        quantity, price = _number(fields.get(QUANTITY), float), _number(fields.get(UNIT_PRICE), float)
+        number = _number(till, int)
         whole = _has(fields, NAME) and QUANTITY in fields and UNIT_PRICE in fields
         problem = None if whole else "item without name, quantity or price"
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, OverflowError):
         quantity, price, number, problem = None, None, None, "item with an unreadable number"
     return number, _text(name), quantity, price, _text(sold_on), problem
 
@@ -89,13 +114,80 @@ def read_document_files(spark: SparkSession, paths: str | Sequence[str]) -> Data
     return raw.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
+# The two block layouts as they are usually written: plain names, numbers and dates that mean themselves in YAML, one
+# field a line. Anything else goes through the YAML parser.
+_NAME_TEXT = r"((?!(?i:true|false|yes|no|on|off|null)\n)[A-Za-z](?:[A-Za-z0-9 ]*[A-Za-z0-9])?)"
+_NUMBER_TEXT = r"(-?(?:0|[1-9][0-9]{0,14})(?:\.[0-9]{1,6})?)"
+_DATE_TEXT = r"([0-9]{4}/[0-9]{2}/[0-9]{2}|[12][0-9]{3}-(?:0[1-9]|1[0-2])-(?:0[1-9]|1[0-9]|2[0-8]))"
+_TILL_TEXT = r"(0|[1-9][0-9]{0,17})"
+
+
+def _item_text(indent: str) -> str:
+    fields = f"\n{indent}{QUANTITY}: {_NUMBER_TEXT}\n{indent}{UNIT_PRICE}: {_NUMBER_TEXT}(?:\n{indent}{DATE}: {_DATE_TEXT})?"
+    return rf"\A{_NAME_TEXT}{fields}\n?\z"
+
+
+@dataclass(frozen=True)
+class _Layout:
+    head: str
+    purchase: str
+    item: str
+    indent: str
+
+    @property
+    def between(self) -> str:
+        """What stands before the name of an item; a purchase begins with its first item."""
+        return f"(?:{self.purchase})?{self.item}"
+
+    def is_regular(self, text: str, parts: str) -> Column:
+        start = F.col(text).rlike(rf"\A{self.head}{self.purchase}{self.item}")
+        items = F.forall(F.slice(parts, 2, F.size(parts)), lambda part: part.rlike(_item_text(self.indent)))
+        return start & F.element_at(parts, 1).rlike(rf"\A{self.head}\z") & items
+
+
+_MAPPED = _Layout(
+    f"{TILL}: {_TILL_TEXT}\n{PURCHASES}:", f"\n  - {PURCHASE}:", f"\n    - {PRODUCT}:\n        {NAME}: ", " " * 8
+)
+_DASHED = _Layout(
+    f"- '- {TILL}': {_TILL_TEXT}\n- '- {PURCHASES}':", f"\n  - '- {PURCHASE}':", f"\n    - '- {NAME}': ", " " * 6
+)
+
+
 def flatten_till_documents(documents: DataFrame, text: str = "text") -> DataFrame:
     """One row per item with the till repeated; ``problem`` names what is wrong, else null.
 
-    Columns of ``documents`` other than the text stay in front. Parsing is Python work on Arrow
-    batches: each batch of documents gives one flat batch of items, with no nested column between.
+    Columns of ``documents`` other than the text stay in front. Documents written in one of the two regular
+    block layouts are split and read by built-in functions. All others are parsed as YAML in Arrow
+    batches. Every document gives its items or a row with a problem.
     """
     carried = [c for c in documents.columns if c != text]
+    whole = documents.select(F.struct(*carried).alias("_carried") if carried else F.lit(1).alias("_carried"), F.col(text).alias("_text"))
+    dashed = F.col("_text").startswith("-")
+    parts = F.when(dashed, F.split("_text", _DASHED.between)).otherwise(F.split("_text", _MAPPED.between))
+    told = whole.withColumn("_parts", parts)
+    regular = F.when(dashed, _DASHED.is_regular("_text", "_parts")).otherwise(_MAPPED.is_regular("_text", "_parts"))
+    told = told.withColumn("_regular", F.coalesce(regular, F.lit(False)))
+
+    any_item = rf"\A(.+)\n +{QUANTITY}: (.+)\n +{UNIT_PRICE}: ([^\n]+)(?:\n +{DATE}: ([^\n]+))?\n?\z"
+    till = F.regexp_extract(F.element_at("_parts", 1), rf"{TILL}'?: ([0-9]+)", 1)
+    front = [F.col("_carried").getField(c).alias(c) for c in carried]
+    each = told.filter("_regular").select("_carried", till.cast("long").alias("till"), F.explode(F.slice("_parts", 2, F.size("_parts"))).alias("_part"))
+    fields = [F.regexp_extract("_part", any_item, k) for k in range(1, 5)]
+    read = each.select(
+        *front,
+        "till",
+        fields[0].alias("product"),
+        fields[1].cast("double").alias("quantity"),
+        fields[2].cast("double").alias("unit_price"),
+        F.nullif(fields[3], F.lit("")).alias("sold_on"),
+        F.lit(None).cast("string").alias("problem"),
+    )
+    return read.unionByName(_parsed(told.filter(~F.col("_regular")).select(*front, F.col("_text").alias(text)), text))
+
+
+def _parsed(documents: DataFrame, text: str) -> DataFrame:
+    """The same rows by the YAML parser."""
+    carried = [c for c in documents.columns if c != text]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,6 +6,7 @@ Connection settings (url, user, password, driver, ...) always come from the call
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -42,11 +43,15 @@ def read_table(
     table: str,
     split: Split | None = None,
     fetch_size: int = 10_000,
+    one_task: bool = False,
 ) -> DataFrame:
     """Scan a table; filters and column choice are pushed into the database's query.
 
-    Without a ``split`` the whole table comes through one connection and one task.
+    Without a ``split`` the whole table comes through one connection and one task, which ``one_task`` must
+    allow: it is for tables known to be small.
     """
+    if split is None and not one_task:
+        raise ValueError(f"give a split for {table}, or one_task=True for a small table")
     reader = spark.read.format("jdbc").options(**connection).option("dbtable", table)
     reader = reader.option("fetchsize", str(fetch_size))
     if split:
@@ -126,13 +131,17 @@ def upsert_table(
 ) -> str:
     """Keyed upsert: a parallel write to a staging table, then one merge run through ``execute``.
 
-    ``execute`` takes a statement, such as a database cursor's method of that name.
+    ``execute`` takes a statement, such as a database cursor's method of that name. The staging table has
+    a name of its own unless one is given, and is dropped after the merge, also after one that failed.
     """
-    staging = staging or f"{target}_staging"
+    staging = staging or f"{target}_staging_{uuid.uuid4().hex[:12]}"
     batch = latest_per_key(df, keys, version)
-    write_table(batch, connection, staging)
     statement = merge_statement(target, staging, keys, [c for c in batch.columns if c not in keys], dialect)
-    execute(statement)
+    try:
+        write_table(batch, connection, staging)
+        execute(statement)
+    finally:
+        execute(f"DROP TABLE IF EXISTS {_name(staging)}")
     return statement
 
 

@@ -13,11 +13,12 @@ from tallyforge.sources.memory import table_from_rows  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -63,7 +64,8 @@ def difference(spark, connection, base: str, name: str) -> str | None:
 def main(base: str, wanted: list[str]) -> int:
     from tallyforge.session import build_session
 
-    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
+    scratch = tempfile.mkdtemp(prefix="oracle-scratch-")
+    spark = build_session("oracle", "local[8]", spark__checkpoint__dir=scratch, spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     connection, failed = connect(base), 0
     for name in wanted or contract.queries():

@@ -148,8 +148,8 @@ def test_extremes(table, rows):
 
 
 def test_quantiles_of_four_totals(table, rows):
-    df = table([(100.0,), (200.0,), (300.0,), (400.0,)], "x double")
-    expected = [(0.25, 100.0), (0.5, 200.0), (0.75, 300.0)]
+    df = table([(8.0,), (31.5,), (46.0,), (90.25,)], "x double")
+    expected = [(0.25, 8.0), (0.5, 31.5), (0.75, 46.0)]
     assert rows(quantiles.exact_quantiles(df, "x", [0.25, 0.5, 0.75])) == expected
     assert rows(quantiles.approx_quantiles(df, "x", [0.25, 0.5, 0.75])) == expected
 
@@ -187,11 +187,44 @@ def test_exact_quantiles_against_brute_force(spark, interpolate):
     assert len(found) == len(data) * len(probabilities)
 
 
+def _candidates(spark, make):
+    """The quantiles, and how many rows were written as candidates in how many slices."""
+    from tallyforge.session import _staged
+
+    before = len(_staged.get(spark.sparkContext.applicationId, []))
+    found = make().collect()
+    paths = [p for p in _staged[spark.sparkContext.applicationId][before:] if "quantile-candidates" in p]
+    return found, spark.read.parquet(paths[-1])
+
+
 def test_exact_quantiles_shuffle_only_brackets(spark):
     df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("v"))
-    found = quantiles.exact_quantiles(df, "v", [0.5])
+    found, candidates = _candidates(spark, lambda: quantiles.exact_quantiles(df, "v", [0.5]))
     values = sorted(i * 7919 % 200_003 for i in range(200_000))
-    assert found.first()["value"] == values[99_999]
+    assert found[0]["value"] == values[99_999]
+    assert candidates.count() < 2_000
+
+
+def test_many_small_groups_store_few_rows(spark):
+    df = spark.range(40_000).select((F.col("id") % 2_000).alias("k"), (F.col("id") * 7919 % 40_009).alias("v"))
+    found, candidates = _candidates(spark, lambda: quantiles.exact_quantiles(df, "v", [0.5], by=["k"]))
+    groups = {}
+    for i in range(40_000):
+        groups.setdefault(i % 2_000, []).append(i * 7919 % 40_009)
+    assert {r["k"]: r["value"] for r in found} == {k: sorted(v)[9] for k, v in groups.items()}
+    assert candidates.count() <= 3 * 2_000
+
+
+def test_a_heavy_tail_is_spread_over_slices(spark):
+    df = spark.range(300_000).select(F.exp(F.col("id") / 15_000.0).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would share a task
+    try:
+        found, candidates = _candidates(spark, lambda: quantiles.exact_quantiles(df, "v", [0.999]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[0]["value"] == pytest.approx(math.exp(299_699 / 15_000.0))
+    sizes = [r["count"] for r in candidates.groupBy("slice").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
 
 
 def test_approximate_quantiles_stay_in_their_rank_error(spark):
@@ -256,7 +289,7 @@ def test_box_plot(table, rows):
 
 
 def test_rank_shares_places_and_row_number_does_not(table, rows):
-    df = table([("p", i, km) for i, km in enumerate([97.3, 95.5, 92.8, 92.8, 50.0, 10.0])], "region string, id int, km double")
+    df = table([("p", i, km) for i, km in enumerate([61.5, 60.0, 58.25, 58.25, 33.0, 7.5])], "region string, id int, km double")
     assert rows(ranking.top_with_ties(df, "region", [F.desc("km")], 5, rank="r"), "id", "r") == [
         (0, 1), (1, 2), (2, 3), (3, 3), (4, 5),
     ]
@@ -264,10 +297,14 @@ def test_rank_shares_places_and_row_number_does_not(table, rows):
     assert rows(ranking.top_exact(df, "region", [F.desc("km"), F.asc("id")], 3), "id") == [(0,), (1,), (2,)]
 
 
-def test_top_n_is_cut_before_the_shuffle(spark, plan):
-    df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
-    text = plan(ranking.top_exact(df, "k", [F.desc("id")], 5))
-    assert text.count("WindowGroupLimit") == 2
+@pytest.mark.parametrize("n", [5, 2000])
+def test_top_n_ranks_parts_of_a_group_first(spark, plan, n):
+    df = spark.range(0, 20_000, 1, 8).select((F.col("id") % 2).alias("k"), "id")
+    top = ranking.top_exact(df, "k", [F.desc("id")], n)
+    text = plan(top)
+    assert "hashpartitioning(k#" in text and "_part#" in text and text.count("Window [") == 2
+    found = sorted((r["k"], r["id"]) for r in top.collect())
+    assert found == sorted((k, 20_000 - 2 + k - 2 * i) for k in (0, 1) for i in range(n))
 
 
 def test_ranked_lists_and_slices(table, rows):
@@ -308,6 +345,6 @@ def test_latest_row_by_version(table, rows):
 
 
 def test_long_metrics(table, rows):
-    row = table([(1, 371490.0, "leche", None)], "till int, p25 double, product string, none double")
+    row = table([(1, 845120.0, "leche", None)], "till int, p25 double, product string, none double")
     long = metrics.long_metrics(row, {"till": "best", "p25": "p", "product": "top", "none": "nothing"})
-    assert rows(long) == [("best", "1", 1.0), ("nothing", None, None), ("p", "371490.00", 371490.0), ("top", "leche", None)]
+    assert rows(long) == [("best", "1", 1.0), ("nothing", None, None), ("p", "845120.00", 845120.0), ("top", "leche", None)]

@@ -141,19 +141,19 @@ def test_dated_report(table, rows):
 
 
 def test_clean_till_totals(table, rows):
-    sales = [("a", 100.0), ("a", -20.0), ("b", 0.0), ("c", None), (None, 50.0), ("d", -1.0), ("a", 0.55)]
+    sales = [("a", 64.25), ("a", -7.5), ("b", 0.0), ("c", None), (None, 12.0), ("d", -3.0), ("a", 0.55)]
     df = table(sales, "till string, sale double")
-    assert rows(tills.clean_totals_by_till(df, places=2)) == [("a", 100.55), ("b", 0.0)]
-    assert rows(tills.clean_totals_by_till(df)) == [("a", pytest.approx(100.55)), ("b", 0.0)]
+    assert rows(tills.clean_totals_by_till(df, places=2)) == [("a", 64.8), ("b", 0.0)]
+    assert rows(tills.clean_totals_by_till(df)) == [("a", pytest.approx(64.8)), ("b", 0.0)]
     text = table([("a", "7.5"), ("a", "bad")], "till string, sale string")
     assert rows(tills.clean_totals_by_till(text)) == [("a", 7.5)]
     assert rows(tills.clean_totals_by_till(df.limit(0))) == []
 
 
 def test_clean_product_totals(table, rows):
-    sold = [("manzana", 10), ("Manzana", 5), ("MANZANA", 3), (None, 4), ("pan", None), ("pan", 0), ("pan", -2), ("uva", 1)]
+    sold = [("queso", 7), ("Queso", 6), ("QUESO", 8), (None, 9), ("miel", None), ("miel", 0), ("miel", -4), ("kiwi", 2)]
     df = table(sold, "product string, quantity int")
-    assert rows(tills.clean_totals_by_product(df)) == [("manzana", 18), ("uva", 1)]
+    assert rows(tills.clean_totals_by_product(df)) == [("kiwi", 2), ("queso", 21)]
     half = table([("a", 1.5), ("A", 2.25)], "product string, quantity double")
     assert rows(tills.clean_totals_by_product(half)) == [("a", 3.75)]
 
@@ -181,8 +181,8 @@ def test_crossed_tables_are_stored(table, monkeypatch):
 
 
 def test_house_types_and_regression(spark, table, rows):
-    raw = table([("1.5", "221900.75"), ("x", "5")], "floors string, price string")
-    assert [(f, str(p)) for f, p in rows(housing.typed(raw))] == [(None, "5.00"), (1.5, "221900.75")]
+    raw = table([("1.5", "730415.25"), ("x", "5")], "floors string, price string")
+    assert [(f, str(p)) for f, p in rows(housing.typed(raw))] == [(None, "5.00"), (1.5, "730415.25")]
     houses = spark.range(300).select(
         (F.col("id") % 7).cast("double").alias("rooms"), (F.col("id") % 11).cast("double").alias("age")
     )

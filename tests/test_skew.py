@@ -90,3 +90,25 @@ def test_till_metrics(orders, facts):
     assert (found["best_till"], found["worst_till"]) == (ordered[-1][1], ordered[0][1])
     for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         assert found[name] == ordered[math.ceil(len(ordered) * p) - 1][0] / 100
+
+
+def test_a_hot_key_of_a_full_outer_join_is_dealt_out_by_the_plan(spark):
+    facts = spark.range(16_000).select(F.when(F.col("id") % 4 > 0, F.lit(7)).when(F.col("id") % 8 > 0, F.col("id")).alias("k"), "id")
+    entities = spark.range(10).select(F.col("id").cast("long").alias("k"), F.lit("e").alias("name"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.full_outer_to_entities(facts.withColumn("k", F.col("k").cast("long")), entities, "k")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        expected = facts.join(entities, "k", "full_outer").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == expected
+    assert max(sizes) < 12_000 * 0.6  # the hot key has 12,000 rows
+
+
+def test_a_full_outer_join_refuses_equal_names(spark):
+    df = spark.range(3).select("id", F.lit(1).alias("v"))
+    with pytest.raises(ValueError, match="both sides have v"):
+        joins.full_outer_to_entities(df, df, "id")

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.ml.linalg import Vectors
 
-from tallyforge.session import scratch_path, stage_table
+from tallyforge.session import _staged, remove_scratch, scratch_path, stage_table
 from tallyforge.sources import documents, relational
 from tallyforge.sources.delimited import read_csv, read_csv_inferred, write_csv
 
@@ -72,13 +72,12 @@ def test_csv_inferred_types_and_positions(spark, tmp_path, rows):
     }
 
 
-def test_csv_single_file_only_below_the_bound(spark, tmp_path):
+def test_csv_writes_the_number_of_files_asked_for(spark, tmp_path):
     df = spark.range(0, 100, 1, 4)
-    write_csv(df, str(tmp_path / "one"), single_file_rows=100)
-    write_csv(df, str(tmp_path / "many"), single_file_rows=99)
-    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
-    assert len(list((tmp_path / "many").glob("*.csv"))) == 4
-    assert read_csv(spark, str(tmp_path / "many"), "id bigint").count() == 100
+    for files in (1, 3, None):
+        write_csv(df, str(tmp_path / str(files)), files=files)
+    assert [len(list((tmp_path / str(n)).glob("*.csv"))) for n in (1, 3, None)] == [1, 3, 4]
+    assert read_csv(spark, str(tmp_path / "3"), "id bigint").count() == 100
 
 
 def test_tables_from_rows(table, rows):
@@ -109,14 +108,51 @@ def test_documents_in_both_layouts(spark, tmp_path, rows):
     ]
 
 
+_ITEM = "  - producto: {nombre: a, cantidad: 1, precio_unitario: 2}\n"
+
+
 def test_documents_with_unreadable_parts(table, rows):
-    text = "numero_caja: x\ncompras:\n- compra:\n  - producto: {nombre: a, cantidad: 1, precio_unitario: 2}\n"
-    flat = documents.flatten_till_documents(table([(text,), (None,), ("compras: []\nnumero_caja: 1",)], "text string"))
-    assert rows(flat, "problem") == [("document without till or purchases",), ("item with an unreadable number",)]
+    texts = [
+        ("numero_caja: x\ncompras:\n- compra:\n" + _ITEM, "item with an unreadable number"),
+        ("numero_caja: .inf\ncompras:\n- compra:\n" + _ITEM, "item with an unreadable number"),
+        ("numero_caja: 3.7\ncompras:\n- compra:\n" + _ITEM, "item with an unreadable number"),
+        (None, "document without till or purchases"),
+        ("compras: []\nnumero_caja: 1", "document without purchases"),
+        ("compras: 5\nnumero_caja: 1", "purchases that are no list"),
+        ("compras: {a: 1}\nnumero_caja: 1", "purchases that are no list"),
+        ("compras:\n- compra: 7\nnumero_caja: 1", "purchase that is no list of items"),
+        ("a: 2001-15-45", "unreadable document"),
+    ]
+    for text, problem in texts:
+        assert [item[-1] for item in documents._items(text)] == [problem]
+    flat = documents.flatten_till_documents(table([(t,) for t, _ in texts], "text string"))
+    assert rows(flat, "problem") == sorted((p,) for _, p in texts)
     with pytest.raises(ValueError, match="till lines"):
         documents.require_rows(documents.valid_lines(flat), "till lines")
 
 
+def test_of_two_tills_the_first_counts(table, rows):
+    two = "- numero_caja: 1\n- compras:\n  - compra:\n    - {nombre: a, cantidad: 1, precio_unitario: 2}\n- numero_caja: 2\n- compras: []\n"
+    assert rows(documents.flatten_till_documents(table([(two,)], "text string"))) == [(1, "a", 1.0, 2.0, None, None)]
+
+
+@pytest.mark.parametrize("name", ["leche", "Pan dulce", "yes", "null", "12", "a: b", "x #y", "ñ", "a"])
+@pytest.mark.parametrize("layout", ["mapped", "dashed"])
+def test_built_in_reading_agrees_with_the_parser(table, rows, name, layout):
+    items = [(name, "2", "1.50", "2024/01/02"), ("b", "-1", "010", None), ("c", "1e3", "7", "2024-02-31"), ("d", "4", "0.5", "2024-02-03")]
+    if layout == "mapped":
+        block = "    - producto:\n        nombre: {0}\n        cantidad: {1}\n        precio_unitario: {2}\n"
+        head, purchase, date = "numero_caja: 7\ncompras:\n", "  - compra:\n", "        fecha: {0}\n"
+    else:
+        block = "    - '- nombre': {0}\n      cantidad: {1}\n      precio_unitario: {2}\n"
+        head, purchase, date = "- '- numero_caja': 7\n- '- compras':\n", "  - '- compra':\n", "      fecha: {0}\n"
+    shown = [purchase + block.format(*item) + (date.format(item[3]) if item[3] else "") for item in items]
+    texts = [head + part for part in shown] + [head + shown[0] + shown[3], head + shown[3] + shown[1], head]
+    df = table([(k, t) for k, t in enumerate(texts)], "doc int, text string")
+    expected = sorted(((k, *item) for k, t in enumerate(texts) for item in documents._items(t)), key=str)
+    assert sorted(rows(documents.flatten_till_documents(df)), key=str) == expected
+
+
 class Recorder:
     """Stands in for a reader or writer and for the object that hands it out; keeps what it was told."""
 
@@ -216,8 +252,29 @@ def test_database_upsert_stages_one_row_per_key(table, monkeypatch, rows):
     monkeypatch.setattr(relational, "write_table", lambda df, connection, name: written.append((name, rows(df))))
     batch = table([("a", "d", "1"), ("a", "d", "2"), ("b", "d", "9")], "metrica string, fecha string, valor string")
     relational.upsert_table(batch, {}, "metricas", ["metrica", "fecha"], statements.append)
-    assert written == [("metricas_staging", [("a", "d", "2"), ("b", "d", "9")])]
-    assert len(statements) == 1 and statements[0].startswith("INSERT INTO metricas")
+    (staging, batch_rows), = written
+    assert staging.startswith("metricas_staging_") and batch_rows == [("a", "d", "2"), ("b", "d", "9")]
+    assert statements[0].startswith("INSERT INTO metricas") and statements[1:] == [f"DROP TABLE IF EXISTS {staging}"]
+
+
+def test_staging_is_dropped_after_a_failed_merge(table, monkeypatch):
+    monkeypatch.setattr(relational, "write_table", lambda *a: None)
+    statements = []
+
+    def execute(statement):
+        statements.append(statement)
+        if statement.startswith("INSERT"):
+            raise RuntimeError("no such table")
+
+    with pytest.raises(RuntimeError):
+        relational.upsert_table(table([("a", "1")], "k string, v string"), {}, "t", ["k"], execute)
+    assert statements[-1].startswith("DROP TABLE IF EXISTS t_staging_")
+
+
+def test_an_unsplit_read_must_be_allowed():
+    with pytest.raises(ValueError, match="split"):
+        relational.read_table(Recorder(), {}, "orders")
+    assert relational.read_table(Recorder(), {}, "orders", one_task=True).told["dbtable"] == "orders"
 
 
 def test_staged_table_has_the_same_rows_and_a_cut_lineage(spark, plan):
@@ -227,13 +284,20 @@ def test_staged_table_has_the_same_rows_and_a_cut_lineage(spark, plan):
     assert "Exchange" not in plan(staged)
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    class Conf:
-        def get(self, key, default=None):
-            return {"spark.master": "spark://host:7077"}.get(key, default)
+def test_scratch_needs_a_shared_folder():
+    for master in ("spark://host:7077", "local[2]"):
+
+        class Session:
+            conf = {"spark.master": master}
+
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(Session(), "x")
+
 
-    class Session:
-        conf = Conf()
+def test_staged_tables_can_be_removed(spark):
+    import os
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(Session(), "x")
+    stage_table(spark.range(3), "removed")
+    paths = list(_staged[spark.sparkContext.applicationId])
+    assert os.path.isdir(paths[-1].removeprefix("file:")) and remove_scratch(spark) == len(paths)
+    assert not os.path.exists(paths[-1].removeprefix("file:")) and remove_scratch(spark) == 0
