@@ -39,7 +39,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     any two registers agree with the probability that the similarity gives, for small sets too. What is
     kept of a value is its number of leading zeros and the bits after them.
     """
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     items = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
     kept = np.zeros((len(sets), REGISTERS), np.uint16)
