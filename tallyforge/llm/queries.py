@@ -37,12 +37,62 @@ def op1_token_counts(t: Tables) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
-@catalog.query()
+_LINKS_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS shingle
+             FROM (SELECT doc_id, w, unnest(range(1, GREATEST(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS hits FROM shingles a JOIN shingles b USING (shingle)
+           WHERE a.doc_id < b.doc_id GROUP BY x, y),
+links AS (SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * hits >= 80 * (s.n + t.n - hits)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, w.y FROM reached r JOIN ways w ON r.other = w.x),
+parts AS (SELECT doc_id, MIN(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN parts USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
+@catalog.query(_LINKS_SQL)
 def op2_near_duplicates(t: Tables) -> DataFrame:
     return near_duplicates(t.documents, words=4).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-@catalog.query()
+_RULES_SQL = r"""
+WITH docs AS (SELECT doc_id, source, COALESCE(text, '') AS text FROM documents),
+words AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (SELECT doc_id, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS three
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+twice AS (SELECT doc_id, i FROM (SELECT *, COUNT(*) OVER (PARTITION BY doc_id, three) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(3)) AS k) GROUP BY doc_id),
+raw AS (SELECT doc_id, source, text, line, no
+        FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM docs)
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+again AS (SELECT doc_id, COUNT(*) - COUNT(DISTINCT line) AS n FROM raw GROUP BY doc_id),
+lines AS (SELECT doc_id, source, text, no, array_to_string(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'), ' ') AS line FROM raw),
+around AS (SELECT *, string_split(line, ' ') AS w,
+                  COALESCE(string_split(LAG(line) OVER here, ' ')[-2:], []) AS before,
+                  COALESCE(string_split(LEAD(line) OVER here, ' ')[:2], []) AS after
+           FROM lines WINDOW here AS (PARTITION BY doc_id ORDER BY no)),
+total AS (SELECT source, GREATEST(20.0, 0.01 * COUNT(DISTINCT text)) AS most FROM docs GROUP BY source),
+over_limit AS (SELECT a.source, line FROM around a JOIN total t ON a.source IS NOT DISTINCT FROM t.source
+               GROUP BY a.source, line, most
+               HAVING COUNT(DISTINCT a.text) > most AND COUNT(DISTINCT (before, after)) > most),
+removed AS (SELECT doc_id, SUM(len(w)) AS n FROM around a JOIN over_limit o ON a.source IS NOT DISTINCT FROM o.source AND a.line = o.line
+            GROUP BY doc_id),
+measured AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                    CAST(COALESCE(again.n, 0) AS BIGINT) AS n_dup_lines, CAST(COALESCE(covered.n, 0) AS BIGINT) AS n_repeat_words,
+                    CAST(COALESCE(removed.n, 0) AS BIGINT) AS n_removed_words
+             FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN again USING (doc_id) LEFT JOIN removed USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - n_removed_words) >= 50 * n_words AS kept
+FROM measured"""
+
+
+@catalog.query(_RULES_SQL)
 def op3_quality_rules(t: Tables) -> DataFrame:
     return judged(t.documents).drop("cleaned")
 
@@ -95,7 +145,25 @@ def op5_shared_passages(t: Tables) -> DataFrame:
     return shared_passages(t.documents)
 
 
-@catalog.query()
+_REPEATS_SQL = """
+WITH docs AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+            FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM docs)),
+starts AS (SELECT doc_id, i FROM (SELECT doc_id, i, MIN(doc_id) OVER (PARTITION BY s) AS least FROM strings) WHERE least < doc_id),
+islands AS (SELECT doc_id, i, SUM(opens) OVER (PARTITION BY doc_id ORDER BY i) AS island
+            FROM (SELECT doc_id, i, CASE WHEN i <= LAG(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS opens FROM starts)),
+spans AS (SELECT doc_id, MIN(i) AS a, MAX(i) + 50 AS b FROM islands GROUP BY doc_id, island),
+pieces AS (SELECT doc_id, a, b, COALESCE(LAG(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS done FROM spans),
+cut AS (SELECT p.doc_id, SUM(b - a) AS removed, COUNT(*) AS n, MAX(b) AS last,
+               string_agg(substr(h, 2 * done + 1, 2 * (a - done)), '' ORDER BY a) AS kept
+        FROM pieces p JOIN docs USING (doc_id) GROUP BY p.doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(COALESCE(removed, 0) AS BIGINT) AS n_removed,
+       CAST(COALESCE(n, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(COALESCE(kept, '') || substr(h, 2 * COALESCE(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)"""
+
+
+@catalog.query(_REPEATS_SQL)
 def op7_repeated_bytes(t: Tables) -> DataFrame:
     found = without_earlier_strings(t.documents)
     return found.select(
