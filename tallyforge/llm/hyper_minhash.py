@@ -20,6 +20,8 @@ REGISTERS, ROWS = 128, 4
 #: Bits of a register after the leading-zero count.
 MANTISSA = 10
 _BUCKET_BITS = 7
+#: Documents of a block, and parts that the blocks of one component are dealt to.
+BLOCK, SPREAD = 32, 16
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -96,9 +98,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     No bucket gives all its pairs. First every member meets the smallest and the largest of its bucket, and
     the confirmed links make components. Only members of a bucket that are not in its largest
     component then meet those of other components of the bucket: within a component a further link
-    changes nothing. Before they meet, the shingles that no other candidate has are counted: a pair shares at
-    most the others, and if that cannot make a link, the join drops the pair. Families of copies too far
-    apart to be linked thus give no pairs, however large they are.
+    changes nothing. They do so in blocks, and only the links come out.
 
     Texts without words are linked with nothing and are their own component. Rows with a null key come back
     with a null component; repeated rows come back as often, and a key with several texts stands for all of
@@ -148,48 +148,65 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
     members = stage_table(placed.join(main.filter("parts > 1"), "bucket"), "mixed")
-    shared = _shared_shingles(members.select(F.col("rep").alias("m_key")).distinct(), texts, words)
-    members = members.join(shared, F.col("rep") == F.col("s_key"), "left")
-    members = members.filter("size IS NULL OR 100 * common >= {} * size".format(percent))
-    columns = ("bucket", "rep", "component", "size", "common")
-    stray = members.filter("component <> main").select("bucket", *(F.col(c).alias(f"x_{c}") for c in columns[1:]))
-    other = members.select("bucket", "main", *(F.col(c).alias(f"y_{c}") for c in columns[1:]))
-    most = F.least("x_common", "y_common")
-    possible = 100 * most >= percent * (F.col("x_size") + F.col("y_size") - most)
-    apart = F.expr("x_component <> y_component AND (y_component = main OR x_rep < y_rep)")
-    cross = stray.join(other, (stray["bucket"] == other["bucket"]) & apart & F.coalesce(possible, F.lit(True)))
-    cross = cross.select(F.least("x_rep", "y_rep").alias("x"), F.greatest("x_rep", "y_rep").alias("y")).distinct()
-    cross = cross.join(star, ["x", "y"], "left_anti")
-    rest = stage_table(_confirmed(cross, classes, texts, words, percent, slack), "links")
+    rest = stage_table(_links_across(members, texts, words, percent), "links")
 
     groups = components(confirmed.unionByName(rest).unionByName(same_set))
     found = sketched.join(groups, F.col("key") == F.col("node"), "left")
     return found.select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id"))
 
 
-def _shared_shingles(keys: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """``s_key, size, common``: how many shingles a candidate has, and how many of them some other one has too.
+def _links_across(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``a, b``: links between different components that meet in a bucket.
 
-    Keys with several texts are left out: nothing is dropped on their account.
+    Members outside the largest component of a bucket are the queries, all members are what they are held
+    against, both in blocks of about ``BLOCK``; a row is a block of either side, with their shingle sets, and is
+    compared as a whole. Blocks of one component are dealt to up to ``SPREAD`` parts, so a large family is
+    not one task.
     """
-    schema = pa.schema([("key", pa.int64()), ("shingle", pa.int64())])
-
-    def shingles(piece: pa.RecordBatch) -> dict:
-        hashes, found, keys = WordHashes(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for key, own in zip(piece.column("key").to_pylist(), piece.column("texts").to_pylist()):
-            for text in own:
-                found.append(text_shingles(text, words, hashes))
-                keys.append(np.full(len(found[-1]), key))
-        return {"key": np.concatenate(keys), "shingle": np.concatenate(found).view(np.int64)}
-
-    wanted = texts.join(keys, F.col("key") == F.col("m_key"), "left_semi")
-    several = wanted.filter(F.size("texts") > 1).select(F.col("key").alias("v_key"))
-    each = wanted.mapInArrow(mapped(shingles, "texts", schema), "key long, shingle long")
-    seen = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("key").alias("key"))
-    alone = seen.filter("n = 1").groupBy("key").agg(F.count("*").alias("alone"))
-    sizes = each.groupBy("key").agg(F.count("*").alias("size")).join(alone, "key", "left")
-    sizes = sizes.join(several, F.col("key") == F.col("v_key"), "left_anti")
-    return sizes.select(F.col("key").alias("s_key"), "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
+    roles = members.groupBy("main", "rep").agg(F.first("component").alias("component"))
+    set_schema = pa.schema([("key", pa.int64()), ("shingles", pa.binary())])
+
+    def sets(piece: pa.RecordBatch) -> dict:
+        hashes = WordHashes()
+        rows = [(k, text_shingles(t, words, hashes)) for k, own in zip(piece.column("key").to_pylist(), piece.column("texts").to_pylist()) for t in own]
+        return {"key": [k for k, _ in rows], "shingles": [s.tobytes() for _, s in rows]}
+
+    wanted = texts.join(roles.select(F.col("rep").alias("m_key")).distinct(), F.col("key") == F.col("m_key"), "left_semi")
+    found = wanted.mapInArrow(mapped(sets, "texts", set_schema), "key long, shingles binary")
+    each = stage_table(roles.join(found, F.col("rep") == F.col("key")).select("main", "rep", "component", "shingles"), "members")
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        sizes = rows.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        dealt = rows.join(sizes, "main").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        held = F.collect_list(F.struct("rep", "component", "shingles")).alias(name)
+        return dealt.groupBy("main", "block").agg(F.first("blocks").alias("blocks"), held)
+
+    strays = blocks(each.filter("component <> main"), "strays").withColumn("parts", F.least("blocks", F.lit(SPREAD)))
+    parts = strays.groupBy("main").agg(F.first("parts").alias("parts"))
+    strays = strays.select("main", F.pmod("block", "parts").alias("part"), "strays")
+    others = blocks(each, "others").join(parts, "main")
+    others = others.select("main", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "others")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(piece: pa.RecordBatch) -> dict:
+        links = []
+        for strays, others in zip(piece.column("strays").to_pylist(), piece.column("others").to_pylist()):
+            known = [np.frombuffer(o["shingles"], np.uint64) for o in others]
+            sizes = np.array([len(k) for k in known])
+            owner, flat = np.repeat(np.arange(len(known)), sizes), np.concatenate(known)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for x in strays:
+                own = np.frombuffer(x["shingles"], np.uint64)
+                low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+                hits = np.repeat(low, high - low) + np.arange((high - low).sum()) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
+                both = np.bincount(owner[hits], minlength=len(known))
+                near = np.flatnonzero((both > 0) & (100 * both >= percent * (len(own) + sizes - both)))
+                links.extend((x["rep"], others[k]["rep"]) for k in near.tolist() if others[k]["component"] != x["component"])
+        return {"a": [a for a, _ in links], "b": [b for _, b in links]}
+
+    pairs = strays.join(others, ["main", "part"]).select("strays", "others", F.lit("").alias("text"))
+    return pairs.mapInArrow(mapped(compare, "text", schema), "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, slack: float) -> DataFrame:
