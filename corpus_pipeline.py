@@ -50,9 +50,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item. Rows without a key are judged by their text as well."""
-    told = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    hits = contained_items(told, Tables(spark, sf_dir).benchmark, key="_row").select("_row").distinct()
-    return told.join(stage_table(hits, "contaminated"), "_row", "left_anti").select(*docs.columns)
+    told = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    hits = contained_items(told, Tables(spark, sf_dir).benchmark, key="row").select("row").distinct()
+    return told.join(stage_table(hits, "contaminated"), "row", "left_anti").select("doc.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,7 +54,8 @@ def test_pipeline(spark, table, tmp_path):
     table(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
     table(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     expected = _expected(docs)
-    assert {0, 19} <= set(expected) and not {200, 201, 300, 301, 302, 303, 400, 401, 402, 403} & set(expected)
+    # The later two leaks lose their item as lines that are there already.
+    assert {0, 19, 302, 303} <= set(expected) and not {200, 201, 300, 301, 400, 401, 402, 403} & set(expected)
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     found = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert found == {k: library.encode(t, add_special_tokens=False).ids for k, t in expected.items()}
