@@ -160,14 +160,15 @@ def _classifier_rows(t: Tables) -> DataFrame:
 
 
 def _scored(predictions: DataFrame) -> DataFrame:
-    """Size and classes of the test rows, and whether the accuracy is at least the share of the larger class."""
+    """Size and classes of the test rows, and whether the accuracy is at least the share of the larger class, less
+    two standard errors at most."""
     counted = predictions.agg(
         F.count("*").alias("rows"),
         F.count_if(F.col("quality") == 1).alias("good"),
         F.count_if(F.col("quality") == 0).alias("bad"),
         F.count_if(F.col("quality") == F.col("prediction")).alias("hits"),
     )
-    return counted.withColumn("holds_the_majority", F.col("hits") >= F.greatest("good", "bad")).drop("hits")
+    return counted.withColumn("holds_the_majority", F.col("hits") >= F.greatest("good", "bad") - F.sqrt("rows")).drop("hits")
 
 
 @catalog.query(_SCORES_SQL)
