@@ -15,29 +15,29 @@ SLICE_BYTES = 4 << 20
 REMEMBERED = 250_000
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The rows in order, in slices whose ``text`` column (texts or lists of texts) has about ``SLICE_BYTES``; one row at least."""
+def slices(batches: Iterable[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in slices whose ``text`` column (texts or lists of texts) has about ``size`` bytes; one row at least."""
     for batch in batches:
         column = batch.column(text)
         if pa.types.is_list(column.type):
             sizes = np.array([sum(map(len, v or ())) for v in column.to_pylist()], np.int64)
         else:
             sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        at = np.cumsum(sizes) // SLICE_BYTES
+        at = np.cumsum(sizes) // size
         edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), batch.num_rows]
         for start, stop in zip(edges, edges[1:]):
             if stop > start:
                 yield batch.slice(start, stop - start)
 
 
-def mapped(work: Callable[[pa.RecordBatch], dict[str, object] | None], text: str, schema: pa.Schema):
+def mapped(work: Callable[[pa.RecordBatch], dict[str, object] | None], text: str, schema: pa.Schema, size: int = SLICE_BYTES):
     """A function for ``mapInArrow``: ``work`` makes the columns of the output from a slice of the input.
 
     Lists become arrays of the types of ``schema``; Arrow arrays are passed on with the type they have.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, text):
+        for piece in slices(batches, text, size):
             made = work(piece)
             if made is not None:
                 arrays = [made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], type=f.type) for f in schema]

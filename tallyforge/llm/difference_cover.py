@@ -19,9 +19,11 @@ from tallyforge.session import stage_table
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-#: Bytes of a sampled tuple, and text for each group of tuples or suffixes that a task sorts.
+#: Bytes of a sampled tuple, of text taken at a time, and of text for each group of tuples or suffixes that a task
+#: sorts. Hashes of every position take some sixty times as much memory as the text.
 TUPLE = 20
-GROUP_BYTES = 8 << 20
+SLICE = 1 << 20
+GROUP_BYTES = 2 << 20
 
 
 class Bytes:
@@ -119,7 +121,7 @@ def _shared_tuples(rows: DataFrame, width: int, groups: int) -> DataFrame:
         return pa.table({"row": ids[several], "start": starts[several].astype(np.int32)})
 
     ddl = "part long, " + ", ".join(f"{c} binary" for c in blobs)
-    named = rows.mapInArrow(mapped(sample, "text", schema), ddl).groupBy("part").applyInArrow(name_them, "row long, start int")
+    named = rows.mapInArrow(mapped(sample, "text", schema, SLICE), ddl).groupBy("part").applyInArrow(name_them, "row long, start int")
     return stage_table(named.groupBy("row").agg(F.collect_set("start").alias("starts")), "shared-tuples")
 
 
@@ -173,7 +175,7 @@ def _covered(rows: DataFrame, shared: DataFrame, width: int, groups: int) -> Dat
 
     ddl = "part long, " + ", ".join(f"{c} binary" for c in blobs)
     with_starts = rows.join(shared, "row")
-    found = with_starts.mapInArrow(mapped(suffixes, "text", schema), ddl).groupBy("part").applyInArrow(compare, "row long, start int, stop int")
+    found = with_starts.mapInArrow(mapped(suffixes, "text", schema, SLICE), ddl).groupBy("part").applyInArrow(compare, "row long, start int, stop int")
     return stage_table(found.groupBy("row").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "covered")
 
 

@@ -13,6 +13,8 @@ from tallyforge.llm.batches import mapped, mixed
 from tallyforge.llm.graph import components
 from tallyforge.session import stage_table
 
+#: Bytes of text at a time: hashes of its prefixes and the keys of its lines take a hundred times as much.
+_SLICE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -167,7 +169,7 @@ def _judged_lines(docs: DataFrame, key: str, text: str, most: int, chars_per_edi
         return made
 
     ddl = "row long, key long, line_no int, line long"
-    seen = stage_table(rows.mapInArrow(mapped(occurrences, "text", schema), ddl), "lines")
+    seen = stage_table(rows.mapInArrow(mapped(occurrences, "text", schema, _SLICE), ddl), "lines")
     linked = stage_table(links(rows, most, chars_per_edit), "line-links")
     classes = components(linked).select(F.col("node").alias("line"), F.col("component").alias("class"))
     both = linked.select(F.col("a").alias("line")).unionByName(linked.select(F.col("b").alias("line")))
@@ -197,7 +199,7 @@ def links(rows: DataFrame, most: int, chars_per_edit: int) -> DataFrame:
         def work(piece: pa.RecordBatch) -> dict:
             return _keys(_distinct_lines(piece), most, chars_per_edit, index)
 
-        return rows.select("text").mapInArrow(mapped(work, "text", _SIGNED), ddl)
+        return rows.select("text").mapInArrow(mapped(work, "text", _SIGNED, _SLICE), ddl)
 
     index = keys_of(True).alias("i")
     probe = keys_of(False).alias("p")
@@ -213,7 +215,7 @@ def links(rows: DataFrame, most: int, chars_per_edit: int) -> DataFrame:
         return {"line": [line_number(line) for line in found], "text": found}
 
     wanted = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted-lines")
-    lines = rows.select("text").mapInArrow(mapped(texts, "text", text_schema), "line long, text string")
+    lines = rows.select("text").mapInArrow(mapped(texts, "text", text_schema, _SLICE), "line long, text string")
     lines = lines.join(wanted, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
     lines = stage_table(lines, "line-texts")
     first = lines.select(F.col("line").alias("a"), F.col("text").alias("first"))

@@ -20,6 +20,8 @@ REGISTERS, ROWS = 128, 4
 #: Bits of a register after the leading-zero count.
 MANTISSA = 10
 _BUCKET_BITS = 7
+#: Bytes of text taken at a time.
+SLICE = 1 << 20
 #: Documents of a block, and parts that the blocks of one component are dealt to.
 BLOCK, SPREAD = 32, 16
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -119,7 +121,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             "registers": [next(kept) if len(s) else None for s in sets],
         }
 
-    sketched = stage_table(rows.mapInArrow(mapped(sketch, "text", schema), ddl), "sketches")
+    sketched = stage_table(rows.mapInArrow(mapped(sketch, "text", schema, SLICE), ddl), "sketches")
     filled = sketched.filter("n_shingles > 0 AND key IS NOT NULL")
     # One row for each set: its smallest key stands for it.
     classes = stage_table(
@@ -172,7 +174,7 @@ def _links_across(members: DataFrame, texts: DataFrame, words: int, percent: int
         return {"key": [k for k, _ in rows], "shingles": [s.tobytes() for _, s in rows]}
 
     wanted = texts.join(roles.select(F.col("rep").alias("m_key")).distinct(), F.col("key") == F.col("m_key"), "left_semi")
-    found = wanted.mapInArrow(mapped(sets, "texts", set_schema), "key long, shingles binary")
+    found = wanted.mapInArrow(mapped(sets, "texts", set_schema, SLICE), "key long, shingles binary")
     each = stage_table(roles.join(found, F.col("rep") == F.col("key")).select("main", "rep", "component", "shingles"), "members")
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
@@ -238,7 +240,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: in
             linked.append(any(_linked(s, t, percent) for s in ones for t in others))
         return {"a": piece.column("a"), "b": piece.column("b"), "linked": linked}
 
-    checked = both.select("a", "b", "first", "second").mapInArrow(mapped(confirm, "second", schema), "a long, b long, linked boolean")
+    checked = both.select("a", "b", "first", "second").mapInArrow(mapped(confirm, "second", schema, SLICE), "a long, b long, linked boolean")
     return checked.filter("linked").select("a", "b")
 
 
