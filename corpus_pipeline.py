@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and short texts fail; null and repeated keys are judged by their text.
     """
-    found = judged(docs, carry=docs.columns).filter("kept")
+    found = judged(docs, carry=[c for c in docs.columns if c != "text"]).filter("kept")
     columns = [F.col("cleaned").alias("text") if c == "text" else F.col("carried").getField(c).alias(c) for c in docs.columns]
     return _counted(found.select(*columns), docs.columns)
 
