@@ -205,6 +205,27 @@ def test_shared_passages(table, messy, empty):
     assert chaining.shared_passages(empty).collect() == []
 
 
+@pytest.mark.parametrize("between", [0, 30, 80, 150, 400])
+def test_two_passages_far_apart_in_one_pair_are_both_found(table, between):
+    head, foot = (brute.prose(k, 60) for k in (61, 62))
+    docs = [(k, f"{brute.prose(800 + k, 40)} {head} {brute.prose(820 + k, between)} {foot} {brute.prose(840 + k, 40)}") for k in (1, 2)]
+    found = chaining.shared_passages(table(docs, "doc_id long, text string")).collect()
+    words = {i for r in found for i in range(r["start_word"], r["start_word"] + r["n_words"])}
+    assert words >= {*range(40, 100), *range(100 + between, 160 + between)}
+    assert all(100 * r["same_words"] >= 80 * max(r["n_words"], r["other_words"]) and r["n_words"] >= 50 for r in found)
+
+
+def test_alignment_in_halves(monkeypatch):
+    draw = random.Random(14)
+    for cells in (chaining.CELLS, 8):
+        monkeypatch.setattr(chaining, "CELLS", cells)
+        for _ in range(200):
+            a, b = (np.array([draw.randrange(4) for _ in range(draw.randint(1, 14))]) for _ in range(2))
+            x, y = chaining.common_places(a, b)
+            assert len(x) == chaining.common_words(a, b) and (a[x] == b[y]).all()
+            assert (np.diff(x) > 0).all() and (np.diff(y) > 0).all()
+
+
 def test_common_words():
     draw = random.Random(8)
     for _ in range(200):
