@@ -215,6 +215,25 @@ def test_two_passages_far_apart_in_one_pair_are_both_found(table, between):
     assert all(100 * r["same_words"] >= 80 * max(r["n_words"], r["other_words"]) and r["n_words"] >= 50 for r in found)
 
 
+@pytest.mark.parametrize(("words", "edits", "least"), [(60, 2, 1.0), (60, 4, 1.0), (60, 6, 0.98), (60, 8, 0.95), (60, 11, 0.85), (100, 10, 1.0)])
+def test_edited_passages_are_found(table, words, edits, least):
+    docs, truth, draw = [], set(), random.Random(words + edits)
+    for k in range(60):
+        passage = brute.prose(5000 + k, words).replace("\n", "").split(" ")
+        other = list(passage)
+        for at in draw.sample(range(words), edits):
+            other[at] = f"w{draw.randrange(10**6)}"
+        for key, text in ((k, passage), (100 + k, other)):
+            docs.append((key, f"{brute.prose(6000 + key, 40)} {' '.join(text)} {brute.prose(6500 + key, 40)}"))
+        # What is equal from the first to the last equal word; the words around are other ones.
+        same = [i for i in range(words) if passage[i] == other[i]]
+        if same[-1] - same[0] + 1 >= 50 and 100 * len(same) >= 80 * (same[-1] - same[0] + 1):
+            truth.add(100 + k)
+    found = chaining.shared_passages(table(docs, "doc_id long, text string")).collect()
+    got = {r["doc_id"] for r in found if r["doc_id"] == r["other_doc_id"] + 100}
+    assert len(truth) >= 40 and len(got & truth) >= least * len(truth)
+
+
 def test_alignment_in_halves(monkeypatch):
     draw = random.Random(14)
     for cells in (chaining.CELLS, 8):
