@@ -234,6 +234,16 @@ def test_edited_passages_are_found(table, words, edits, least):
     assert len(truth) >= 40 and len(got & truth) >= least * len(truth)
 
 
+def test_a_passage_whose_parts_are_elsewhere_first_is_found(table):
+    # Both parts and the joint between them are in earlier documents that do not have the passage.
+    parts = [brute.prose(7000 + k, 45).replace("\n", "") for k in range(2)]
+    joint = " ".join(parts[0].split()[-8:] + parts[1].split()[:8])
+    texts = {1: parts[0], 2: parts[1], 3: joint, 5: " ".join(parts), 9: " ".join(parts)}
+    docs = [(k, f"{brute.prose(7100 + k, 90)} {t} {brute.prose(7200 + k, 90)}") for k, t in texts.items()]
+    found = chaining.shared_passages(table(docs, "doc_id long, text string")).collect()
+    assert [r["n_words"] >= 90 for r in found if (r["doc_id"], r["other_doc_id"]) == (9, 5)] == [True]
+
+
 def test_alignment_in_halves(monkeypatch):
     draw = random.Random(14)
     for cells in (chaining.CELLS, 8):
