@@ -140,6 +140,17 @@ def test_frequent_lines_reject_depleted_documents_but_not_copies(table):
     assert found[200]["n_removed_words"] == found[300]["n_removed_words"] == 0
 
 
+def test_a_block_of_frequent_lines_goes_whole_but_copies_stay(table):
+    block = [brute.prose(8000 + k, 8).replace("\n", "") for k in range(5)]
+    rows = [(k, "\n".join([brute.prose(8100 + k, 70), *block, brute.prose(8200 + k, 20)]), "a") for k in range(40)]
+    rows += [(100 + k, "\n".join([brute.prose(8300 + k, 12), *block, brute.prose(8400 + k, 8)]), "a") for k in range(3)]
+    rows += [(300 + k, brute.prose(9, 90), "a") for k in range(60)]
+    found = {r["doc_id"]: r for r in judged(table(rows, "doc_id long, text string, source string"), share=0.1).collect()}
+    assert all(found[k]["n_removed_words"] == 40 for k in (*range(40), 100, 101, 102))
+    assert {k for k, r in found.items() if not r["kept"]} == {100, 101, 102}
+    assert found[300]["n_removed_words"] == 0
+
+
 def test_near_lines(table):
     draw, docs = random.Random(4), []
     lines = [brute.prose(50 + k, 8).replace("\n", "") for k in range(12)] + ["short", "shorT", "", "  "]
