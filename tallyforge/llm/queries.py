@@ -16,6 +16,7 @@ from tallyforge.llm.hyper_minhash import near_duplicates
 from tallyforge.llm.importance import resampled
 from tallyforge.llm.line_frequency import judged
 from tallyforge.llm.overlap_counts import count_tokens
+from tallyforge.llm.stripes import collocations
 from tallyforge.llm.trie_bpe import encode_and_decode
 from tallyforge.registry.catalog import Catalog, Entry
 from tallyforge.sources.tables import Tables
@@ -173,3 +174,33 @@ def op7_repeated_bytes(t: Tables) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+_PHRASES_SQL = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT COALESCE(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents)),
+grams AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, COUNT(*) AS f
+          FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, (SELECT unnest(range(1, 5)) AS m))
+          GROUP BY ALL),
+found AS (SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w FROM grams WHERE m > 1 AND f >= 30),
+inside AS (SELECT lang, array_to_string(w[i : i + s - 1], ' ') AS phrase, MAX(f) AS widest
+           FROM (SELECT lang, w, f, s, unnest(range(1, m - s + 2)) AS i FROM found, (SELECT unnest([2, 3]) AS s) WHERE s < m) GROUP BY ALL),
+cuts AS (SELECT c.lang, c.phrase, c.f AS a, k, array_to_string(w[1 : k], ' ') AS x, array_to_string(w[k + 1 : ], ' ') AS y
+         FROM (SELECT *, unnest(range(1, m)) AS k FROM found) c LEFT JOIN inside i ON c.lang = i.lang AND c.phrase = i.phrase
+         WHERE 100 * COALESCE(widest, 0)::HUGEINT < 80 * c.f::HUGEINT),
+scored AS (SELECT c.lang, c.phrase, a, k, p.f AS l, q.f AS r, (2000000::HUGEINT * a) // (p.f + q.f) AS score
+           FROM cuts c JOIN grams p ON c.lang = p.lang AND c.x = p.phrase JOIN grams q ON c.lang = q.lang AND c.y = q.phrase),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+sizes AS (SELECT lang, SUM(f) AS n FROM grams WHERE m = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM lowest JOIN sizes USING (lang) QUALIFY rank <= 2000"""
+
+
+@catalog.query(_PHRASES_SQL)
+def op11_stripe_collocations(t: Tables) -> DataFrame:
+    return collocations(t.documents)
