@@ -16,8 +16,10 @@ from tallyforge.llm.hyper_minhash import near_duplicates
 from tallyforge.llm.importance import resampled
 from tallyforge.llm.line_frequency import judged
 from tallyforge.llm.overlap_counts import count_tokens
+from tallyforge.llm.skip_chain import personal_data
 from tallyforge.llm.stripes import collocations
 from tallyforge.llm.trie_bpe import encode_and_decode
+from tallyforge.llm.whitening import whitened
 from tallyforge.registry.catalog import Catalog, Entry
 from tallyforge.sources.tables import Tables
 
@@ -204,3 +206,14 @@ FROM lowest JOIN sizes USING (lang) QUALIFY rank <= 2000"""
 @catalog.query(_PHRASES_SQL)
 def op11_stripe_collocations(t: Tables) -> DataFrame:
     return collocations(t.documents)
+
+
+@catalog.query()
+def op12_skip_chain_pii(t: Tables) -> DataFrame:
+    found = personal_data(t.documents)
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@catalog.query()
+def op13_embedding_whitening(t: Tables) -> DataFrame:
+    return whitened(t.embeddings)
