@@ -9,8 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from tallyforge.llm.batches import WordHashes, mixed, slices
+from tallyforge.llm.batches import mixed, slices
 from tallyforge.operators.ranking import top_exact
 from tallyforge.session import stage_table
 
@@ -25,11 +26,12 @@ PARTS = 64
 #: Ends a piece. No UTF-8 text has this byte.
 _END = b"\xff"
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + _END * 10 + b" ")
+#: On the way to the merge a counter is its words joined by blanks and their counts as 32-bit numbers.
 _STRIPE = pa.schema([
-    ("lang", pa.string()), ("prefix", pa.string()), ("part", pa.int32()), ("rest", pa.int64()),
-    ("nexts", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
+    ("lang", pa.string()), ("prefix", pa.string()), ("part", pa.int32()), ("rest", pa.int64()), ("nexts", pa.string()), ("counts", pa.binary()),
 ])
-_STRIPE_DDL = "lang string, prefix string, part int, rest long, nexts array<string>, counts array<long>"
+_STRIPE_DDL = "lang string, prefix string, part int, rest long, nexts string, counts binary"
+_COUNTER = pa.schema([*list(_STRIPE)[:4], ("nexts", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 _MERGED = pa.schema([
     ("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()),
     ("nexts", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())),
@@ -81,13 +83,18 @@ def _gathered(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[st
                 yield lang, pa.array(words, pa.binary()).dictionary_encode(), np.concatenate(own)
 
 
-def _seed(lang: str, hashes: WordHashes) -> np.uint64:
-    return np.uint64(hashes[b"\xff" + lang.encode()])
+def _seed(lang: str) -> np.uint64:
+    return np.uint64(xxh3_64_intdigest(lang.encode()))
 
 
-def marks(words: list[np.ndarray], seed: np.uint64) -> np.ndarray:
+def _numbers(words: list) -> np.ndarray:
+    """64-bit hashes of words, texts or bytes."""
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def marks(words: list[np.ndarray], seed: np.uint64 | np.ndarray) -> np.ndarray:
     """One 64-bit hash for each phrase, from the hashes of its first words, second words and so on."""
-    total = np.full(len(words[0]), seed, np.uint64)
+    total = np.zeros(len(words[0]), np.uint64) + seed
     for part in words:
         total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + part)
     return total
@@ -121,12 +128,11 @@ def _word_counts(docs: DataFrame, size: int) -> DataFrame:
     """``lang, phrase, f, mark``: the counter of the empty prefix."""
 
     def count(batches):
-        hashes = WordHashes()
         for lang, coded, own in _gathered(batches, size):
             n = np.bincount(coded.indices.to_numpy()[own], minlength=len(coded.dictionary))
             words = coded.dictionary.to_pylist()
             shown = np.array([w != _END for w in words]) & (n > 0)
-            mark = marks([hashes.of(words)], _seed(lang, hashes)).view(np.int64)
+            mark = marks([_numbers(words)], _seed(lang)).view(np.int64)
             kept = pa.array(shown)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * int(shown.sum()), pa.string()), coded.dictionary.filter(kept).cast(pa.string()), pa.array(n[shown]), pa.array(mark[shown])],
@@ -146,11 +152,11 @@ def _stripes(docs: DataFrame, words: int, known: Sketch, heavy: dict[str, list[s
     shared = docs.sparkSession.sparkContext.broadcast((known, heavy))
 
     def count(batches):
-        hashes, (sketch, split) = WordHashes(), shared.value
+        sketch, split = shared.value
         for lang, coded, own in _gathered(batches, size):
             ids = coded.indices.to_numpy().astype(np.int64)
             distinct = coded.dictionary.to_pylist()
-            numbers = hashes.of(distinct)
+            numbers = _numbers(distinct)
             n, size_of = len(ids), len(distinct)
             if n <= words:
                 continue
@@ -159,7 +165,7 @@ def _stripes(docs: DataFrame, words: int, known: Sketch, heavy: dict[str, list[s
             for k in range(1, words):
                 whole = whole & ~end[k : n - words + 1 + k]
             common = np.zeros(n + 1, bool)
-            common[: n - words + 1] = whole & sketch.has(marks([numbers[ids[k : n - words + 1 + k]] for k in range(words)], _seed(lang, hashes)))
+            common[: n - words + 1] = whole & sketch.has(marks([numbers[ids[k : n - words + 1 + k]] for k in range(words)], _seed(lang)))
             at = np.flatnonzero(common[: n - words + 1] & own[: n - words + 1])
             if not len(at):
                 continue
@@ -180,15 +186,17 @@ def _stripes(docs: DataFrame, words: int, known: Sketch, heavy: dict[str, list[s
             starts = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (part[1:] != part[:-1])])
             shown = follower >= 0
             rest = np.add.reduceat(np.where(shown, 0, counts), starts)
-            offsets = pa.array(np.r_[0, np.cumsum(np.add.reduceat(shown.astype(np.int32), starts))], pa.int32())
+            offsets = np.r_[0, np.cumsum(np.add.reduceat(shown.astype(np.int32), starts))].astype(np.int32)
+            nexts = pa.ListArray.from_arrays(pa.array(offsets), coded.dictionary.take(pa.array(follower[shown])).cast(pa.string()))
+            packed = pa.py_buffer(counts[shown].astype("<u4").tobytes())
             made = pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(starts), pa.string()),
                     prefix.take(pa.array(code[starts])),
                     pa.array(part[starts], pa.int32()),
                     pa.array(rest, pa.int64()),
-                    pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(follower[shown])).cast(pa.string())),
-                    pa.ListArray.from_arrays(offsets, pa.array(counts[shown], pa.int64())),
+                    pc.binary_join(nexts, " "),
+                    pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(4 * offsets), packed]),
                 ],
                 schema=_STRIPE,
             )
@@ -198,6 +206,18 @@ def _stripes(docs: DataFrame, words: int, known: Sketch, heavy: dict[str, list[s
     return docs.mapInArrow(count, _STRIPE_DDL)
 
 
+def _unpacked(batch: pa.RecordBatch) -> pa.Table:
+    """The counters of a batch as lists."""
+    sizes = pc.binary_length(batch.column("counts")).to_numpy(zero_copy_only=False) // 4
+    words = pc.split_pattern(batch.column("nexts"), " ")
+    # An empty counter is an empty text, which splits into one empty word.
+    named = np.repeat(sizes > 0, pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+    counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<u4").astype(np.int64)
+    lists = [pa.ListArray.from_arrays(offsets, words.flatten().filter(pa.array(named))), pa.ListArray.from_arrays(offsets, pa.array(counts))]
+    return pa.table([*batch.select(list(_STRIPE.names[:4])).columns, *lists], schema=_COUNTER)
+
+
 def _merged_batch(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
     """The first row of each key of the sorted rows, the sum of its counter, and its counter added up elementwise."""
     changed = np.zeros(len(rows), bool)
@@ -223,7 +243,7 @@ def _merged(stripes: DataFrame, least: int) -> DataFrame:
     """
 
     def merge(batches):
-        hashes, held = WordHashes(), None
+        held = None
 
         def finished(rows, first, rests, entries, keys):
             group, counts = entries.column("group").to_numpy(), entries.column("count_sum").to_numpy()
@@ -234,10 +254,11 @@ def _merged(stripes: DataFrame, least: int) -> DataFrame:
             offsets = pa.array(np.r_[0, np.cumsum(lengths)], pa.int32())
             names = entries.column("next").combine_chunks().take(pa.array(kept))
             heads = rows.select(["lang", "prefix"]).take(pa.array(first[:keys]))
-            langs, prefixes, found = heads.column("lang").to_pylist(), heads.column("prefix").to_pylist(), []
-            for g, name in zip(group[kept].tolist(), names.to_pylist()):
-                phrase = [np.array([hashes[w]], np.uint64) for w in [*prefixes[g].encode().split(b" "), name.encode()]]
-                found.append(int(marks(phrase, _seed(langs[g], hashes)).view(np.int64)[0]))
+            used, at = np.unique(group[kept], return_inverse=True)
+            langs, prefixes = (heads.column(c).take(pa.array(used)).to_pylist() for c in ("lang", "prefix"))
+            words = [_numbers(w)[at] for w in zip(*(p.split(" ") for p in prefixes))]
+            seeds = np.array([_seed(lang) for lang in langs], np.uint64)[at]
+            found = marks([*words, _numbers(names.to_pylist())], seeds).view(np.int64)
             return pa.RecordBatch.from_arrays(
                 [
                     *(heads.column(c).combine_chunks() for c in ("lang", "prefix")),
@@ -252,7 +273,7 @@ def _merged(stripes: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = pa.Table.from_batches([batch]).cast(_STRIPE)
+            rows = _unpacked(batch)
             rows = rows if held is None else pa.concat_tables([held, rows])
             first, rests, entries = _merged_batch(rows)
             if len(first) > 1:
@@ -266,7 +287,7 @@ def _merged(stripes: DataFrame, least: int) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array([0, len(last)], pa.int32()), last.column("next").combine_chunks()),
                     pa.ListArray.from_arrays(pa.array([0, len(last)], pa.int32()), last.column("count_sum").combine_chunks()),
                 ],
-                schema=_STRIPE,
+                schema=_COUNTER,
             )
         if held is not None:
             yield finished(held, *_merged_batch(held), 1)
