@@ -17,7 +17,7 @@ from tallyforge.session import stage_table
 
 LONGEST = 4
 #: Texts are cut into chunks of about this many bytes, at the end of a piece or else after a word.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 #: The sketch of frequent phrases takes 16 bits for each of them, at most 2**29 (64 MB); false hits are only extra work.
 MOST_BITS = 29
 #: A prefix with more than this share of all occurrences (so a thousand at most) has its counter dealt to so many parts.
@@ -76,7 +76,7 @@ def _gathered(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[st
                     flags = np.ones(len(found), bool)
                     flags[len(found) - 1 - ahead :] = False
                     own.append(flags)
-                    if len(words) * 8 > size:
+                    if len(words) * 4 > size:
                         yield lang, pa.array(words, pa.binary()).dictionary_encode(), np.concatenate(own)
                         words, own = [], []
             if words:
