@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
+from tallyforge.operators.skew import join_measured
 from tallyforge.session import stage_table
 
 
@@ -34,35 +34,16 @@ def chain(fact: DataFrame, *dimensions: tuple[DataFrame, str | Sequence[str]], h
     return fact
 
 
-# Parts that the facts of one key are dealt to.
-_SALTS = 16
-
-
 def full_outer_to_entities(facts: DataFrame, entities: DataFrame, keys: str | Sequence[str], stored: bool = False) -> DataFrame:
     """Full outer join of many facts with entities.
 
-    A full outer join cannot be split when one key is hot. Here facts with a null key, which match
-    nothing, do not enter the join. The others are dealt to ``_SALTS`` parts of their key by their
-    values and meet a copy of the entity in each, so a hot key is spread whatever the session's settings.
-    Entities without facts are added; for them the facts shrink to their distinct keys before they are shuffled.
+    A full outer join cannot be split when one key is hot, so the heavy keys of the facts are measured and dealt out;
+    see ``join_measured``. Facts with a null key match nothing and skip the join, entities without facts are added.
 
     Facts are read twice; with ``stored`` they are written once first, for facts that are costly to compute.
     Columns that both sides have besides the keys are refused.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    shared = sorted(set(facts.columns) & set(entities.columns) - set(keys))
-    if shared:
-        raise ValueError(f"both sides have {', '.join(shared)}; rename one")
-    if stored:
-        facts = stage_table(facts, "facts")
-    unknown = F.lit(False)
-    for key in keys:
-        unknown = unknown | F.col(key).isNull()
-    salted = facts.filter(~unknown).withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(_SALTS)).cast("int"))
-    copies = entities.withColumn("_salt", F.explode(F.array(*[F.lit(k) for k in range(_SALTS)])))
-    matched = salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
-    silent = entities.join(facts.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(facts.filter(unknown), allowMissingColumns=True).unionByName(silent, allowMissingColumns=True)
+    return join_measured(stage_table(facts, "facts") if stored else facts, entities, keys, "full")
 
 
 def left_join_period(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -11,9 +13,11 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.sources.memory import table_from_rows
+
 SEED = 42
 
 
@@ -144,3 +148,71 @@ def exportable_predictions(predictions: DataFrame, label: str, features: str = "
             features
         ),
     )
+
+
+def fold_of(key: str, folds: int) -> Column:
+    """The fold of a row, from 0, by a digest of its key; a null key counts as empty text."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % folds).cast("int")
+
+
+def ridge_search(
+    df: DataFrame, features: Sequence[str], label: str, key: str, penalties: Sequence[float] = (0.0, 0.1, 1.0), folds: int = 5
+) -> DataFrame:
+    """Held-out scores of ridge regressions: ``fold, penalty, rows, rmse, r2`` (training rows are those of the other folds).
+
+    One aggregate gives the sums of products of features and label of each fold, and everything comes from these: the
+    sums without a fold are the total less its own, every penalty is solved from them, and the errors on the fold
+    follow from its own sums. So the rows are read once, whatever the numbers of folds and penalties, and what reaches the
+    driver is one row for each fold. Products are taken after subtracting the means of the first scan, so that they keep
+    their digits.
+
+    Features are scaled to unit deviation (of the training rows, by their number), the intercept is not drawn to zero and
+    the penalty is per training row, as ``LinearRegression`` does with ``elasticNetParam=0`` up to the scaling of the label.
+    Incomplete rows are left out. A fold without rows gives none; ``r2`` is null if the label is constant in the fold.
+    A direction without variance is given no weight.
+    """
+    names = [*features, label]
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in names], fold_of(key, folds).alias("fold")).na.drop()
+    centre = rows.agg(*[F.avg(c).alias(c) for c in names])
+    near = rows.join(F.broadcast(centre.withColumnsRenamed({c: f"_m_{c}" for c in names})))
+    shifted = near.select("fold", *[(F.col(c) - F.col(f"_m_{c}")).alias(f"x{i}") for i, c in enumerate(names)])
+    size = len(names)
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    sums = shifted.groupBy("fold").agg(
+        F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(size)], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs]
+    )
+    parts = {}
+    for r in sums.collect():  # one row for each fold
+        cross = np.zeros((size + 1, size + 1))
+        cross[0, 0], cross[0, 1:], cross[1:, 0] = r["n"], [r[f"s{i}"] for i in range(size)], [r[f"s{i}"] for i in range(size)]
+        for i, j in pairs:
+            cross[i + 1, j + 1] = cross[j + 1, i + 1] = r[f"p{i}_{j}"]
+        parts[r["fold"]] = cross
+    total = sum(parts.values()) if parts else None
+    found = []
+    for fold, own in sorted(parts.items()):
+        for penalty in penalties:
+            weights = _ridge(total - own, penalty)
+            if weights is not None:
+                # Squared errors on the fold: the sums of products, weighted by (intercept, weights, -1) on both sides.
+                line = np.append(weights, -1.0)
+                error, spread = float(line @ own @ line), float(own[-1, -1] - own[0, -1] ** 2 / own[0, 0])
+                found.append((fold, float(penalty), int(own[0, 0]), math.sqrt(max(0.0, error) / own[0, 0]), 1 - error / spread if spread > 0 else None))
+    return table_from_rows(df.sparkSession, found, "fold int, penalty double, rows long, rmse double, r2 double")
+
+
+def _ridge(cross: np.ndarray, penalty: float) -> np.ndarray | None:
+    """Intercept and weights from sums of products (first the count, last the label); None without rows."""
+    n = cross[0, 0]
+    if n <= 0:
+        return None
+    mean = cross[0, 1:] / n
+    cov = cross[1:, 1:] / n - np.outer(mean, mean)
+    scale = np.sqrt(np.maximum(np.diag(cov)[:-1], 0.0))
+    used = np.flatnonzero(scale > 1e-12 * np.maximum(1.0, np.abs(mean[:-1])))
+    weights = np.zeros(len(scale))
+    if len(used):
+        inside = cov[np.ix_(used, used)] / np.outer(scale[used], scale[used])
+        weights[used] = np.linalg.lstsq(inside + penalty * np.eye(len(used)), cov[used, -1] / scale[used], rcond=None)[0] / scale[used]
+    return np.append(mean[-1] - weights @ mean[:-1], weights)

@@ -17,6 +17,7 @@ from tallyforge.operators.joins import (
 from tallyforge.operators.sets import union_all as union_tables
 from tallyforge.operators.sets import union_distinct as union_tables_distinct
 from tallyforge.plans.daily_spend import RATES
+from tallyforge.operators.skew import join_measured
 from tallyforge.plans.top_entities import unify
 from tallyforge.registry.catalog import Catalog, money
 from tallyforge.sources.memory import rates_table
@@ -164,6 +165,27 @@ def join_left_period(t: Tables) -> DataFrame:
     return joined.select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
+_HOT_SQL = """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 7 > 0 THEN l_orderkey END AS key, l_linestatus FROM lineitem"""
+
+
+def _hot_lines(t: Tables) -> DataFrame:
+    """Lines of which a third has one key, many of them equal rows, and some no key."""
+    key = F.col("l_orderkey")
+    return t.lineitem.select(F.when(key % 3 == 0, F.lit(1)).when(key % 7 > 0, key).cast("long").alias("key"), "l_linestatus")
+
+
+@catalog.query(f"SELECT l.key, l_linestatus, o_custkey, o_orderstatus FROM ({_HOT_SQL}) l JOIN orders ON l.key = o_orderkey")
+def join_hot_key(t: Tables) -> DataFrame:
+    orders = t.orders.select(F.col("o_orderkey").alias("key"), "o_custkey", "o_orderstatus")
+    return join_measured(_hot_lines(t), orders, "key")
+
+
+@catalog.query(f"SELECT l.key, l_linestatus, o_custkey, o_orderstatus FROM ({_HOT_SQL}) l LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 2 = 1) ON l.key = o_orderkey")
+def join_hot_key_left(t: Tables) -> DataFrame:
+    orders = t.orders.filter("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("key"), "o_custkey", "o_orderstatus")
+    return join_measured(_hot_lines(t), orders, "key", "left")
+
+
 @catalog.query(
     f"""WITH acts AS (SELECT o_orderkey, {_ORDER_KEY_SQL} AS key, o_totalprice,
                             CASE WHEN o_orderstatus = 'F' THEN 'O' ELSE 'X' END AS flag

@@ -11,6 +11,7 @@ from tallyforge.operators.learning import (
     exportable_predictions,
     in_training,
     linear_regression,
+    ridge_search,
     standardise,
     vector_columns,
 )
@@ -104,6 +105,28 @@ def housing_regression(t: Tables) -> DataFrame:
     return fit_report(model, scaled, features).withColumn("value", F.round("value", 3))
 
 
+@catalog.query(
+    """WITH numbered AS (SELECT l_quantity AS a, l_discount AS b, l_extendedprice AS y,
+                            CAST(CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 3 AS INTEGER) AS fold
+                     FROM lineitem),
+            folds AS (SELECT DISTINCT fold FROM numbered),
+            m AS (SELECT folds.fold, VAR_POP(a) AS aa, VAR_POP(b) AS bb, COVAR_POP(a, b) AS ab, COVAR_POP(a, y) AS ay,
+                         COVAR_POP(b, y) AS by_, AVG(a) AS ma, AVG(b) AS mb, AVG(y) AS my
+                  FROM folds JOIN numbered ON numbered.fold <> folds.fold GROUP BY folds.fold),
+            z AS (SELECT *, ab / SQRT(aa * bb) AS r, ay / SQRT(aa) AS u, by_ / SQRT(bb) AS v, 1 + penalty AS d
+                  FROM m, (SELECT unnest([0.0, 0.5, 2.0]::DOUBLE[]) AS penalty)),
+            w AS (SELECT fold, penalty, ma, mb, my, (u * d - v * r) / (d * d - r * r) / SQRT(aa) AS wa,
+                         (v * d - u * r) / (d * d - r * r) / SQRT(bb) AS wb FROM z),
+            e AS (SELECT w.fold, penalty, y, y - my - wa * (a - ma) - wb * (b - mb) AS gap FROM w JOIN numbered USING (fold))
+       SELECT fold, penalty, COUNT(*) AS "rows", ROUND(SQRT(AVG(gap * gap)), 3) AS rmse,
+              ROUND(1 - SUM(gap * gap) / (COUNT(*) * VAR_POP(y)), 6) AS r2
+       FROM e GROUP BY fold, penalty"""
+)
+def ml_ridge_cv(t: Tables) -> DataFrame:
+    found = ridge_search(t.lineitem, ["l_quantity", "l_discount"], "l_extendedprice", "l_orderkey", [0.0, 0.5, 2.0], folds=3)
+    return found.withColumns({"rmse": F.round("rmse", 3), "r2": F.round("r2", 6)})
+
+
 @catalog.query(
     """SELECT o_orderkey, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80 AS training
        FROM orders"""

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
@@ -80,3 +81,30 @@ def test_logistic_search_and_forest(passengers):
     assert dict(exported.dtypes)["features"] == "string"
     first = test.orderBy("id").first()
     assert f"[{first['a']},{first['b']},{first['c']}]" in {r["features"] for r in exported.collect()}
+
+
+def test_ridge_search_against_a_fit_for_every_fold(spark, rows):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(600, 3)) * [1, 50, 0.01] + [1e5, 0, 3]
+    y = x @ [2.0, 0.1, 40.0] + draw.normal(size=600) + 1e6
+    values = [(k, *map(float, x[k]), float(y[k])) for k in range(600)] + [(600, None, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(values, "id int, a double, b double, c double, y double")
+    fold = {r["id"]: r["fold"] for r in df.select("id", learning.fold_of("id", 4).alias("fold")).collect()}
+    found = rows(learning.ridge_search(df, ["a", "b", "c"], "y", "id", [0.0, 0.3], folds=4))
+    assert [(f, p) for f, p, *_ in found] == [(f, p) for f in range(4) for p in (0.0, 0.3)]
+    for f, penalty, n, rmse, r2 in found:
+        own = np.array([fold[k] == f for k in range(600)])
+        mean, deviation = x[~own].mean(axis=0), x[~own].std(axis=0)
+        z = (x[~own] - mean) / deviation
+        w = np.linalg.solve(z.T @ z / len(z) + penalty * np.eye(3), z.T @ (y[~own] - y[~own].mean()) / len(z))
+        gap = y[own] - y[~own].mean() - ((x[own] - mean) / deviation) @ w
+        assert n == own.sum() and rmse == pytest.approx(np.sqrt((gap**2).mean()), rel=1e-6)
+        assert r2 == pytest.approx(1 - (gap**2).sum() / ((y[own] - y[own].mean()) ** 2).sum(), abs=1e-6)
+
+
+def test_ridge_search_of_odd_rows(table, rows):
+    df = table([(k, 1.0, float(k), 5.0) for k in range(12)], "id int, a double, b double, y double")
+    found = rows(learning.ridge_search(df, ["a", "b"], "y", "id", [0.0], folds=2))
+    assert [r2 for *_, r2 in found] == [None, None] and all(rmse < 1e-9 for *_, rmse, _ in found)
+    assert learning.ridge_search(df.limit(0), ["a"], "y", "id").collect() == []
+    assert learning.ridge_search(df.limit(1), ["a"], "y", "id").collect() == []

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.functions.numbers import total
-from tallyforge.operators import joins, ranking
+from tallyforge.operators import joins, ranking, skew
 from tallyforge.operators.upsert import latest_per_key
 from tallyforge.plans import till_reports as tills
 from tallyforge.plans.top_entities import activity_per_entity, top_per_region, with_daily_average
@@ -108,6 +108,56 @@ def test_a_hot_key_of_a_full_outer_join_is_dealt_out_by_the_plan(spark):
     assert max(sizes) < 12_000 * 0.6  # the hot key has 12,000 rows
 
 
+@pytest.fixture
+def fixed_plans(spark):
+    """No adaptive changes and no broadcast joins beyond those that the plan itself asks for."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    yield
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+def test_measured_joins_deal_out_the_heavy_key_only(spark, fixed_plans, rows, how):
+    hot = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 > 0, F.col("id") % 3000)
+    # A third of all rows has one key, and all of these are equal.
+    many = spark.range(0, 48_000, numPartitions=48).select(hot.cast("int").alias("k"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("v"))
+    one = spark.range(7, 4000, 7).select(F.col("id").alias("k"), F.concat(F.lit("e"), "id").alias("name")).union(spark.sql("SELECT CAST(NULL AS BIGINT), 'none'"))
+    found = skew.join_measured(many, one, "k", how)
+    expected = many.join(one, "k", how)
+    assert sorted(rows(found), key=str) == sorted(rows(expected), key=str)
+    sizes = [r["count"] for r in found.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == many.filter("k = 7").count() >= 16_000 and max(sizes) < 16_000 / 4
+    heavy = skew.heavy_keys(many.withColumn("k", F.col("k").cast("long")), ["k"], 1 / 32)
+    assert len(heavy.counts) == 1 and 12_000 <= next(iter(heavy.counts.values())) <= many.filter("k = 7").count()
+
+
+def test_a_heavy_key_without_an_entity_and_composite_keys(spark, fixed_plans, rows):
+    many = spark.range(20_000).select((F.col("id") % 2).alias("a"), F.when(F.col("id") % 5 > 0, "x").otherwise("y").alias("b"), "id")
+    one = spark.createDataFrame([(0, "x", 1), (5, "z", 2), (1, None, 3)], "a long, b string, w int")
+    found = skew.join_measured(many, one, ["a", "b"], "full")
+    assert rows(found, "a", "b", "id", "w") == rows(many.join(one, ["a", "b"], "full"), "a", "b", "id", "w")
+    nothing = skew.join_measured(many.limit(0), one, ["a", "b"], "full")
+    assert rows(nothing, "a", "b", "w") == rows(one)
+    assert skew.join_measured(many.limit(0), one, ["a", "b"]).count() == 0
+
+
+def test_heavy_keys_against_exact_counts(spark):
+    draw = random.Random(8)
+    values = [int(draw.paretovariate(0.6)) for _ in range(40_000)]
+    share = 0.01
+    found = skew.heavy_keys(spark.createDataFrame([(v,) for v in values], "k long").repartition(7), ["k"], share)
+    exact = Counter(values)
+    hashes = {r["h"]: r["k"] for r in spark.createDataFrame([(k,) for k in exact], "k long").select("k", F.xxhash64("k").alias("h")).collect()}
+    named = {hashes[h]: n for h, n in found.counts.items()}
+    assert found.rows == len(values) and len(named) <= 2 / share
+    assert {k for k, n in exact.items() if n > share * len(values)} <= set(named)
+    assert all(exact[k] - share * len(values) / 4 <= n <= exact[k] for k, n in named.items())
+
+
 def test_a_full_outer_join_refuses_equal_names(spark):
     df = spark.range(3).select("id", F.lit(1).alias("v"))
     with pytest.raises(ValueError, match="both sides have v"):
