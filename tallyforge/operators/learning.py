@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline
@@ -69,41 +70,56 @@ def logistic_search(
     grid: Mapping[str, Sequence] | None = None,
     folds: int = 5,
     parallelism: int = 4,
+    fold: str | None = None,
 ) -> CrossValidatorModel:
     """Grid search over a logistic regression by k-fold cross validation, scored by weighted F1.
 
-    ``stages`` (encoding, assembling, scaling) are fitted inside each fold. Give it a stored
-    table: folds are drawn by a seeded generator, which repeats only over repeatable input.
+    ``stages`` (encoding, assembling, scaling) are fitted inside each fold. ``fold`` names a column with the number of each
+    row's fold, and the models of the folds are kept; see ``out_of_fold``. Without it give a stored table: folds are
+    then drawn by a seeded generator, which repeats only over repeatable input.
     """
     estimator = LogisticRegression(labelCol=label, featuresCol=features)
     builder = ParamGridBuilder()
     # The searched grid.
     for name, values in (grid or {"regParam": [0.1, 0.01], "maxIter": [10, 20]}).items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
-    return CrossValidator(
+    search = CrossValidator(
         estimator=Pipeline(stages=[*stages, estimator]),
         estimatorParamMaps=builder.build(),
         evaluator=MulticlassClassificationEvaluator(labelCol=label),
         numFolds=folds,
         seed=SEED,
         parallelism=parallelism,
-    ).fit(train)
+    )
+    return (search.setFoldCol(fold).setCollectSubModels(True) if fold else search).fit(train)
+
+
+def out_of_fold(search: CrossValidatorModel, train: DataFrame, key: str, label: str, fold: str) -> DataFrame:
+    """``key, fold, label, prediction`` and the searched parameters: each row by the models that did not see it, one for each grid point."""
+    parts = []
+    for number, models in enumerate(search.subModels):
+        held = train.filter(F.col(fold) == number)
+        for model, point in zip(models, search.getEstimatorParamMaps(), strict=True):
+            chosen = [F.lit(value).alias(param.name) for param, value in point.items()]
+            parts.append(model.transform(held).select(*chosen, key, fold, label, "prediction"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def random_forest(label: str, features: str = "features", trees: int = 10) -> Estimator:
     return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees, seed=SEED)
 
 
-def classification_scores(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """One row: accuracy and label-weighted precision, recall and F1, from one pass.
+def classification_scores(predictions: DataFrame, label: str, prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """One row for each group ``by``: accuracy and label-weighted precision, recall and F1, from one pass.
 
     Predictions shrink to the confusion table, one row per pair of classes, before anything else.
     """
     cells = predictions.groupBy(
-        F.col(label).cast("double").alias("actual"), F.col(prediction).cast("double").alias("predicted")
+        *by, F.col(label).cast("double").alias("actual"), F.col(prediction).cast("double").alias("predicted")
     ).agg(F.count("*").alias("n"))
     # Every cell counts once for its actual and once for its predicted class.
     sides = cells.select(
+        *by,
         F.inline(
             F.array(
                 F.struct(
@@ -119,9 +135,9 @@ def classification_scores(predictions: DataFrame, label: str, prediction: str =
                     F.lit(0).cast("long").alias("hit_n"),
                 ),
             )
-        )
+        ),
     )
-    per_class = sides.groupBy("class").agg(
+    per_class = sides.groupBy(*by, "class").agg(
         F.sum("actual_n").alias("actual_n"), F.sum("predicted_n").alias("predicted_n"), F.sum("hit_n").alias("hit_n")
     )
     zero = F.lit(0.0)
@@ -129,7 +145,7 @@ def classification_scores(predictions: DataFrame, label: str, prediction: str =
     recall = F.coalesce(F.try_divide("hit_n", "actual_n"), zero)
     f1 = F.coalesce(F.try_divide(F.lit(2.0) * precision * recall, precision + recall), zero)
     weight = F.col("actual_n")
-    return per_class.agg(
+    return per_class.groupBy(*by).agg(
         F.sum("actual_n").alias("rows"),
         (F.sum("hit_n") / F.sum("actual_n")).alias("accuracy"),
         (F.sum(precision * weight) / F.sum(weight)).alias("precision"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.operators.forests import forest_table, walk
 from tallyforge.operators.learning import (
     assemble,
     classification_scores,
@@ -16,7 +17,7 @@ from tallyforge.operators.learning import (
     vector_columns,
 )
 from tallyforge.plans.housing import fit_price, fit_report
-from tallyforge.plans.survival import encoded, fit_forest, fit_logistic, training_and_test
+from tallyforge.plans.survival import encoded, fit_forest, fit_logistic, search_report, training_and_test
 from tallyforge.registry.catalog import Catalog
 from tallyforge.sources.memory import table_from_rows
 from tallyforge.sources.tables import Tables
@@ -157,15 +158,7 @@ def ml_evaluate(t: Tables) -> DataFrame:
 
 
 _DOCUMENT_FEATURES = ["n_chars", "n_words", "n_lines", "lang", "toxic"]
-_TEST_SQL = """test AS (SELECT doc_id, quality, n_chars, len(regexp_extract_all(text, '\\S+')) AS n_words,
-                             len(text) - len(replace(text, chr(10), '')) AS n_lines,
-                             CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS lang, toxic
-                      FROM labels JOIN documents USING (doc_id)
-                      WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 80)"""
-_SCORES_SQL = f"""WITH {_TEST_SQL}
-    SELECT COUNT(*) AS "rows", COUNT(*) FILTER (quality = 1) AS good, COUNT(*) FILTER (quality = 0) AS bad,
-           TRUE AS holds_the_majority
-    FROM test"""
+_SCORES = ("accuracy", "precision", "recall", "f1")
 
 
 def _classifier_rows(t: Tables) -> DataFrame:
@@ -182,41 +175,55 @@ def _classifier_rows(t: Tables) -> DataFrame:
     return encoded(rows, {"lang": ({"en": 0, "fr": 1, "de": 2}, 3)})
 
 
+def _fitted_forest(t: Tables):
+    train, test = training_and_test(_classifier_rows(t), "doc_id")
+    return fit_forest(train, _DOCUMENT_FEATURES, "quality"), test
+
+
 def _scored(predictions: DataFrame) -> DataFrame:
-    """Size and classes of the test rows, and whether the accuracy is at least the share of the larger class, less
-    two standard errors at most."""
-    counted = predictions.agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col("quality") == 1).alias("good"),
-        F.count_if(F.col("quality") == 0).alias("bad"),
-        F.count_if(F.col("quality") == F.col("prediction")).alias("hits"),
-    )
-    return counted.withColumn("holds_the_majority", F.col("hits") >= F.greatest("good", "bad") - F.sqrt("rows")).drop("hits")
+    return classification_scores(predictions, "quality").withColumns({c: F.round(c, 6) for c in _SCORES})
 
 
-@catalog.query(_SCORES_SQL)
+@catalog.query()
 def ml_logistic_cv(t: Tables) -> DataFrame:
+    """Scores of the best logistic regression on the test rows."""
     train, test = training_and_test(_classifier_rows(t), "doc_id")
-    model = fit_logistic(train, _DOCUMENT_FEATURES, "quality")
-    return _scored(model.transform(test))
+    return _scored(fit_logistic(train, _DOCUMENT_FEATURES, "quality").transform(test))
+
 
+@catalog.query()
+def ml_logistic_search(t: Tables) -> DataFrame:
+    """The search itself: one row for each grid point and fold, scored on the rows of the fold."""
+    train, _ = training_and_test(_classifier_rows(t), "doc_id")
+    report, _ = search_report(train, _DOCUMENT_FEATURES, "quality", "doc_id")
+    return report.withColumns({c: F.round(c, 6) for c in _SCORES})
 
-@catalog.query(_SCORES_SQL)
+
+@catalog.query()
 def ml_random_forest(t: Tables) -> DataFrame:
-    train, test = training_and_test(_classifier_rows(t), "doc_id")
-    model = fit_forest(train, _DOCUMENT_FEATURES, "quality")
+    """Scores of a random forest on the test rows."""
+    model, test = _fitted_forest(t)
     return _scored(model.transform(test))
 
 
-@catalog.query(
-    f"""WITH {_TEST_SQL}
-        SELECT doc_id, quality, TRUE AS predicted,
-               '[' || concat_ws(',', CAST(n_chars AS DOUBLE), CAST(n_words AS DOUBLE), CAST(n_lines AS DOUBLE),
-                                CAST(lang AS DOUBLE), CAST(toxic AS DOUBLE)) || ']' AS features
-        FROM test"""
-)
+@catalog.query()
 def ml_predictions_export(t: Tables) -> DataFrame:
-    train, test = training_and_test(_classifier_rows(t), "doc_id")
-    model = fit_forest(train, _DOCUMENT_FEATURES, "quality")
-    exported = exportable_predictions(model.transform(test), "quality", keys=["doc_id"])
-    return exported.select("doc_id", "quality", F.col("prediction").isin(0.0, 1.0).alias("predicted"), "features")
+    """Label, prediction and features as text of every test row."""
+    model, test = _fitted_forest(t)
+    return exportable_predictions(model.transform(test), "quality", keys=["doc_id"])
+
+
+@catalog.query()
+def ml_forest_table(t: Tables) -> DataFrame:
+    """The nodes of the fitted forest."""
+    model, _ = _fitted_forest(t)
+    return forest_table(t.spark, model.stages[-1])
+
+
+@catalog.query()
+def ml_forest_walk(t: Tables) -> DataFrame:
+    """Prediction of every test row by joins with the nodes."""
+    model, test = _fitted_forest(t)
+    forest = model.stages[-1]
+    walked = walk(test, forest_table(t.spark, forest), "doc_id", _DOCUMENT_FEATURES, forest.getMaxDepth())
+    return walked.join(test.select("doc_id", "quality"), "doc_id").select("doc_id", "quality", "prediction", F.transform("votes", lambda v: F.round(v, 6)).alias("votes"))

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tallyforge.operators import learning
+from tallyforge.operators import forests, learning
 from tallyforge.plans import survival
 
 
@@ -108,3 +110,50 @@ def test_ridge_search_of_odd_rows(table, rows):
     assert [r2 for *_, r2 in found] == [None, None] and all(rmse < 1e-9 for *_, rmse, _ in found)
     assert learning.ridge_search(df.limit(0), ["a"], "y", "id").collect() == []
     assert learning.ridge_search(df.limit(1), ["a"], "y", "id").collect() == []
+
+
+def test_a_walk_through_the_nodes_predicts_as_the_model(spark, passengers):
+    train, test = survival.training_and_test(passengers, "id")
+    model = survival.fit_forest(train, ["a", "b", "c"], "label")
+    nodes = forests.forest_table(spark, model.stages[-1])
+    assert nodes.select("tree").distinct().count() == 10
+    assert nodes.filter("(left IS NULL) <> (votes IS NOT NULL)").count() == 0
+    assert nodes.filter("votes IS NOT NULL AND abs(votes[0] + votes[1] - 1) > 1e-12").count() == 0
+    walked = forests.walk(test, nodes, "id", ["a", "b", "c"], model.stages[-1].getMaxDepth())
+    both = walked.join(model.transform(test).withColumnRenamed("prediction", "expected"), "id").select(
+        "prediction", "expected", "votes", vector_to_array("rawPrediction").alias("raw")
+    )
+    found = both.collect()
+    assert len(found) == test.count()
+    assert all(r["prediction"] == r["expected"] and r["votes"] == r["raw"] for r in found)
+    assert forests.walk(test.limit(0), nodes, "id", ["a", "b", "c"], 5).count() == 0
+    gap = test.limit(5).withColumn("a", F.when(F.col("id") % 2 == 0, F.col("a")))
+    assert forests.walk(gap, nodes, "id", ["a", "b", "c"], 5).count() == gap.filter("a IS NOT NULL").count()
+
+
+def test_the_search_table_is_made_from_out_of_fold_predictions(passengers):
+    report, predictions = survival.search_report(passengers, ["a", "b", "c"], "label", "id", folds=3)
+    rows = report.collect()
+    assert len(rows) == 4 * 3
+    cells = defaultdict(list)
+    for r in predictions.collect():
+        cells[r["regParam"], r["maxIter"], r["fold"]].append((r["label"], int(r["prediction"])))
+    folds = {r["id"]: r["fold"] for r in passengers.select("id", learning.fold_of("id", 3).alias("fold")).collect()}
+    for r in rows:
+        pairs = cells[r["regParam"], r["maxIter"], r["fold"]]
+        assert r["rows"] == len(pairs) == sum(f == r["fold"] for f in folds.values())
+        assert r["accuracy"] == pytest.approx(sum(a == p for a, p in pairs) / len(pairs))
+        parts = []
+        for c in (0, 1):
+            hits, actual, predicted = sum(a == p == c for a, p in pairs), sum(a == c for a, _ in pairs), sum(p == c for _, p in pairs)
+            precision, recall = hits / predicted if predicted else 0, hits / actual if actual else 0
+            parts.append((actual, precision, recall, 2 * precision * recall / (precision + recall) if precision + recall else 0))
+        for k, name in enumerate(("precision", "recall", "f1"), 1):
+            assert r[name] == pytest.approx(sum(p[0] * p[k] for p in parts) / len(pairs))
+
+
+def test_classifiers_beat_the_larger_class_on_a_label_that_can_be_learned(passengers):
+    train, test = survival.training_and_test(passengers, "id")
+    scores = learning.classification_scores(survival.fit_forest(train, ["a", "b", "c"], "label").transform(test), "label").first()
+    larger = max(r["count"] for r in test.groupBy("label").count().collect())
+    assert scores["accuracy"] > larger / test.count() + 0.1

@@ -27,8 +27,14 @@ def test_entry(spark):
     assert contract.entry(spark).columns == ["c_custkey", "c_name", "n_name", "total", "active_days", "daily_average"]
 
 
-def test_every_query_has_sql():
-    assert all(found.sql for found in entries().values())
+#: Fitted models and sketches; tests/test_models.py and tests/test_sketches.py compare these with plain versions.
+WITHOUT_SQL = {
+    "ml_logistic_cv", "ml_logistic_search", "ml_random_forest", "ml_predictions_export", "ml_forest_table", "ml_forest_walk",
+}
+
+
+def test_every_other_query_has_sql():
+    assert {name for name, found in entries().items() if not found.sql} == WITHOUT_SQL
 
 
 def test_flagship_plan(spark, plan):
