@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.numbers import total
+from tallyforge.operators.partitions import PartitionedTable, added, keyed
 from tallyforge.operators.projection import preview
 from tallyforge.operators.upsert import upsert
 from tallyforge.registry.catalog import Catalog, money
@@ -14,6 +15,7 @@ from tallyforge.sources.delimited import read_csv, read_csv_inferred, write_csv
 from tallyforge.sources.documents import flatten_till_documents, rejected_lines, valid_lines
 from tallyforge.sources.tables import Tables
 from tallyforge.streaming.messages import as_text, folder_messages, to_parquet
+from tallyforge.streaming.upserts import into_table
 
 catalog = Catalog()
 
@@ -176,3 +178,49 @@ def upsert_merge(t: Tables) -> DataFrame:
     stored = daily(t.orders, "o_orderstatus", "o_orderdate", "o_totalprice")
     changes = daily(t.lineitem, "l_linestatus", "l_shipdate", "l_extendedprice")
     return upsert(stored, changes, ["metric", "day"])
+
+
+@catalog.query(
+    f"""WITH old AS (
+            SELECT 'income_' || o_orderstatus AS metric, strftime(o_orderdate, '%Y-%m') AS month, {money("o_totalprice")} AS value
+            FROM orders GROUP BY 1, 2),
+        new AS (
+            SELECT 'income_' || l_linestatus AS metric, strftime(l_shipdate, '%Y-%m') AS month, {money("l_extendedprice")} AS value
+            FROM lineitem WHERE year(l_shipdate) = 1995 GROUP BY 1, 2)
+        SELECT metric, month, value FROM new
+        UNION ALL
+        SELECT metric, month, value FROM old
+        WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.metric = old.metric AND new.month = old.month)"""
+)
+def upsert_touched_months(t: Tables) -> DataFrame:
+    """Figures of one year put into a table kept by month; the other months are not rewritten."""
+
+    def monthly(df: DataFrame, status: str, at: str, amount: str) -> DataFrame:
+        metric = F.concat(F.lit("income_"), status).alias("metric")
+        return df.groupBy(metric, F.date_format(at, "yyyy-MM").alias("month")).agg(total(amount, 2).alias("value"))
+
+    table = PartitionedTable(t.spark, scratch_path(t.spark, "monthly-metrics"), "metric string, value double, month string", by="month")
+    table.change(monthly(t.orders, "o_orderstatus", "o_orderdate", "o_totalprice"), keyed(["metric", "month"]))
+    changes = monthly(t.lineitem.filter(F.year("l_shipdate") == 1995), "l_linestatus", "l_shipdate", "l_extendedprice")
+    table.change(changes, keyed(["metric", "month"]))
+    return table.rows().select("metric", "month", "value")
+
+
+@catalog.query(
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, COUNT(*) AS n, CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS BIGINT) AS cents
+       FROM events GROUP BY 1, 2"""
+)
+def stream_upsert_totals(t: Tables) -> DataFrame:
+    """Totals by day and kind kept by a stream that is stopped and started again while events arrive."""
+    source, progress = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "totals-progress")
+    table = PartitionedTable(t.spark, scratch_path(t.spark, "day-totals"), "event_type string, n long, cents long, day string")
+
+    def totals(batch: DataFrame) -> DataFrame:
+        cents = F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents")
+        return batch.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"), cents)
+
+    for half in (0, 1):
+        t.events.filter(F.col("event_id") % 2 == half).write.mode("append").parquet(source)
+        arriving = t.spark.readStream.schema(t.events.schema).parquet(source)
+        into_table(arriving, table, totals, added(["event_type", "day"], ["n", "cents"]), progress, once=True).awaitTermination()
+    return table.rows().select("day", "event_type", "n", "cents")
