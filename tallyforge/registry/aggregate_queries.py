@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.numbers import mean, product, total
 from tallyforge.operators.aggregates import extremes, group_counts, sum_numeric, tally
 from tallyforge.operators.quantiles import approx_quantiles, beside, exact_quantiles
+from tallyforge.operators.sketches import active_days, day_masks, distinct_counts, id_bitmaps, merged_quantiles, quantile_sketches
 from tallyforge.registry.catalog import Catalog, money
 from tallyforge.session import stage_table
 from tallyforge.sources.tables import Tables
@@ -168,20 +169,35 @@ def percentile_disc_many_groups(t: Tables) -> DataFrame:
     return exact_quantiles(t.lineitem, "l_extendedprice", [0.25, 0.5, 0.75], by=["l_partkey"])
 
 
+@catalog.query()
+def percentile_approx_column(t: Tables) -> DataFrame:
+    """Quartiles of the prices by a sketch of one scan."""
+    return approx_quantiles(t.orders, "o_totalprice", [0.25, 0.5, 0.75])
+
+
+@catalog.query()
+def percentile_merged_sketches(t: Tables) -> DataFrame:
+    """Quartiles of the prices of every year, from stored sketches of days."""
+    days = quantile_sketches(t.orders.withColumn("day", F.to_date("o_orderdate")), "o_totalprice", ["day"])
+    return merged_quantiles(stage_table(days, "day-sketches"), [0.25, 0.5, 0.75], [F.year("day").alias("year")])
+
+
 @catalog.query(
-    "SELECT p, TRUE AS within FROM (VALUES (CAST(0.25 AS DOUBLE)), (0.5), (0.75)) v(p) WHERE EXISTS (SELECT 1 FROM orders)"
+    """SELECT year(o_orderdate) AS year, quarter(o_orderdate) AS quarter, COUNT(DISTINCT o_custkey) AS customers
+       FROM orders GROUP BY 1, 2"""
 )
-def percentile_approx_column(t: Tables) -> DataFrame:
-    """For each p whether the exact rank of the sketch's answer is within its error."""
-    accuracy = 10_000
-    prices = t.orders.select("o_totalprice")
-    found = stage_table(approx_quantiles(prices, "o_totalprice", [0.25, 0.5, 0.75], accuracy=accuracy), "sketched")
-    answers = found.agg(F.collect_list(F.struct("p", "value")).alias("answers"))
-    ranked = beside(prices, answers, []).select(F.inline("answers"), "o_totalprice").groupBy("p", "value").agg(
-        F.count_if(F.col("o_totalprice") < F.col("value")).alias("below"),
-        F.count_if(F.col("o_totalprice") <= F.col("value")).alias("upto"),
-        F.count("*").alias("n"),
-    )
-    low = F.col("below") <= F.col("n") * (F.col("p") + 1 / accuracy)
-    high = F.col("upto") >= F.col("n") * (F.col("p") - 1 / accuracy)
-    return ranked.select("p", (low & high).alias("within"))
+def distinct_from_bitmaps(t: Tables) -> DataFrame:
+    """Customers with orders in every quarter, from stored bitmaps of months."""
+    months = id_bitmaps(t.orders.withColumn("month", F.trunc("o_orderdate", "month")), "o_custkey", ["month"])
+    found = distinct_counts(stage_table(months, "month-bitmaps"), [F.year("month").alias("year"), F.quarter("month").alias("quarter")], "customers")
+    return found.withColumns({c: F.col(c).cast("long") for c in ("year", "quarter")})
+
+
+@catalog.query(
+    """SELECT o_custkey, COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS active_days FROM orders
+       WHERE o_orderdate >= TIMESTAMP '1994-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00' GROUP BY o_custkey"""
+)
+def active_days_from_masks(t: Tables) -> DataFrame:
+    """Active days of every customer in three years, from stored masks of months."""
+    masks = stage_table(day_masks(t.orders, "o_orderdate", ["o_custkey"]), "month-masks")
+    return active_days(masks.filter("month >= DATE '1994-01-01' AND month < DATE '1997-01-01'"), ["o_custkey"])

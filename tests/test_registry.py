@@ -30,6 +30,7 @@ def test_entry(spark):
 #: Fitted models and sketches; tests/test_models.py and tests/test_sketches.py compare these with plain versions.
 WITHOUT_SQL = {
     "ml_logistic_cv", "ml_logistic_search", "ml_random_forest", "ml_predictions_export", "ml_forest_table", "ml_forest_walk",
+    "percentile_approx_column", "percentile_merged_sketches", "impute_median_sketch",
 }
 
 
