@@ -11,8 +11,8 @@ from tallyforge.operators.projection import preview
 from tallyforge.operators.upsert import upsert
 from tallyforge.registry.catalog import Catalog, money
 from tallyforge.session import scratch_path
-from tallyforge.sources.delimited import read_csv, read_csv_inferred, write_csv
-from tallyforge.sources.documents import flatten_till_documents, rejected_lines, valid_lines
+from tallyforge.sources.delimited import read_csv, read_csv_inferred, read_csv_marked, split_csv, write_csv
+from tallyforge.sources.documents import flatten_till_documents, register_till_lines, rejected_lines, valid_lines
 from tallyforge.sources.tables import Tables
 from tallyforge.streaming.messages import as_text, folder_messages, to_parquet
 from tallyforge.streaming.upserts import into_table
@@ -120,6 +120,56 @@ def flatten_dashed_docs(t: Tables) -> DataFrame:
     return _flat(_documents(t, "- '- numero_caja': %d\n- '- compras':\n", purchase))
 
 
+@catalog.query(_DOCUMENTS_SQL)
+def flatten_docs_in_sql(t: Tables) -> DataFrame:
+    """The items of documents by a table function in SQL text."""
+    register_till_lines(t.spark)
+    head, purchase = "numero_caja: %d\ncompras:\n", (
+        "- compra:\n"
+        "  - producto: {nombre: part %d, cantidad: %s, precio_unitario: %s, fecha: %s}\n"
+        "  - producto: {nombre: tax, cantidad: 1, precio_unitario: %s}\n"
+    )
+    found = t.spark.sql("SELECT d.document, l.* FROM {documents} d, LATERAL till_lines(d.text) l", documents=_documents(t, head, purchase))
+    return valid_lines(found).withColumn("sold_on", F.date_format("sold_on", "yyyy-MM-dd"))
+
+
+_LINES_OF_CSV = """SELECT o_orderkey,
+              CASE o_orderkey % 10 WHEN 1 THEN o_orderkey || ',' || o_custkey
+                                   WHEN 2 THEN o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',1.5,more'
+                                   WHEN 3 THEN o_orderkey || ',many,' || o_orderstatus || ',1.5'
+                                   WHEN 4 THEN o_orderkey || ',many,' || o_orderstatus || ',1,5'
+                                   WHEN 5 THEN o_orderkey || ',,,'
+                                   ELSE o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',1.5' END AS line
+       FROM orders"""
+
+
+def _written_lines(t: Tables) -> DataFrame:
+    """Orders as CSV lines, four of ten of them wrong, marked as they are read back."""
+    path = scratch_path(t.spark, "lines-csv")
+    lines = t.spark.sql(_LINES_OF_CSV.replace("FROM orders", "FROM {orders}"), orders=t.orders)
+    lines.select("line").write.text(path)
+    return read_csv_marked(t.spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, price double", header=False)
+
+
+@catalog.query(
+    f"""SELECT line, CASE o_orderkey % 10 WHEN 3 THEN 'o_custkey' WHEN 4 THEN 'fields,o_custkey' ELSE 'fields' END AS problems
+        FROM ({_LINES_OF_CSV}) WHERE o_orderkey % 10 BETWEEN 1 AND 4"""
+)
+def csv_rejects(t: Tables) -> DataFrame:
+    _, wrong = split_csv(_written_lines(t))
+    return wrong.select("line", F.array_join("problems", ",").alias("problems"))
+
+
+@catalog.query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 5 THEN o_custkey END AS o_custkey,
+              CASE WHEN o_orderkey % 10 <> 5 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 10 <> 5 THEN 1.5::DOUBLE END AS price
+       FROM orders WHERE o_orderkey % 10 NOT BETWEEN 1 AND 4"""
+)
+def csv_accepted(t: Tables) -> DataFrame:
+    good, _ = split_csv(_written_lines(t))
+    return good
+
+
 # Documents that are wrong in different ways, by customer, and what each is rejected for.
 _WRONG = [
     ("numero_caja: 1\ncompras: 5\n", "purchases that are no list"),

@@ -168,23 +168,41 @@ def flatten_till_documents(documents: DataFrame, text: str = "text") -> DataFram
     regular = F.when(dashed, _DASHED.is_regular("_text", "_parts")).otherwise(_MAPPED.is_regular("_text", "_parts"))
     told = told.withColumn("_regular", F.coalesce(regular, F.lit(False)))
 
-    any_item = rf"\A(.+)\n +{QUANTITY}: (.+)\n +{UNIT_PRICE}: ([^\n]+)(?:\n +{DATE}: ([^\n]+))?\n?\z"
     till = F.regexp_extract(F.element_at("_parts", 1), rf"{TILL}'?: ([0-9]+)", 1)
     front = [F.col("_carried").getField(c).alias(c) for c in carried]
     each = told.filter("_regular").select("_carried", till.cast("long").alias("till"), F.explode(F.slice("_parts", 2, F.size("_parts"))).alias("_part"))
-    fields = [F.regexp_extract("_part", any_item, k) for k in range(1, 5)]
-    read = each.select(
+    # A regular item is one field a line, and no field has a colon in it.
+    cut = each.select("*", F.split("_part", "\n").alias("_lines"))
+    quantity, unit_price, sold_on = (F.substring_index(F.get("_lines", F.lit(k)), ": ", -1) for k in (1, 2, 3))
+    read = cut.select(
         *front,
         "till",
-        fields[0].alias("product"),
-        fields[1].cast("double").alias("quantity"),
-        fields[2].cast("double").alias("unit_price"),
-        F.nullif(fields[3], F.lit("")).alias("sold_on"),
+        F.get("_lines", F.lit(0)).alias("product"),
+        quantity.cast("double").alias("quantity"),
+        unit_price.cast("double").alias("unit_price"),
+        F.nullif(sold_on, F.lit("")).alias("sold_on"),
         F.lit(None).cast("string").alias("problem"),
     )
     return read.unionByName(_parsed(told.filter(~F.col("_regular")).select(*front, F.col("_text").alias(text)), text))
 
 
+class TillLines:
+    """Table function: the items of one document as rows ``till, product, quantity, unit_price, sold_on, problem``."""
+
+    def eval(self, text: str) -> Iterator[tuple]:
+        yield from _items(text)
+
+
+def register_till_lines(spark: SparkSession, name: str = "till_lines") -> None:
+    """Make the items of documents callable from SQL: ``SELECT d.file, l.* FROM docs d, LATERAL till_lines(d.text) l``.
+
+    Rows travel in Arrow batches, and every document gives its items or a row with a problem, as
+    ``flatten_till_documents`` does; all documents go through the YAML parser here.
+    """
+    kinds = T.StructType([T.StructField(n, _SPARK_TYPES[k]) for n, k in _ITEM])
+    spark.udtf.register(name, F.udtf(TillLines, returnType=kinds, useArrow=True))
+
+
 def _parsed(documents: DataFrame, text: str) -> DataFrame:
     """The same rows by the YAML parser."""
     carried = [c for c in documents.columns if c != text]

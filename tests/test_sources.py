@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 
 from tallyforge.session import _staged, remove_scratch, scratch_path, stage_table
-from tallyforge.sources import documents, relational
+from tallyforge.sources import delimited, documents, relational
 from tallyforge.sources.delimited import read_csv, read_csv_inferred, write_csv
 
 DASHED = """
@@ -301,3 +301,31 @@ def test_staged_tables_can_be_removed(spark):
     paths = list(_staged[spark.sparkContext.applicationId])
     assert os.path.isdir(paths[-1].removeprefix("file:")) and remove_scratch(spark) == len(paths)
     assert not os.path.exists(paths[-1].removeprefix("file:")) and remove_scratch(spark) == 0
+
+
+def test_malformed_csv_lines_are_rejects(spark, tmp_path, rows):
+    lines = ["k,name,x", "1,a,1.5", "2,b", "3,c,1.5,z", "four,d,1.5", "5,e,high", "six,f,low", ",,", '7,"g, h",2', "8,i,", '9,"j,1.0']
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    marked = delimited.read_csv_marked(spark, str(tmp_path / "in.csv"), "k int, name string, x double")
+    good, wrong = delimited.split_csv(marked)
+    assert rows(good) == [(None, None, None), (1, "a", 1.5), (7, "g, h", 2.0), (8, "i", None)]
+    found = {r["line"]: r["problems"] for r in wrong.collect()}
+    assert found == {"2,b": ["fields"], "3,c,1.5,z": ["fields"], "four,d,1.5": ["k"], "5,e,high": ["x"], "six,f,low": ["k", "x"], '9,"j,1.0': ["fields"]}
+    # Each side alone, and a single column, see the same lines.
+    assert wrong.count() == 6 and good.select("x").count() == 4 and marked.select("problems").count() == 10
+    (tmp_path / "none.csv").write_text("k,name,x\n")
+    assert delimited.read_csv_marked(spark, str(tmp_path / "none.csv"), "k int, name string, x double").collect() == []
+
+
+def test_documents_as_a_table_function_give_the_same_rows(spark, table, rows):
+    texts = [
+        "numero_caja: 1\ncompras:\n  - compra:\n    - producto:\n        nombre: pan\n        cantidad: 2\n        precio_unitario: 1.5\n        fecha: 2024/10/01\n",
+        "numero_caja: 2\ncompras:\n- compra:\n  - {nombre: a, cantidad: many, precio_unitario: 2}\n  - {nombre: b, cantidad: 1, precio_unitario: 3}\n",
+        "numero_caja: [",
+        "",
+        None,
+    ]
+    df = table(list(enumerate(texts)), "id int, text string")
+    documents.register_till_lines(spark, "lines_of")
+    found = spark.sql("SELECT d.id, l.* FROM {docs} d, LATERAL lines_of(d.text) l", docs=df)
+    assert rows(found) == rows(documents.flatten_till_documents(df)) and found.count() == 6
