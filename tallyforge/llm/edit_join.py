@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from hashlib import blake2b
 
 import numpy as np
@@ -10,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import mapped, mixed
+from tallyforge.llm.bits import sketch_of
 from tallyforge.llm.graph import components
+from tallyforge.operators.skew import join_measured
 from tallyforge.session import stage_table
 
 #: Bytes of text at a time: hashes of its prefixes and the keys of its lines take a hundred times as much.
@@ -31,22 +34,23 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
     return [(sum(sizes[:k]), size) for k, size in enumerate(sizes)]
 
 
-def probes(length: int, most: int, chars_per_edit: int) -> list[tuple[int, int, int, int]]:
-    """Index length, segment, start and size of the substrings that a line of ``length`` looks up.
+def window(of: int, length: int, k: int, edits: int) -> range:
+    """Where the ``k``-th segment of a line of length ``of`` can start in one of ``length`` within the edits.
 
-    A line within ``t`` edits of a shorter or equally long one has one of its ``t + 1`` segments at a place
-    whose shift both the edits before it and the edits after it can explain; only these places are taken.
+    The edits before the segment and those after it must both be able to explain its shift.
     """
-    found = []
-    for shorter in range(max(1, length - most), length + 1):
-        edits, gap = allowed_edits(shorter, most, chars_per_edit), length - shorter
-        if not edits or gap > edits:
-            continue
-        for k, (start, size) in enumerate(segments(shorter, edits)):
-            low = max(start - k, start + gap - (edits - k), 0)
-            high = min(start + k, start + gap + (edits - k), length - size)
-            found.extend((shorter, k, at, size) for at in range(low, high + 1))
-    return found
+    start, size = segments(of, edits)[k]
+    gap = length - of
+    return range(max(start - k, start + gap - (edits - k), 0), min(start + k, start + gap + (edits - k), length - size) + 1)
+
+
+def first_segment(a: str, b: str, edits: int) -> int | None:
+    """The first segment of ``a``, the shorter line, that ``b`` has where the edits allow it."""
+    for k, (start, size) in enumerate(segments(len(a), edits)):
+        part = a[start : start + size]
+        if any(b.startswith(part, at) for at in window(len(a), len(b), k, edits)):
+            return k
+    return None
 
 
 def banded_distance(a: str, b: str, limit: int) -> int:
@@ -94,39 +98,50 @@ def _distinct_lines(piece: pa.RecordBatch) -> list[str]:
     return list(dict.fromkeys(line for t in piece.column("text").to_pylist() for _, line in _shown_lines(t)))
 
 
-_SIGNED = pa.schema([("key", pa.int64()), ("line", pa.int64()), ("letters", pa.int64())])
+_KEYS = pa.schema([("key", pa.int64()), ("seg", pa.int8()), ("line", pa.int64())])
+_KEYS_DDL = "key long, seg byte, line long"
 
 
-def _keys(lines: list[str], most: int, chars_per_edit: int, index: bool) -> dict:
-    """Keys of the segments (``index``) or of the substrings to look up, with the letters that a line has an
-    odd number of."""
+def _keys(lines: list[str], most: int, chars_per_edit: int, index: bool) -> dict[str, np.ndarray]:
+    """Keys of the segments of lines (``index``) or of the substrings that they look up, all lines at once.
+
+    A line within ``t`` edits of a shorter or equally long one has one of its ``t + 1`` segments in ``window``; only
+    these places are looked up, and not a line's own segment at its own place.
+    """
     lines = [line for line in lines if len(line) >= chars_per_edit]
-    codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64)
-    if not len(codes):
-        return {f.name: np.zeros(0, np.int64) for f in _SIGNED}
-    sizes = np.array([len(line) for line in lines])
-    first = np.cumsum(sizes) - sizes
-    # A prefix sum of powers: the hash of any substring is a difference and one product away.
-    power = np.cumprod(np.full(len(codes) + 1, _BASE)) * _INVERSE
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(codes) * power[:-1])])
-    down = np.cumprod(np.full(len(codes) + 1, _INVERSE)) * _BASE
-    odd = np.bitwise_xor.reduceat(np.uint64(1) << (codes & np.uint64(63)), first).view(np.int64)
-    numbers = np.array([line_number(line) for line in lines], np.int64)
-    keys, owners = [], []
-    for length in np.unique(sizes).tolist():
-        own = np.flatnonzero(sizes == length)
-        if index:
-            edits = allowed_edits(length, most, chars_per_edit)
-            wanted = [(length, k, start, size) for k, (start, size) in enumerate(segments(length, edits))]
-        else:
-            wanted = probes(length, most, chars_per_edit)
-        for of, k, start, size in wanted:
-            low = first[own] + start
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    made: dict[str, list] = {f.name: [np.zeros(0, np.int64)] for f in _KEYS}
+    if len(codes):
+        sizes = np.array([len(line) for line in lines])
+        first = np.cumsum(sizes) - sizes
+        # A prefix sum of powers: the hash of any substring is a difference and one product away.
+        power = np.cumprod(np.full(len(codes) + 1, _BASE)) * _INVERSE
+        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(codes) * power[:-1])])
+        down = np.cumprod(np.full(len(codes) + 1, _INVERSE)) * _BASE
+        numbers = np.array([line_number(line) for line in lines], np.int64)
+
+        def put(own, of, k, at, size):
+            low = first[own] + at
             part = (prefix[low + size] - prefix[low]) * down[low]
-            keys.append(mixed(part + np.uint64(of * 64 + k)).view(np.int64))
-            owners.append(own)
-    owner = np.concatenate(owners)
-    return {"key": np.concatenate(keys), "line": numbers[owner], "letters": odd[owner]}
+            for name, value in zip(made, (mixed(part + (of * 64 + k).astype(np.uint64)).view(np.int64), np.full(len(own), k), numbers[own])):
+                made[name].append(value)
+
+        for gap in range(1 if index else most + 1):
+            for edits in range(max(1, gap), most + 1):
+                own = np.flatnonzero(np.minimum(most, (sizes - gap) // chars_per_edit) == edits)
+                of = sizes[own] - gap
+                base, longer = np.divmod(of, edits + 1)
+                for k in range(edits + 1):
+                    size, start = base + (k > edits - longer), k * base + np.maximum(0, k - (edits + 1 - longer))
+                    if index:
+                        put(own, of, k, start, size)
+                        continue
+                    low = np.maximum(np.maximum(start - k, start + gap - (edits - k)), 0)
+                    high = np.minimum(np.minimum(start + k, start + gap + (edits - k)), sizes[own] - size)
+                    for shift in range(2 * edits + 1):
+                        fits = (low + shift <= high) & ((gap > 0) | (low + shift != start))
+                        put(own[fits], of[fits], k, (low + shift)[fits], size[fits])
+    return {name: np.concatenate(value) for name, value in made.items()}
 
 
 def near_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = 2, chars_per_edit: int = 20) -> DataFrame:
@@ -138,10 +153,11 @@ def near_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most: i
     lines to classes; the first occurrence of a class (smallest key, then line) is ``class_key,
     class_line_no`` and the only one ``kept``.
 
-    Each distinct line of a slice leaves the keys of its segments and those of the substrings it looks up;
-    only keys, line numbers and letter parities are shuffled. Equal keys are pairs whose letter
-    parities differ in no more bits than the edits can change; the others are dropped inside the join. Texts of
-    lines in some pair alone are then fetched and compared. A line stands for all its copies.
+    Each distinct line of a slice leaves the keys of its segments. A sketch of these tells which of the substrings that
+    lines look up can be a segment of another line; only those leave keys, and only segments that are looked up or that
+    several lines have stay. Lines with a key in common are compared in blocks of ``BLOCK`` by ``BLOCK``, texts being
+    fetched for these lines alone. A pair is compared where the first segment that they share is the key, so once; what leaves a
+    block is a count for each line and one link that joins it to the others, never the pairs. A line stands for all its copies.
 
     Null and empty texts have no lines; null keys come last; rows that repeat key and text are one occurrence
     and judged alike. Other columns are not read.
@@ -171,14 +187,13 @@ def _judged_lines(docs: DataFrame, key: str, text: str, most: int, chars_per_edi
     ddl = "row long, key long, line_no int, line long"
     seen = stage_table(rows.mapInArrow(mapped(occurrences, "text", schema, _SLICE), ddl), "lines")
     linked = stage_table(links(rows, most, chars_per_edit), "line-links")
-    classes = components(linked).select(F.col("node").alias("line"), F.col("component").alias("class"))
-    both = linked.select(F.col("a").alias("line")).unionByName(linked.select(F.col("b").alias("line")))
-    degrees = both.groupBy("line").agg(F.count("*").alias("n_links"))
-    known = classes.join(degrees, "line")
-    placed = seen.join(known, "line", "left").withColumn("class", F.coalesce("class", "line"))
+    joined = components(linked.select(F.col("line").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("line"), F.col("component").alias("class"))
+    degrees = linked.groupBy("line").agg(F.sum("n").alias("n_links"))
+    known = stage_table(joined.join(degrees, "line"), "linked-lines")
+    placed = stage_table(join_measured(seen, known, "line", "left").withColumn("class", F.coalesce("class", "line")), "placed-lines")
     place = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("class_key"), F.col("line_no").alias("class_line_no"), F.col("row").alias("class_row"))
     firsts = placed.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    joined = placed.join(firsts, "class", "left")
+    joined = join_measured(placed, firsts, "class", "left")
     own = (F.col("first.class_row") == F.col("row")) & (F.col("first.class_line_no") == F.col("line_no"))
     return joined.select(
         "row",
@@ -192,21 +207,36 @@ def _judged_lines(docs: DataFrame, key: str, text: str, most: int, chars_per_edi
 
 
 def links(rows: DataFrame, most: int, chars_per_edit: int) -> DataFrame:
-    """``a long, b long`` with a < b: the numbers of different lines within the allowed edits."""
-    ddl = "key long, line long, letters long"
+    """``line long, n long, root long``: with how many lines compared in a block a line is linked, and the smallest line
+    that links of the block join it to. A line has a row for each block with a link of it."""
 
-    def keys_of(index: bool) -> DataFrame:
+    def keys_of(index: bool, wanted=None) -> DataFrame:
         def work(piece: pa.RecordBatch) -> dict:
-            return _keys(_distinct_lines(piece), most, chars_per_edit, index)
-
-        return rows.select("text").mapInArrow(mapped(work, "text", _SIGNED, _SLICE), ddl)
-
-    index = keys_of(True).alias("i")
-    probe = keys_of(False).alias("p")
-    close = F.bit_count(F.col("i.letters").bitwiseXOR(F.col("p.letters"))) <= 2 * most
-    pairs = index.join(probe, (F.col("i.key") == F.col("p.key")) & (F.col("i.line") != F.col("p.line")) & close)
-    pairs = pairs.select(F.least("i.line", "p.line").alias("a"), F.greatest("i.line", "p.line").alias("b")).distinct()
-    pairs = stage_table(pairs, "line-pairs")
+            made = _keys(_distinct_lines(piece), most, chars_per_edit, index)
+            if wanted is None:
+                return made
+            kept = wanted.value.has(made["key"].view(np.uint64))
+            return {name: value[kept] for name, value in made.items()}
+
+        return rows.select("text").mapInArrow(mapped(work, "text", _KEYS, _SLICE), _KEYS_DDL)
+
+    share = rows.sparkSession.sparkContext.broadcast
+    index = stage_table(keys_of(True), "segments")
+    several = index.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low <> high")
+    several = stage_table(several.select("key"), "segments-of-several")
+    looked_up = stage_table(keys_of(False, share(sketch_of(index, "key"))), "looked-up")
+    filters = share((sketch_of(several, "key"), sketch_of(looked_up, "key")))
+
+    def met(batches):
+        for batch in batches:
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(filters.value[0].has(keys) | filters.value[1].has(keys)))
+
+    both = index.mapInArrow(met, _KEYS_DDL).withColumn("probe", F.lit(False)).unionByName(looked_up.withColumn("probe", F.lit(True)))
+    members = both.groupBy("key", "line").agg(F.min(F.struct("probe", "seg")).alias("found")).select("key", "line", "found.*")
+    members = stage_table(members, "members")
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min("probe").alias("lone")).filter("n > 1 AND NOT lone").drop("lone")
+    members = stage_table(join_measured(members, sizes, "key"), "met-members")
 
     text_schema = pa.schema([("line", pa.int64()), ("text", pa.string())])
 
@@ -214,23 +244,78 @@ def links(rows: DataFrame, most: int, chars_per_edit: int) -> DataFrame:
         found = [line for line in _distinct_lines(piece) if len(line) >= chars_per_edit]
         return {"line": [line_number(line) for line in found], "text": found}
 
-    wanted = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted-lines")
     lines = rows.select("text").mapInArrow(mapped(texts, "text", text_schema, _SLICE), "line long, text string")
-    lines = lines.join(wanted, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
-    lines = stage_table(lines, "line-texts")
-    first = lines.select(F.col("line").alias("a"), F.col("text").alias("first"))
-    second = lines.select(F.col("line").alias("b"), F.col("text").alias("second"))
-    pair_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
-
-    def confirm(piece: pa.RecordBatch) -> dict:
-        close = []
-        for x, y in zip(piece.column("first").to_pylist(), piece.column("second").to_pylist()):
-            limit = allowed_edits(min(len(x), len(y)), most, chars_per_edit)
-            close.append(banded_distance(x, y, limit) <= limit)
-        return {"a": piece.column("a"), "b": piece.column("b"), "linked": close}
-
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "first", "second")
-    return both.mapInArrow(mapped(confirm, "second", pair_schema), "a long, b long, linked boolean").filter("linked").select("a", "b")
+    lines = lines.join(members.select("line").distinct(), "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
+    # A row of block i goes to the meetings of i with every block, the smaller number first.
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
+    own = own.join(lines, "line").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = own.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "probe", "seg", "line", "text")
+    dealt = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+    def compared(batches):
+        held: list[tuple] = []
+        place = None
+        for batch in batches:
+            made: list[tuple] = []
+            columns = [batch.column(c).to_pylist() for c in ("key", "x", "y", "block", "probe", "seg", "line", "text")]
+            for key, x, y, *row in zip(*columns):
+                if (key, x, y) != place:
+                    made += _linked(held, most, chars_per_edit)
+                    held, place = [], (key, x, y)
+                held.append(row)
+            yield _rows(made)
+        yield _rows(_linked(held, most, chars_per_edit))
+
+    return dealt.mapInArrow(compared, "line long, n long, root long")
+
+
+#: Lines with one key meet in blocks of about this many.
+BLOCK = 256
+
+
+def _rows(made: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in made], pa.int64()) for k in range(3)], names=["line", "n", "root"])
+
+
+def _linked(rows: list[tuple], most: int, chars_per_edit: int) -> list[tuple[int, int, int]]:
+    """Counts and roots of the lines of two blocks, or of one, from ``block, probe, seg, line, text`` rows."""
+    if len(rows) < 2:
+        return []
+    block, probe, seg, number, text = zip(*rows)
+    sizes, place = np.array([len(t) for t in text]), np.array(block)
+    # An edit changes the parity of two letters at most.
+    odd = np.array([_odd_letters(t) for t in text], np.uint64)
+    near = (np.bitwise_count(odd[:, None] ^ odd) <= 2 * most) & (np.abs(sizes[:, None] - sizes) <= most)
+    if place.min() < place.max():
+        near &= place[:, None] != place
+    degree, root = [0] * len(rows), list(range(len(rows)))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for p, q in zip(*(found.tolist() for found in np.nonzero(np.triu(near, 1)))):
+        # The shorter line gives the segments, of equally long ones that with the smaller number.
+        a, b = (p, q) if (sizes[p], number[p]) < (sizes[q], number[q]) else (q, p)
+        limit = allowed_edits(len(text[a]), most, chars_per_edit)
+        if probe[a] or abs(sizes[p] - sizes[q]) > limit or first_segment(text[a], text[b], limit) != seg[a]:
+            continue
+        if banded_distance(text[a], text[b], limit) <= limit:
+            degree[a] += 1
+            degree[b] += 1
+            one, other = find(a), find(b)
+            root[max(one, other, key=number.__getitem__)] = min(one, other, key=number.__getitem__)
+    return [(number[k], degree[k], number[find(k)]) for k in range(len(rows)) if degree[k]]
+
+
+def _odd_letters(line: str) -> int:
+    odd = 0
+    for letter, times in Counter(line).items():
+        odd ^= (times & 1) << (ord(letter) & 63)
+    return odd
 
 
 def without_later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = 2, chars_per_edit: int = 20) -> DataFrame:

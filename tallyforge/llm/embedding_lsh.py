@@ -67,29 +67,31 @@ def sample_keys(symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, wa
     return keys
 
 
-def edit_distance(a: list, b: list, limit: int) -> int:
-    """Bit-parallel edit distance of two sequences; any number above ``limit`` if it is above."""
-    if abs(len(a) - len(b)) > limit:
-        return limit + 1
+def best_prefix(a: list, b: list, limit: int) -> int:
+    """Least edit distance of ``a`` to ``b`` without some of its end, in one bit-parallel pass; any number above
+    ``limit`` if it is above."""
     if not a:
-        return len(b)
+        return 0
     where: dict = {}
     for k, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << k
     whole, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    plus, minus, score = whole, 0, len(a)
+    plus, minus, score, best = whole, 0, len(a), len(a)
     for k, x in enumerate(b):
+        # A further word makes the distance less by one at most.
+        if score - (len(b) - k) > limit:
+            break
         match = where.get(x, 0)
         zero = (((match & plus) + plus) ^ plus) | match | minus
         up = minus | ~(zero | plus) & whole
         down = zero & plus
         score += bool(up & top) - bool(down & top)
-        if score - (len(b) - 1 - k) > limit:
-            return limit + 1
+        if score < best:
+            best, limit = score, min(limit, score)
         up = up << 1 & whole | 1
         plus = down << 1 & whole | ~(zero | up) & whole
         minus = up & zero
-    return score
+    return best
 
 
 class Items:
@@ -121,6 +123,13 @@ class Items:
         sort = np.argsort(pairs, kind="stable")
         self.pairs, self.first, self.count = np.unique(pairs[sort], return_index=True, return_counts=True)
         self.owners = owners[sort]
+        # Tells most pairs that no item has at one look.
+        self.some = np.zeros(1 << 20, bool)
+        self.some[(self.pairs & self._LOW).astype(np.int64)] = True
+        #: Words that stand behind a text for windows that reach beyond it.
+        self.beyond = max(self.limit.values(), default=0)
+
+    _LOW = np.uint64((1 << 20) - 1)
 
     @staticmethod
     def _pairs(words: np.ndarray) -> np.ndarray:
@@ -129,8 +138,9 @@ class Items:
     def windows(self, words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and lengths of the windows that can lie within the limit of some item of that length.
 
-        An edit takes at most two of the n - 1 neighbouring pairs of an item away, so a window has at least
-        n - 1 - 2 * limit pairs of the item. No window within the limit is lost by this.
+        An edit takes at most two of the n - 1 neighbouring pairs of an item away (a word put in takes one, and another
+        where it moves the end of the item out of the window), so a window has at least n - 1 - 2 * limit pairs of
+        the item. No window within the limit is lost by this.
         """
         made = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for n in self.by_length:
@@ -138,11 +148,13 @@ class Items:
                 made.append((np.arange(len(words)), np.full(len(words), n)))
         if len(self.pairs) and len(words) > 1:
             pairs = self._pairs(words)
-            place = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
-            at = np.flatnonzero(self.pairs[place] == pairs)
-            times = self.count[place[at]]
+            at = np.flatnonzero(self.some[(pairs & self._LOW).astype(np.int64)])
+            place = np.minimum(np.searchsorted(self.pairs, pairs[at]), len(self.pairs) - 1)
+            same = self.pairs[place] == pairs[at]
+            at, place = at[same], place[same]
+            times = self.count[place]
             inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            item = self.owners[np.repeat(self.first[place[at]], times) + inner]
+            item = self.owners[np.repeat(self.first[place], times) + inner]
             at = np.repeat(at, times)
             by_item = np.argsort(item, kind="stable")
             item, at = item[by_item], at[by_item]
@@ -163,11 +175,12 @@ class Items:
         return starts[inside], sizes[inside]
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
-        """Text number, item, first word and edits: the best window for each text and item within the limit."""
+        """Text number, item, first word and edits: the best start for each text and item within the limit."""
         worded = [plain_words(t) for t in texts]
-        words = np.concatenate([np.zeros(0, np.uint64), *(self.hashes.of(w) for w in worded)])
-        owner = np.repeat(np.arange(len(texts)), [len(w) for w in worded])
-        first = np.concatenate([[0], np.cumsum([len(w) for w in worded])])
+        behind = np.zeros(self.beyond, np.uint64)
+        words = np.concatenate([np.zeros(0, np.uint64), *(part for w in worded for part in (self.hashes.of(w), behind))])
+        owner = np.repeat(np.arange(len(texts)), [len(w) + self.beyond for w in worded])
+        first = np.concatenate([[0], np.cumsum([len(w) + self.beyond for w in worded])])
         best: dict[tuple[int, int], tuple[int, int]] = {}
         starts, lengths = self.windows(words, owner)
         for low in range(0, len(starts), WINDOWS):
@@ -184,7 +197,7 @@ class Items:
                 at = start - int(first[text])
                 edits, before = best.get((text, item), (self.limit[n] + 1, 0))
                 limit = edits if at < before else edits - 1
-                found = edit_distance(self.words[item], worded[text][at : at + n], limit) if limit >= 0 else limit + 1
+                found = best_prefix(self.words[item], worded[text][at : at + n + self.limit[n]], limit) if limit >= 0 else limit + 1
                 if found <= limit:
                     best[text, item] = found, at
         return [(text, item, start, edits) for (text, item), (edits, start) in best.items()]
@@ -196,10 +209,11 @@ def contained_items(
 ) -> DataFrame:
     """``key, item_id, start_word, item_words, edits``: where documents contain benchmark items.
 
-    One row for each document and item with a window, as many words long as the item, within
-    ``edit_share`` of its words as edits: the window with the fewest edits, the first among equals. Windows at
-    all starts of whole texts are candidates where they could be within the limit; their embeddings meet those
-    of the items in enough walks for ``recall`` at the limit (equal windows always meet).
+    One row for each document and item with a run of words within ``edit_share`` of the item's words as edits, words put
+    in and left out included: the start with the fewest edits, the first among equals. Windows of the item's size at all
+    starts of whole texts are candidates where they could be within the limit; their embeddings meet those of the items in
+    enough walks for ``recall`` at the limit (equal windows always meet). A candidate is then compared with the
+    best end that the limit allows.
 
     Items go to the tasks in groups of at most ``ITEM_BYTES`` of text, one pass over the documents for
     each; an item above that is a group of its own. Null and empty texts and items contain nothing; null

@@ -69,42 +69,44 @@ def gumbel(*columns: str, seed: int) -> Column:
 
 
 def resampled(
-    docs: DataFrame, target: DataFrame, share: float, key: str = "doc_id", text: str = "text", temperature: float = 0.002, seed: int = 17,
+    docs: DataFrame, target: DataFrame, share: float, key: str = "doc_id", text: str = "text", temperature: float = 1.0, seed: int = 17,
     target_rows: int = 20_000,
 ) -> DataFrame:
     """``key, n_grams long, log_weight, noisy, kept``: every document, and whether it is drawn.
 
     ``target`` has the keys (column ``key``) of documents that the drawn ones should look like; of these at most
     ``target_rows``, chosen by a hash, are used, so their keys can be sent to all tasks. Two models
-    of hashed words and pairs, one of the target and one of all documents, give each document its mean log
-    ratio for an n-gram, ``log_weight``. Gumbel noise is added to it over ``temperature``, and the ``share`` of
-    documents with the largest sums is kept: a draw without replacement in proportion to the exponential
-    of the weight over ``temperature``. Ties at the boundary go to the smaller key.
-
-    Documents without words have weight 0. Null keys are never a target but take part; repeated rows are
-    equal in all columns. Without a target document all weights are 0. An empty table gives no rows.
+    of hashed words and pairs, one of the target and one of all documents, give each document the log of the ratio of its
+    chances in the two, ``log_weight``: the sum of the log ratios of its n-grams. Gumbel noise is added to it over
+    ``temperature``, and the ``share`` of documents with the largest sums is kept: a draw without replacement in proportion to
+    the ratio, to the power of one over ``temperature`` (1: the ratio itself; larger ones draw more evenly). Ties at
+    the boundary go to the smaller key; sums nearer to it than some 4096 steps of a double count as ties of one key.
+
+    Documents without words have weight 0. Null keys are never a target but take part. Noise depends on key and text:
+    rows with a null key draw apart, rows that repeat both are equal in all columns. Without a target document all weights are 0. An empty table gives no rows.
     """
     kind = docs.schema[key].dataType
     wanted = target.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("w_key")).distinct()
     wanted = stage_table(wanted.orderBy(F.xxhash64("w_key"), "w_key").limit(target_rows), "target")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    drawn = rows.withColumn("noise", gumbel("key", "text", seed=seed))
     # Broadcast: at most target_rows numbers.
     labelled = rows.join(F.broadcast(wanted), F.col("key") == F.col("w_key"), "left")
     labelled = labelled.select("text", F.col("w_key").isNotNull().cast("long").alias("kind"))
     ratio = log_ratio(stage_table(ngram_counts(labelled, "text", "kind"), "ngrams"))
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
-    schema = pa.schema([("key", pa.int64()), ("n_grams", pa.int64()), ("log_weight", pa.float64())])
+    schema = pa.schema([("key", pa.int64()), ("n_grams", pa.int64()), ("log_weight", pa.float64()), ("noise", pa.float64())])
 
     def weigh(piece: pa.RecordBatch) -> dict:
         hashes, sizes, weights = WordHashes(), [], []
         for t in piece.column("text").to_pylist():
             found = shared.value[ngram_buckets(t, hashes)]
             sizes.append(len(found))
-            weights.append(float(found.sum()) / max(1, len(found)))
-        return {"key": piece.column("key"), "n_grams": sizes, "log_weight": weights}
+            weights.append(float(found.sum()))
+        return {"key": piece.column("key"), "n_grams": sizes, "log_weight": weights, "noise": piece.column("noise")}
 
-    weighed = rows.mapInArrow(mapped(weigh, "text", schema), "key long, n_grams long, log_weight double")
-    weighed = weighed.withColumn("noisy", F.col("log_weight") / temperature + gumbel("key", seed=seed))
+    weighed = drawn.mapInArrow(mapped(weigh, "text", schema), "key long, n_grams long, log_weight double, noise double")
+    weighed = weighed.withColumn("noisy", F.col("log_weight") / temperature + F.col("noise")).drop("noise")
     weighed = stage_table(weighed, "weights")
     limit, last_key = top_k_boundary(weighed, "noisy", "key", share)
     above = F.lit(False) if limit is None else (F.col("noisy") > limit) | ((F.col("noisy") == limit) & (F.coalesce("key", F.lit((1 << 63) - 1)) <= last_key))

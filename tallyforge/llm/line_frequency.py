@@ -61,26 +61,26 @@ def line_number(line: bytes) -> int:
     return int.from_bytes(blake2b(line, digest_size=8).digest(), "little", signed=True)
 
 
-def _lines(text: str | None) -> list[int]:
-    """The numbers of the lines with a word."""
-    return [line_number(n) for n in map(normalised, (text or "").split("\n")) if n]
+def _lines(text: str | None) -> list[bytes]:
+    """The lines with a word, in the form in which they are compared."""
+    return [n for n in map(normalised, (text or "").split("\n")) if n]
 
 
 def frequent_lines(docs: DataFrame, text: str, host: str, least: int, share: float) -> DataFrame:
     """``host, lines array<long>``: lines in more documents of the host than ``max(least, share * documents)``.
 
-    A document counts once for a line, and copies count once: documents with the same lines beside those that so
-    many documents have are one. So a block of several lines goes whole, as what is around the block differs.
-    A line over the limit is in more than ``share`` of the documents, so a host has at most
-    1 / ``share`` times as many of them as a document has lines on average.
+    A document counts once for a line, and documents with the same lines in the same order are one, here and in the
+    number of documents; so copies do not make a line frequent. A line over the limit is in more than ``share`` of
+    the documents, so a host has at most 1 / ``share`` times as many of them as a document has lines on average.
     """
     schema = pa.schema([("host", pa.string()), ("doc", pa.int64()), ("line", pa.int64())])
 
     def lines(piece: pa.RecordBatch) -> dict:
         made = {f.name: [] for f in schema}
         for h, t in zip(piece.column("host").to_pylist(), piece.column("text").to_pylist()):
-            own = line_number((t or "").encode("utf-8"))
-            for line in {*_lines(t), None}:
+            shown = _lines(t)
+            own = line_number(b"\n".join(shown))
+            for line in {*map(line_number, shown), None}:
                 for name, value in zip(made, (h, own, line)):
                     made[name].append(value)
         return made
@@ -93,26 +93,7 @@ def frequent_lines(docs: DataFrame, text: str, host: str, least: int, share: flo
     total = documents.filter("line IS NULL").select(F.col("host").alias("t_host"), F.greatest(F.lit(float(least)), share * F.col("documents")).alias("limit"))
     over = documents.filter(F.col("line").isNotNull() & (F.col("documents") > least))
     over = over.join(total, F.col("host").eqNullSafe(F.col("t_host"))).filter("documents > limit")
-    over = stage_table(over.groupBy("host").agg(F.collect_list("line").alias("lines"), F.first("limit").alias("limit")), "common-lines")
-
-    remainder_schema = pa.schema([("host", pa.string()), ("line", pa.int64()), ("rest", pa.int64())])
-
-    def remainders(piece: pa.RecordBatch) -> dict:
-        made = {f.name: [] for f in remainder_schema}
-        for h, t, common in zip(*(piece.column(c).to_pylist() for c in ("host", "text", "lines"))):
-            own, common = _lines(t), frozenset(common)
-            here = common.intersection(own)
-            rest = line_number(b"".join(n.to_bytes(8, "little", signed=True) for n in own if n not in common)) if here else 0
-            for line in here:
-                for name, value in zip(made, (h, line, rest)):
-                    made[name].append(value)
-        return made
-
-    met = rows.join(over.withColumnRenamed("host", "o_host"), F.col("host").eqNullSafe(F.col("o_host"))).select("host", "text", "lines")
-    rests = met.mapInArrow(mapped(remainders, "text", remainder_schema), "host string, line long, rest long")
-    rests = rests.groupBy("host", "line", "rest").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("rests"))
-    rests = rests.filter(F.col("rests") > least).join(over.select(F.col("host").alias("o_host"), "limit"), F.col("host").eqNullSafe(F.col("o_host")))
-    return rests.filter("rests > limit").groupBy("host").agg(F.collect_list("line").alias("lines"))
+    return over.groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 
 def judged(

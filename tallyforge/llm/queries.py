@@ -74,16 +74,13 @@ raw AS (SELECT doc_id, source, text, line, no
         FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM docs)
         WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 again AS (SELECT doc_id, COUNT(*) - COUNT(DISTINCT line) AS n FROM raw GROUP BY doc_id),
-lines AS (SELECT doc_id, source, text, no, array_to_string(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'), ' ') AS line FROM raw),
-around AS (SELECT *, string_split(line, ' ') AS w,
-                  COALESCE(string_split(LAG(line) OVER here, ' ')[-2:], []) AS before,
-                  COALESCE(string_split(LEAD(line) OVER here, ' ')[:2], []) AS after
-           FROM lines WINDOW here AS (PARTITION BY doc_id ORDER BY no)),
-total AS (SELECT source, GREATEST(20.0, 0.01 * COUNT(DISTINCT text)) AS most FROM docs GROUP BY source),
-over_limit AS (SELECT a.source, line FROM around a JOIN total t ON a.source IS NOT DISTINCT FROM t.source
-               GROUP BY a.source, line, most
-               HAVING COUNT(DISTINCT a.text) > most AND COUNT(DISTINCT (before, after)) > most),
-removed AS (SELECT doc_id, SUM(len(w)) AS n FROM around a JOIN over_limit o ON a.source IS NOT DISTINCT FROM o.source AND a.line = o.line
+lines AS (SELECT doc_id, source, no, array_to_string(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'), ' ') AS line FROM raw),
+-- Documents with the same lines are one.
+same AS (SELECT docs.doc_id, docs.source, COALESCE(string_agg(line, chr(10) ORDER BY no), '') AS own FROM docs LEFT JOIN lines USING (doc_id) GROUP BY ALL),
+total AS (SELECT source, GREATEST(20.0, 0.01 * COUNT(DISTINCT own)) AS most FROM same GROUP BY source),
+over_limit AS (SELECT l.source, line FROM lines l JOIN same s USING (doc_id) JOIN total t ON l.source IS NOT DISTINCT FROM t.source
+               GROUP BY l.source, line, most HAVING COUNT(DISTINCT own) > most),
+removed AS (SELECT doc_id, SUM(len(string_split(a.line, ' '))) AS n FROM lines a JOIN over_limit o ON a.source IS NOT DISTINCT FROM o.source AND a.line = o.line
             GROUP BY doc_id),
 measured AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
                     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from tallyforge.llm.batches import mixed, slices
+from tallyforge.llm.bits import Sketch, sketch_of
 from tallyforge.operators.ranking import top_exact
 from tallyforge.session import stage_table
 
 LONGEST = 4
 #: Texts are cut into chunks of about this many bytes, at the end of a piece or else after a word.
 CHUNK_BYTES = 8 << 20
-#: The sketch of frequent phrases takes 16 bits for each of them, at most 2**29 (64 MB); false hits are only extra work.
-MOST_BITS = 29
 #: A prefix with more than this share of all occurrences (so a thousand at most) has its counter dealt to so many parts.
 HEAVY_SHARE = 0.001
 PARTS = 64
@@ -100,30 +99,6 @@ def marks(words: list[np.ndarray], seed: np.uint64 | np.ndarray) -> np.ndarray:
     return total
 
 
-class Sketch:
-    """A set of phrases as bits; a phrase that is not in it may be found, never the other way round."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(8 * len(bits) - 1)
-
-    def has(self, found: np.ndarray) -> np.ndarray:
-        at = (found & self.mask).astype(np.int64)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
-def sketch_of(found: DataFrame) -> Sketch:
-    """The sketch of the ``mark long`` rows; bits are set in the tasks, and at most 2**``MOST_BITS`` of them are fetched."""
-    power = min(MOST_BITS, max(16, int(16 * found.count()).bit_length()))
-    at = F.col("mark").bitwiseAND((1 << power) - 1) + 1
-    blocks = found.groupBy(F.bitmap_bucket_number(at).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
-    bits = np.zeros(1 << (power - 3), np.uint8)
-    for block, part in blocks.toLocalIterator():
-        start = (block - 1) << 12
-        held = np.frombuffer(part, np.uint8)[: len(bits) - start]
-        bits[start : start + len(held)] = held
-    return Sketch(bits)
-
-
 def _word_counts(docs: DataFrame, size: int) -> DataFrame:
     """``lang, phrase, f, mark``: the counter of the empty prefix."""
 

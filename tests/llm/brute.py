@@ -96,9 +96,18 @@ def repeated_bytes(docs: list[tuple], width: int) -> dict:
 
 
 def contains(text: str | None, item: str, share: float = 0.2) -> bool:
-    words = [re.sub(r"[^a-z0-9\x80-\U0010ffff]", " ", x.lower()).split() for x in (text or "", item)]
-    n = len(words[1])
-    return any(edit_distance(words[0][i : i + n], words[1]) <= int(share * n) for i in range(len(words[0]) - n + 1)) if n else False
+    """Whether some run of words of the text, of any length, is within the edits."""
+    words, wanted = ([re.sub(r"[^a-z0-9\x80-\U0010ffff]", " ", x.lower()).split() for x in (text or "", item)])
+    n = len(wanted)
+    if not n:
+        return False
+    row = [0] * (len(words) + 1)
+    for i, x in enumerate(wanted, 1):
+        new = [i]
+        for j, y in enumerate(words, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row) <= int(share * n)
 
 
 def prose(seed: int, words: int) -> str:
@@ -108,6 +117,15 @@ def prose(seed: int, words: int) -> str:
     return " ".join(w + ("\n" if draw.random() < 0.06 else "") for w in made)
 
 
+def moved(text: str, seed: int, edits: int, kinds: str = "sdi") -> str:
+    """Words substituted, dropped and put in at different places."""
+    draw, words = random.Random(seed), text.split()
+    for at in sorted(draw.sample(range(1, len(words) - 1), edits), reverse=True):
+        kind, new = draw.choice(kinds), f"w{draw.randrange(10**6)}"
+        words[at : at + 1] = {"s": [new], "d": [], "i": [words[at], new]}[kind]
+    return " ".join(words)
+
+
 def edited(text: str, seed: int, edits: int) -> str:
     draw, words = random.Random(seed), text.split(" ")
     for _ in range(edits):

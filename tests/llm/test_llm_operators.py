@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -151,6 +152,48 @@ def test_a_block_of_frequent_lines_goes_whole_but_copies_stay(table):
     assert found[300]["n_removed_words"] == 0
 
 
+def _through_sql(rows):
+    """The rows of the query's SQL for documents ``doc_id, text, source``."""
+    import duckdb
+
+    from tallyforge.llm.queries import entries
+
+    connection = duckdb.connect()
+    connection.register("documents", pa.table(dict(zip(("doc_id", "text", "source"), map(list, zip(*rows))))))
+    cursor = connection.execute(entries()["op3_quality_rules"].sql)
+    names = [d[0] for d in cursor.description]
+    return sorted((dict(zip(names, r)) for r in cursor.fetchall()), key=lambda r: r["doc_id"])
+
+
+def test_the_rule_on_frequent_lines_is_that_of_the_sql(table):
+    pool = [brute.prose(8500 + k, 8).replace("\n", "") for k in range(60)]
+    # Documents of frequent lines only, in every order.
+    boiler = [(k, "\n".join(random.Random(k).sample(pool, 30)), "a") for k in range(300)]
+    block = [brute.prose(8600 + k, 8).replace("\n", "") for k in range(5)]
+    blocks = [(1000 + k, "\n".join([brute.prose(8700 + k, 70), *block, brute.prose(8800 + k, 20)]), "b") for k in range(40)]
+    copies = [(2000 + k, brute.prose(11, 90).replace(" ", "  " if k % 2 else " "), "c") for k in range(60)]
+    other = [(3000 + k, brute.prose(9000 + k, 90), ("c", None)[k % 2]) for k in range(30)] + [(4000, None, "c"), (4001, "", None)]
+    rows = boiler + blocks + copies + other
+    expected = _through_sql(rows)
+    found = sorted((r.asDict() for r in judged(table(rows, "doc_id long, text string, source string")).drop("cleaned").collect()), key=lambda r: r["doc_id"])
+    assert found == expected
+    kept = {r["doc_id"]: r["kept"] for r in found}
+    removed = {r["doc_id"]: r["n_removed_words"] for r in found}
+    assert not any(kept[k] for k in range(300)) and all(removed[1000 + k] == 40 for k in range(40))
+    assert all(kept[2000 + k] and not removed[2000 + k] for k in range(60))
+
+
+def test_a_large_family_of_lines_leaves_counts_and_not_pairs(table, monkeypatch):
+    monkeypatch.setattr(edit_join, "BLOCK", 16)
+    base = brute.prose(60, 20).replace("\n", "")
+    letters = "".join(chr(0x4E00 + k) for k in range(400))
+    docs = [(k, base[:30] + letters[k] + base[31:]) for k in range(200)] + [(500, base), (501, brute.prose(61, 20).replace("\n", ""))]
+    df = table(docs, "doc_id long, text string")
+    found = {(r["doc_id"], r["line_no"]): (r["n_links"], r["class_key"], r["class_line_no"], r["kept"]) for r in edit_join.near_lines(df).collect()}
+    assert found == brute.near_lines(docs) and found[500, 0][0] == 200
+    assert edit_join.links(df, 2, 20).count() < 201 * 16
+
+
 def test_near_lines(table):
     draw, docs = random.Random(4), []
     lines = [brute.prose(50 + k, 8).replace("\n", "") for k in range(12)] + ["short", "shorT", "", "  "]
@@ -303,6 +346,16 @@ def embedding_lsh_words(text):
     return [w.decode() for w in embedding_lsh.plain_words(text)]
 
 
+@pytest.mark.parametrize("kinds", ["d", "i", "sdi"])
+def test_items_with_words_put_in_and_left_out(table, kinds):
+    item = brute.prose(77, 50).replace("\n", "")
+    docs = [(k, f"{brute.prose(2000 + k, 40)} {brute.moved(item, k, 8, kinds)} {brute.prose(2100 + k, 40 if k % 3 else 1)}") for k in range(60)]
+    docs += [(100, brute.moved(item, 5, 8, "d")), (101, item)]
+    assert all(brute.contains(t, item) for _, t in docs)
+    found = embedding_lsh.contained_items(table(docs, "doc_id long, text string"), table([(1, item)], "item_id long, text string")).collect()
+    assert len(found) >= 0.97 * len(docs) and all(r["edits"] <= 10 for r in found)
+
+
 def test_items_in_several_groups_give_the_same(table, monkeypatch):
     items = [(k, brute.prose(80 + k, 20)) for k in range(6)]
     docs = [(k, f"a {items[k % 6][1]} b") for k in range(12)]
@@ -316,7 +369,7 @@ def test_word_edit_distance():
     for _ in range(2000):
         a, b = ([draw.choice("abc") for _ in range(draw.randint(0, 8))] for _ in range(2))
         for limit in range(5):
-            assert min(embedding_lsh.edit_distance(a, b, limit), limit + 1) == min(brute.edit_distance(a, b), limit + 1)
+            assert min(embedding_lsh.best_prefix(a, b, limit), limit + 1) == min(limit + 1, *(brute.edit_distance(a, b[:k]) for k in range(len(b) + 1)))
 
 
 @pytest.mark.parametrize("width", [24, 50])
@@ -389,7 +442,7 @@ def test_resampling(table, messy, empty):
     buckets = [importance.ngram_buckets(t, hashes) for _, t in good + bad]
     one, raw = (sum(np.bincount(b, minlength=importance.BUCKETS) for b in part) + 1.0 for part in (buckets[:40], buckets))
     ratio = np.log(one / one.sum()) - np.log(raw / raw.sum())
-    assert weights == pytest.approx([ratio[b].mean() for b in buckets])
+    assert weights == pytest.approx([ratio[b].sum() for b in buckets])
     found = importance.resampled(messy, target, 0.5).collect()
     assert len(found) == len(MESSY) and sum(r["kept"] for r in found) >= round(0.5 * len(MESSY))
     assert importance.resampled(empty, target, 0.5).collect() == []
