@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.session import ship_package
 from tallyforge.sources.tables import Tables
 
 
@@ -16,6 +17,7 @@ class Entry:
     sql: str | None
 
     def run(self, spark: SparkSession, base: str) -> DataFrame:
+        ship_package(spark)
         return self.build(Tables(spark, base))
 
 

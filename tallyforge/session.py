@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from pathlib import Path
+from zipfile import ZipFile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +34,27 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+#: Applications that have the package.
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of the session, once for an application.
+
+    Functions that run in tasks are looked up by name there, so executors need the package wherever the driver was started.
+    The archive is made in the driver's own temporary folder; Spark hands it to the executors.
+    """
+    application, root = spark.sparkContext.applicationId, Path(__file__).resolve().parent
+    if application in _shipped or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with ZipFile(archive, "w") as made:
+        for module in sorted(root.rglob("*.py")):
+            made.write(module, module.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 

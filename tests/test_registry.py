@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -55,3 +58,25 @@ def test_filters_and_columns_reach_the_scan(spark, capsys):
 def test_hot_paths_stay_in_the_jvm(spark, plan):
     for name in ("daily_spend_own_currency", "totals_by_till_clean", "topn_array_slice", "clean_and_cross"):
         assert "Python" not in plan(contract.queries()[name](spark, BASE))
+
+
+_ELSEWHERE = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as contract
+spark = SparkSession.builder.master("local[2]").config("spark.checkpoint.dir", {scratch!r}).config("spark.ui.enabled", "false").getOrCreate()
+print("rows", contract.queries()["join_hot_key"](spark, {base!r}).count())
+"""
+
+
+def test_tasks_find_the_package_wherever_the_driver_was_started(tmp_path):
+    code = _ELSEWHERE.format(repo=str(Path(contract.__file__).resolve().parent), scratch=str(tmp_path / "scratch"), base=BASE)
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0 and "rows" in done.stdout, done.stderr[-2000:]
+
+
+def test_queries_outside_the_subpackage_survive_without_it(monkeypatch):
+    monkeypatch.setitem(sys.modules, "tallyforge.llm.queries", None)
+    assert set(contract.queries()) == set(entries())
