@@ -240,9 +240,13 @@ def links(rows: DataFrame, most: int, chars_per_edit: int) -> DataFrame:
 
     text_schema = pa.schema([("line", pa.int64()), ("text", pa.string())])
 
+    wanted = share(sketch_of(members, "line"))
+
     def texts(piece: pa.RecordBatch) -> dict:
         found = [line for line in _distinct_lines(piece) if len(line) >= chars_per_edit]
-        return {"line": [line_number(line) for line in found], "text": found}
+        numbers = np.array([line_number(line) for line in found], np.int64)
+        kept = np.flatnonzero(wanted.value.has(numbers.view(np.uint64)))
+        return {"line": numbers[kept], "text": [found[k] for k in kept.tolist()]}
 
     lines = rows.select("text").mapInArrow(mapped(texts, "text", text_schema, _SLICE), "line long, text string")
     lines = lines.join(members.select("line").distinct(), "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
