@@ -298,6 +298,67 @@ def test_a_passage_whose_parts_are_elsewhere_first_is_found(table):
     assert [r["n_words"] >= 90 for r in found if (r["doc_id"], r["other_doc_id"]) == (9, 5)] == [True]
 
 
+def test_a_passage_with_every_fifth_word_changed_is_found(table):
+    docs = []
+    for k in range(20):
+        passage = brute.prose(7300 + k, 99).replace("\n", "").split()[:99]
+        other = [f"x{k}y{i}" if i % 5 == 4 else w for i, w in enumerate(passage)]
+        for key, words in ((k, passage), (100 + k, other)):
+            docs.append((key, f"{brute.prose(7400 + key, 40)} {' '.join(words)} {brute.prose(7600 + key, 40)}"))
+    found = chaining.shared_passages(table(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["other_doc_id"]) for r in found} >= {(100 + k, k) for k in range(20)}
+
+
+def test_a_passage_whose_every_stretch_is_in_forty_earlier_documents_is_found(table):
+    words = [f"p{k}" for k in range(60)]
+    docs = []
+    for k in range(40):
+        stretches = [words[at : at + 14 + k % 3] for at in range(0, 60, 7)]
+        docs.append((k, " ".join(f"{' '.join(s)} {brute.prose(7800 + 50 * k + i, 12)}" for i, s in enumerate(stretches))))
+    docs += [(key, f"{brute.prose(key, 50)} {' '.join(words)} {brute.prose(key + 10, 50)}") for key in (5000, 5001)]
+    found = chaining.shared_passages(table(docs, "doc_id long, text string")).collect()
+    assert any((r["doc_id"], r["other_doc_id"]) == (5001, 5000) and r["n_words"] >= 60 for r in found)
+
+
+@pytest.mark.parametrize("kinds", ["d", "i", "sdi"])
+def test_passages_with_words_put_in_and_left_out_are_found(table, kinds):
+    docs = []
+    for k in range(40):
+        passage = brute.prose(9000 + k, 70).replace("\n", "")
+        for key, t in ((k, passage), (100 + k, brute.moved(passage, k, 8, kinds))):
+            docs.append((key, f"{brute.prose(9100 + key, 40)} {t} {brute.prose(9300 + key, 40)}"))
+    found = chaining.shared_passages(table(docs, "doc_id long, text string")).collect()
+    assert len({(r["doc_id"], r["other_doc_id"]) for r in found} & {(100 + k, k) for k in range(40)}) >= 36
+
+
+def test_equal_runs_of_an_earlier_document_are_all_told(table):
+    """Against every run of so many words that stands in a document with a smaller key; copies, heavy seeds and keys that repeat."""
+    draw, pieces = random.Random(3), [[f"s{p}w{i}" for i in range(40)] for p in range(6)]
+    docs = []
+    for k in range(50):
+        words = [f"d{k}w{i}" for i in range(30)]
+        for _ in range(draw.randint(1, 5)):
+            words += draw.choice(pieces)[draw.randint(0, 5) :] + [f"d{k}x{draw.randrange(9)}"] * draw.randint(0, 1)
+        docs.append((k, " ".join(words)))
+    docs += [(60 + k, docs[k][1].upper()) for k in range(5)] + [(70, docs[0][1]), (70, "z z"), (None, docs[1][1])]
+    by_key = {k: t for k, t in docs if k is not None and t != "z z"}
+    found = chaining.shared_passages(table([d for d in docs if d != (70, "z z")], "doc_id long, text string")).collect()
+    told = {k: set() for k in by_key}
+    for r in found:
+        told[r["doc_id"]] |= set(range(r["start_word"], r["start_word"] + r["n_words"]))
+        mine, other = (by_key[r[c]].lower().split()[r[a] : r[a] + r[n]] for c, a, n in (("doc_id", "start_word", "n_words"), ("other_doc_id", "other_start", "other_words")))
+        assert chaining.common_words(np.array(mine), np.array(other)) >= r["same_words"] >= 0.8 * max(len(mine), len(other))
+    before: set[tuple] = set()
+    for k in sorted(by_key):
+        words = by_key[k].lower().split()
+        runs = [tuple(words[i : i + 50]) for i in range(len(words) - 49)]
+        due = {i + j for i, run in enumerate(runs) if run in before for j in range(50)}
+        assert due <= told[k]
+        before |= set(runs)
+    again = chaining.shared_passages(table(docs, "doc_id long, text string")).collect()
+    assert all(r["n_words"] <= len(by_key[r["doc_id"]].split()) for r in again)
+
+
 def test_alignment_in_halves(monkeypatch):
     draw = random.Random(14)
     for cells in (chaining.CELLS, 8):
