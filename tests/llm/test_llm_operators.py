@@ -359,6 +359,31 @@ def test_equal_runs_of_an_earlier_document_are_all_told(table):
     assert all(r["n_words"] <= len(by_key[r["doc_id"]].split()) for r in again)
 
 
+def test_text_that_repeats_itself_has_as_many_rows_as_cover_it(table):
+    """Runs of one word and of two, longer than those of the earlier document, and a passage that it has in three places."""
+    once, twice = ["aa"] * 120, ["bb", "cc"] * 90
+    docs = {1: [*once, *brute.prose(1, 30).split(), *twice], 2: [*brute.prose(2, 30).split(), *once * 2, *brute.prose(3, 30).split(), *twice * 2]}
+    words = [f"v{k}" for k in range(100)]
+    docs[3] = [*words[:60], *brute.prose(4, 300).split(), *words[11:80], *brute.prose(5, 300).split(), *words[31:]]
+    docs[4] = [*brute.prose(6, 30).split(), *words]
+    found = chaining.shared_passages(table([(k, " ".join(w)) for k, w in docs.items()], "doc_id long, text string")).collect()
+    told = {k: {i for r in found if r["doc_id"] == k for i in range(r["start_word"], r["start_word"] + r["n_words"])} for k in docs}
+    start = len(docs[2]) - len(twice) * 2
+    assert told[2] >= {i for i, w in enumerate(docs[2]) if w in ("aa", "bb", "cc")} and start in told[2]
+    assert told[4] >= set(range(len(docs[4]) - 100, len(docs[4])))
+    assert sum(r["doc_id"] == 2 for r in found) <= 20
+
+
+def test_fewest_runs_cover_what_all_cover():
+    draw = random.Random(4)
+    for _ in range(300):
+        runs = sorted({(draw.randrange(200), draw.randrange(40), 50 + draw.randrange(4)) for _ in range(draw.randrange(1, 40))})
+        kept = chaining._fewest(runs)
+        covered = [{i for x, _, n in some for i in range(x, x + n)} for some in (runs, kept)]
+        assert covered[0] == covered[1] and set(kept) <= set(runs) and len(kept) <= 12
+    assert chaining._fewest(apart := [(0, 100, 60), (11, 500, 69), (31, 900, 69)]) == apart
+
+
 def test_alignment_in_halves(monkeypatch):
     draw = random.Random(14)
     for cells in (chaining.CELLS, 8):
