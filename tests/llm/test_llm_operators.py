@@ -320,6 +320,22 @@ def test_a_passage_whose_every_stretch_is_in_forty_earlier_documents_is_found(ta
     assert any((r["doc_id"], r["other_doc_id"]) == (5001, 5000) and r["n_words"] >= 60 for r in found)
 
 
+@pytest.mark.parametrize(("holders", "own"), [(3, 0), (20, 12)])
+def test_an_edited_passage_whose_stretches_are_in_documents_before_and_between_is_found(table, holders, own):
+    """Neither the first holders nor the ones before the copy have it; with 20 holders on both sides only its last words are in few."""
+    words = [f"p{k}" for k in range(60)]
+    edited = [f"e{k}" if k in (9, 28, 40) else w for k, w in enumerate(words)]
+
+    def stretch(k: int) -> str:
+        parts = (words[at : at + 11] for at in range(0, 60 - own, 7))
+        return " ".join(f"{' '.join(w for w in part if int(w[1:]) < 60 - own)} {brute.prose(12_000 + 50 * k + i, 12)}" for i, part in enumerate(parts))
+
+    docs = [(k, stretch(k)) for k in (*range(holders), *range(200, 200 + holders))]
+    docs += [(key, f"{brute.prose(20_000 + key, 50)} {' '.join(w)} {brute.prose(20_100 + key, 50)}") for key, w in ((100, words), (300, edited))]
+    found = chaining.shared_passages(table(docs, "doc_id long, text string")).collect()
+    assert any((r["doc_id"], r["other_doc_id"]) == (300, 100) and r["n_words"] >= 59 for r in found)
+
+
 @pytest.mark.parametrize("kinds", ["d", "i", "sdi"])
 def test_passages_with_words_put_in_and_left_out_are_found(table, kinds):
     docs = []
