@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import quality, quantiles, sketches
+from tallyforge.registry import entries
 
 
 def rank_gap(ordered, value, p):
@@ -56,6 +57,28 @@ def test_one_scan_sketches_are_within_their_accuracy(spark, values, table):
     assert filled.filter("id % 5 > 0").exceptAll(gaps.filter("id % 5 > 0")).count() == 0
 
 
+def test_ranks_of_given_values_are_judged_exactly(spark, table, rows):
+    df = spark.createDataFrame([(float(k),) for k in range(1000)] + [(None,)], "x double").repartition(3)
+    found = table([(0.25, 249.0), (0.5, 520.0), (0.75, 735.0), (0.9, 909.0)], "p double, value double")
+    assert rows(quantiles.within_error(df, "x", found, 100)) == [(0.25, 249.0, True), (0.5, 520.0, False), (0.75, 735.0, False), (0.9, 909.0, True)]
+
+
+def test_sketch_queries_give_values_and_what_their_ranks_say(spark, tmp_path):
+    prices = [float(k * 7919 % 5000) for k in range(5000)]
+    day = dt.datetime(1995, 1, 1)
+    orders = [(k, x, "P" if k % 9 == 0 else "O", "1-URGENT", day) for k, x in enumerate(prices)]
+    spark.createDataFrame(orders, "o_orderkey long, o_totalprice double, o_orderstatus string, o_orderpriority string, o_orderdate timestamp").write.parquet(
+        str(tmp_path / "orders.parquet")
+    )
+    found = entries()["percentile_approx_column"].run(spark, str(tmp_path))
+    assert found.columns == ["p", "value", "within"] and [r["within"] for r in found.collect()] == [True] * 3
+    assert all(rank_gap(sorted(prices), r["value"], r["p"]) <= 1 / 10_000 for r in found.collect())
+    known = sorted(x for k, x in enumerate(prices) if k % 9)
+    filled = entries()["impute_median_sketch"].run(spark, str(tmp_path)).collect()
+    assert len(filled) == 5000 and all(r["within"] and r["gap"] == (r["o_orderkey"] % 9 == 0) for r in filled)
+    assert all(rank_gap(known, r["price"], 0.5) <= 0.01 if r["gap"] else r["price"] == prices[r["o_orderkey"]] for r in filled)
+
+
 def test_bitmaps_count_numbers_once_over_any_period(spark, rows):
     draw = random.Random(13)
     pairs = [(draw.randint(0, 30), draw.choice([0, 1, -5, 32_768, 32_769, 10**10, draw.randint(0, 90_000)])) for _ in range(5000)] + [(3, None)]
