@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.numbers import total
@@ -68,9 +70,16 @@ _DOCUMENTS_SQL = """WITH lines AS (
        SELECT l_orderkey, till, 'tax', 1.0, l_tax, NULL FROM lines"""
 
 
+def _formatted(pattern: str, *values: Column) -> Column:
+    """``format_string`` for %d and %s alone, by joining strings, which takes a fraction of the time."""
+    pieces = re.split("%[ds]", pattern)
+    shown = [F.coalesce(v.cast("string"), F.lit("null")) for v in values]
+    return F.concat(F.lit(pieces[0]), *(c for v, piece in zip(shown, pieces[1:], strict=True) for c in (v, F.lit(piece))))
+
+
 def _documents(t: Tables, head: str, purchase: str) -> DataFrame:
     """One document for each order: each of its lines is a purchase of two items, the second without a date."""
-    shown = F.format_string(
+    shown = _formatted(
         purchase,
         F.col("l_partkey"),
         F.col("l_quantity").cast("string"),
@@ -80,7 +89,7 @@ def _documents(t: Tables, head: str, purchase: str) -> DataFrame:
     )
     lines = t.lineitem.select("l_orderkey", "l_suppkey", F.struct("l_linenumber", shown.alias("text")).alias("line"))
     orders = lines.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("till"), F.sort_array(F.collect_list("line")).alias("lines"))
-    text = F.concat(F.format_string(head, "till"), F.array_join("lines.text", ""))
+    text = F.concat(_formatted(head, F.col("till")), F.array_join("lines.text", ""))
     return orders.select(F.col("l_orderkey").alias("document"), text.alias("text"))
 
 

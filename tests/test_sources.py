@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from tallyforge.session import _staged, remove_scratch, scratch_path, stage_table
 from tallyforge.sources import delimited, documents, relational
@@ -329,3 +330,25 @@ def test_documents_as_a_table_function_give_the_same_rows(spark, table, rows):
     documents.register_till_lines(spark, "lines_of")
     found = spark.sql("SELECT d.id, l.* FROM {docs} d, LATERAL lines_of(d.text) l", docs=df)
     assert rows(found) == rows(documents.flatten_till_documents(df)) and found.count() == 6
+
+
+def test_regular_documents_are_read_as_the_yaml_parser_reads_them(monkeypatch):
+    item = "{{nombre: {}, cantidad: {}, precio_unitario: {}, fecha: {}}}"
+    lines = [("part 12", "17.0", "200.10", "1995/01/02"), ("on x", "-3", "0.04", "1995-01-02"), ("yes", "1", "2", "1995-02-30"), ("a", "01", "1e3", "x")]
+    texts, layouts = [], documents._WRITTEN
+    for k, line in enumerate(lines):
+        rest = "\n  - producto: {nombre: tax, cantidad: 1, precio_unitario: 0.5}\n"
+        texts.append("numero_caja: 7\ncompras:\n- compra:\n  - producto: " + item.format(*line) + rest)
+        name, quantity, price, day = line
+        fields = f"cantidad: {quantity}\n{{0}}precio_unitario: {price}\n{{0}}fecha: {day}\n"
+        texts.append("numero_caja: 7\ncompras:\n  - compra:\n    - producto:\n        nombre: " + f"{name}\n        " + fields.format(" " * 8))
+        texts.append("- '- numero_caja': 7\n- '- compras':\n  - '- compra':\n    - '- nombre': " + f"{name}\n      " + fields.format(" " * 6))
+    known = [any(whole.match(t) for whole, _ in layouts) for t in texts]
+    found = [documents._items(t) for t in texts]
+    monkeypatch.setattr(documents, "_WRITTEN", ())
+    assert found == [documents._items(t) for t in texts] and known == [True] * 6 + [False] * 6
+
+
+def test_documents_are_computed_once(table, plan):
+    df = table([(1, "numero_caja: 1\ncompras: 5\n")], "id int, text string").groupBy("id").agg(F.max("text").alias("text"))
+    assert plan(documents.flatten_till_documents(df)).count("Exchange") == 1
