@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,9 @@ class Items:
                 self.words[item] = words
                 self.by_length.setdefault(len(words), []).append(item)
         self.limit = {n: int(edit_share * n) for n in self.by_length}
+        #: The words of items, numbered from 1; all others are 0.
+        self.known = {w: k for k, w in enumerate(dict.fromkeys(w for words in self.words.values() for w in words), 1)}
+        self.distinct = {i: frozenset(words) for i, words in self.words.items()}
         order = list(self.words)
         sizes = np.array([len(self.words[i]) for i in order], np.int64)
         symbols = np.concatenate([np.zeros(0, np.uint64), *(self.hashes.of(self.words[i]) for i in order)])
@@ -117,25 +121,31 @@ class Items:
         self.sorted_keys = np.sort(np.array(list(self.keys), np.uint64))
         self.size, self.need = sizes, sizes - 1 - 2 * np.array([self.limit[n] for n in sizes.tolist()], np.int64)
         # The neighbouring pairs of words that items have, each with the items that have it.
-        own = [np.unique(self._pairs(self.hashes.of(self.words[i]))) for i in order]
-        pairs = np.concatenate([np.zeros(0, np.uint64), *own])
+        own = [np.unique(self._pairs(self.numbers(self.words[i]))[1]) for i in order]
+        pairs = np.concatenate([np.zeros(0, np.int64), *own])
         owners = np.repeat(np.arange(len(order)), [len(p) for p in own])
         sort = np.argsort(pairs, kind="stable")
         self.pairs, self.first, self.count = np.unique(pairs[sort], return_index=True, return_counts=True)
         self.owners = owners[sort]
         # Tells most pairs that no item has at one look.
         self.some = np.zeros(1 << 20, bool)
-        self.some[(self.pairs & self._LOW).astype(np.int64)] = True
+        self.some[self._look(self.pairs)] = True
         #: Words that stand behind a text for windows that reach beyond it.
         self.beyond = max(self.limit.values(), default=0)
 
-    _LOW = np.uint64((1 << 20) - 1)
-
     @staticmethod
-    def _pairs(words: np.ndarray) -> np.ndarray:
-        return mixed(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
+    def _look(pairs: np.ndarray) -> np.ndarray:
+        return (mixed(pairs.view(np.uint64)) & np.uint64((1 << 20) - 1)).astype(np.int64)
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, words, repeat(0)), np.int64, len(words))
+
+    def _pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the neighbouring words that both stand in items, and a number for each such pair."""
+        at = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
+        return at, numbers[at] * (len(self.known) + 1) + numbers[at + 1]
 
-    def windows(self, words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, numbers: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and lengths of the windows that can lie within the limit of some item of that length.
 
         An edit takes at most two of the n - 1 neighbouring pairs of an item away (a word put in takes one, and another
@@ -145,12 +155,13 @@ class Items:
         made = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for n in self.by_length:
             if n - 1 - 2 * self.limit[n] <= 0:
-                made.append((np.arange(len(words)), np.full(len(words), n)))
-        if len(self.pairs) and len(words) > 1:
-            pairs = self._pairs(words)
-            at = np.flatnonzero(self.some[(pairs & self._LOW).astype(np.int64)])
-            place = np.minimum(np.searchsorted(self.pairs, pairs[at]), len(self.pairs) - 1)
-            same = self.pairs[place] == pairs[at]
+                made.append((np.arange(len(numbers)), np.full(len(numbers), n)))
+        if len(self.pairs) and len(numbers) > 1:
+            at, pairs = self._pairs(numbers)
+            some = self.some[self._look(pairs)]
+            at, pairs = at[some], pairs[some]
+            place = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+            same = self.pairs[place] == pairs
             at, place = at[same], place[same]
             times = self.count[place]
             inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -169,20 +180,27 @@ class Items:
             starts = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             made.append((starts, np.repeat(size, times)))
         starts, sizes = (np.concatenate(x) for x in zip(*made))
-        inside = (starts >= 0) & (starts + sizes <= len(words))
+        inside = (starts >= 0) & (starts + sizes <= len(numbers))
         starts, sizes = np.divmod(np.unique(starts[inside] << 32 | sizes[inside]), 1 << 32)
         inside = owner[starts] == owner[starts + sizes - 1]
         return starts[inside], sizes[inside]
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
-        """Text number, item, first word and edits: the best start for each text and item within the limit."""
+        """Text number, item, first word and edits: the best start for each text and item within the limit.
+
+        Only texts with a window are hashed. A word of the item that the range lacks takes an edit, so a candidate that lacks
+        more of them than the limit is not compared.
+        """
         worded = [plain_words(t) for t in texts]
-        behind = np.zeros(self.beyond, np.uint64)
-        words = np.concatenate([np.zeros(0, np.uint64), *(part for w in worded for part in (self.hashes.of(w), behind))])
+        behind = np.zeros(self.beyond, np.int64)
+        numbers = np.concatenate([np.zeros(0, np.int64), *(part for w in worded for part in (self.numbers(w), behind))])
         owner = np.repeat(np.arange(len(texts)), [len(w) + self.beyond for w in worded])
         first = np.concatenate([[0], np.cumsum([len(w) + self.beyond for w in worded])])
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        starts, lengths = self.windows(words, owner)
+        starts, lengths = self.windows(numbers, owner)
+        words = np.zeros(len(numbers), np.uint64)
+        for k in np.unique(owner[starts]).tolist():
+            words[first[k] : first[k] + len(worded[k])] = self.hashes.of(worded[k])
         for low in range(0, len(starts), WINDOWS):
             some, sizes = starts[low : low + WINDOWS], lengths[low : low + WINDOWS]
             made = sample_keys(words, some, sizes, self.walks)
@@ -197,7 +215,10 @@ class Items:
                 at = start - int(first[text])
                 edits, before = best.get((text, item), (self.limit[n] + 1, 0))
                 limit = edits if at < before else edits - 1
-                found = best_prefix(self.words[item], worded[text][at : at + n + self.limit[n]], limit) if limit >= 0 else limit + 1
+                told, own = worded[text][at : at + n + self.limit[n]], self.distinct[item]
+                if len(own) - len(own.intersection(told)) > limit:
+                    continue
+                found = best_prefix(self.words[item], told, limit)
                 if found <= limit:
                     best[text, item] = found, at
         return [(text, item, start, edits) for (text, item), (edits, start) in best.items()]

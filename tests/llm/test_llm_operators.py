@@ -466,6 +466,18 @@ def test_items_in_several_groups_give_the_same(table, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} >= {(k, k % 6) for k in range(12)}
 
 
+def test_only_likely_windows_are_hashed_and_compared(monkeypatch):
+    item = [f"i{k}" for k in range(50)]
+    texts = [" ".join([*(f"w{n}x{k}" for k in range(100)), *item[:-2], f"e{n}", "end"]) for n in range(20)]
+    texts += [" ".join(f"other{n}x{k}" for k in range(100)) for n in range(20)]
+    items, calls = embedding_lsh.Items([(1, " ".join(item))], 0.2, embedding_lsh.walks_needed(0.99)), []
+    plain = embedding_lsh.best_prefix
+    monkeypatch.setattr(embedding_lsh, "best_prefix", lambda a, b, limit: calls.append(limit) or plain(a, b, limit))
+    assert sorted(items.search(texts)) == [(n, 1, 100, 2) for n in range(20)]
+    assert len(calls) <= 10 * 20
+    assert not any(w.startswith(b"other") for w in items.hashes)
+
+
 def test_word_edit_distance():
     draw = random.Random(5)
     for _ in range(2000):
