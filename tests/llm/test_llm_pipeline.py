@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -75,6 +76,26 @@ def test_stages_take_messy_and_empty_tables(spark, table, tmp_path):
     assert counts == {"quality rules": 6, "line dedup": 11, "near duplicates": 11, "benchmark decontamination": 13, "bpe encoding": 13}
 
 
+@pytest.mark.parametrize("given, most", [(10_000, corpus_pipeline.BATCH_ROWS), (0, corpus_pipeline.BATCH_ROWS), (70, 70)])
+def test_stages_hand_few_documents_to_python_at_a_time(spark, table, tmp_path, given, most):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = table([(1, brute.prose(1, 120), "en", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    table(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def counted(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(setting, given)
+            stage(spark, docs, str(tmp_path))
+            sizes = spark.range(0, 3000, 1, 1).mapInArrow(counted, "n long")
+            assert max(r["n"] for r in sizes.collect()) == most
+    finally:
+        spark.conf.unset(setting)
+
+
 @pytest.mark.skipif(not os.path.isdir(BASE), reason="benchmark tables are not here")
 @pytest.mark.parametrize("name", list(entries()))
 def test_queries_run_over_whole_tables(spark, name):
