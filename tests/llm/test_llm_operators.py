@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 import brute
 import public_tokenizers
 from tallyforge.llm import bin_packing, chaining, edit_join, embedding_lsh, importance
+from tallyforge.llm.batches import mapped
 from tallyforge.llm.difference_cover import without_earlier_strings
 from tallyforge.llm.graph import components
 from tallyforge.llm.hyper_minhash import near_duplicates
@@ -222,6 +224,22 @@ def test_near_lines_of_messy_rows(messy, empty):
     assert edit_join.without_later_copies(empty).collect() == []
 
 
+@pytest.mark.parametrize("index", [True, False])
+def test_keys_of_a_slice_of_lines_take_little_memory(index):
+    lines = [f"{k} {brute.prose(k, 9)}" for k in range(30_000)]
+    batch = pa.RecordBatch.from_pydict({"text": ["\n".join(lines[k : k + 20]) for k in range(0, len(lines), 20)]})
+    assert batch.column("text").nbytes > 1 << 20
+    work = mapped(lambda piece: edit_join._keys(edit_join._distinct_lines(piece), 2, 20, index), "text", edit_join._KEYS, edit_join._SLICE)
+    tracemalloc.start()
+    try:
+        made = sum(keys.num_rows for keys in work([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert made > 2 * len(lines)
+    assert peak < 25_000_000
+
+
 def test_banded_distance():
     draw = random.Random(2)
     for _ in range(3000):
