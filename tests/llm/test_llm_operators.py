@@ -418,6 +418,62 @@ def test_fewest_runs_cover_what_all_cover():
     assert chaining._fewest(apart := [(0, 100, 60), (11, 500, 69), (31, 900, 69)]) == apart
 
 
+def _short_chains(seed: int) -> list[tuple]:
+    """Words of both sides around a chain of one run or two, from unlike texts to nearly equal ones, and its places."""
+    rng, made = random.Random(seed), []
+    for _ in range(300):
+        before, after = rng.randint(0, 64), rng.randint(0, 64)
+        share, words = rng.random(), rng.choice([30, 500, 100_000])
+        run = [rng.randrange(words) for _ in range(4)]
+        one = [rng.randrange(words) for _ in range(before)] + run + [rng.randrange(words) for _ in range(after)]
+        two = [w if rng.random() < share else rng.randrange(words) for w in one[:before]] + run
+        two += [w if rng.random() < share else rng.randrange(words) for w in one[before + 4 :]]
+        one, two = ((np.array(t, np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for t in (one, two))
+        ends = [(before, before, 1)]
+        if rng.random() < 0.4 and after > 9 and (one[before + 6 : before + 10] == two[before + 6 : before + 10]).all():
+            ends.append((before + 6, before + 6, 1))
+        made.append((one, two, *map(list, zip(*ends))))
+    return made
+
+
+def test_chains_without_enough_common_words_are_not_fetched():
+    made = _short_chains(3)
+    marks = [[(side >> np.uint64(56)).astype(np.uint8).tobytes() for side in sides] for sides in zip(*(m[:2] for m in made))]
+    first, size = np.array([m[2][0] for m in made]), np.array([m[2][-1] + 4 - m[2][0] for m in made])
+    solo = np.array([len(m[2]) == 1 for m in made])
+    kept = chaining._may_pass(*marks, first, first, size, size, solo, 80 * 50)
+    passing = np.array([len(chaining.alignment(*m)[0]) >= 40 for m in made])
+    assert not (passing & ~kept).any()
+    assert passing.sum() > 50 and (~kept).sum() > 50 and (kept & ~passing).sum() < 0.2 * len(made)
+    assert len(chaining._may_pass([], [], *np.zeros((4, 0), np.int64), np.zeros(0, bool), 4000)) == 0
+
+
+def test_words_are_fetched_for_likely_chains_only(table):
+    shared, docs = brute.prose(1, 60), []
+    for k in range(40):
+        # Every text has four words of the next one; the last two share a passage.
+        docs.append((k, " ".join([brute.prose(100 + k, 60), f"p{k} q{k} r{k} s{k}", brute.prose(200 + k, 60), f"p{k + 1} q{k + 1} r{k + 1} s{k + 1}", brute.prose(300 + k, 60)])))
+    docs += [(50, "a " + shared), (51, "b " + shared)]
+    rows = table(docs, "key long, text string")
+    seeds = [(k + 1, 60, 64, k, 124, 128, np.array([60, 124, 1], "<i4").tobytes(), k) for k in range(39)]
+    seeds.append((51, 1, 5, 50, 1, 5, np.array([1, 1, 1], "<i4").tobytes(), 99))
+    known = table(seeds, chaining._CHAIN_DDL + ", chain long")
+    found = [r["chain"] for r in chaining._likely(rows, known, 50, 80).collect()]
+    assert 99 in found and len(found) < 8
+
+
+def test_a_pair_with_one_seed_is_a_chain_if_frequent_ones_are_near():
+    columns = zip((5, 2, 3, 9, 5), (5, 3, 4, 9, 6), (6, 1, 7, 8, 7), (7, 1, 7, 8, 5), (7, 2, 7, 8, 6), (8, 1, -4, -6, 0))
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, chaining._MET)]
+    batch = pa.RecordBatch.from_arrays(arrays, schema=chaining._MET)
+    for cut in range(batch.num_rows + 1):
+        made = [r for b in chaining._chained(4.0, 7, 47)([batch[:cut], batch[cut:]]) for r in b.to_pylist()]
+        seeds = lambda *z: np.array(z, "<i4").tobytes()
+        expected = [(5, 3, 4, 8, 9, 13, seeds(4, 9, 1)), (6, 1, 7, 11, 8, 12, seeds(7, 8, 1)), (7, 2, 7, 11, 8, 12, seeds(7, 8, 1)), (8, 1, 3, 53, 5, 55, seeds(3, 5, 47))]
+        names = ("key", "other", "start", "stop", "other_start", "other_stop", "seeds")
+        assert sorted(tuple(r[c] for c in names) for r in made) == expected
+
+
 def test_alignment_in_halves(monkeypatch):
     draw = random.Random(14)
     for cells in (chaining.CELLS, 8):
