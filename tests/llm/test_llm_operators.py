@@ -6,6 +6,7 @@ import random
 import tracemalloc
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -474,6 +475,35 @@ def test_a_pair_with_one_seed_is_a_chain_if_frequent_ones_are_near():
         assert sorted(tuple(r[c] for c in names) for r in made) == expected
 
 
+def test_light_seeds_in_a_row_are_told_by_their_ends():
+    """Documents 1 and 2 share a run of ten seeds, 1 and 3 its middle, 2 and 3 that and one seed more by itself."""
+    held = {1: {k: 100 + k for k in range(10)}, 2: {5 + k: 100 + k for k in range(10)} | {40: 900}, 3: {70 + k: 103 + k for k in range(4)} | {30: 900}}
+    made = []
+    for key, seeds in held.items():
+        for place, seed in seeds.items():
+            made.append((seed, key, place, 6, seeds.get(place - 1, 0), seeds.get(place + 1, 0)))
+    made.sort()
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), chaining._SEEDED)], schema=chaining._SEEDED)
+    none = SimpleNamespace(value=[np.zeros(0, np.int64)] * 3)
+    for cut in range(batch.num_rows + 1):
+        met = pa.Table.from_batches(chaining._holders(none)([batch[:cut], batch[cut:]]), chaining._MET)
+        assert met.num_rows == 7
+        met = met.sort_by([("key", "ascending"), ("other", "ascending")]).combine_chunks().to_batches()
+        found = [r for b in chaining._chained(4.0, 7, 47)(met) for r in b.to_pylist()]
+        told = sorted((r["key"], r["other"], *np.frombuffer(r["seeds"], "<i4").tolist()) for r in found)
+        assert told == [(2, 1, 5, 0, 10), (3, 1, 70, 3, 4), (3, 2, 30, 40, 1), (3, 2, 70, 8, 4)]
+
+
+def test_ends_of_many_chains_are_aligned_as_one_by_one():
+    made = [m for m in _short_chains(5) if len(m[2]) == 1]
+    sides = [[(side >> np.uint64(32)).astype("<u4") for side in sides] for sides in zip(*(m[:2] for m in made))]
+    here, there = (np.array([m[k][0] for m in made]) for k in (2, 3))
+    ends = chaining._ends_alone(*([w.tobytes() for w in words] for words in sides), here, there, np.full(len(made), chaining.SEED))
+    for one, two, x, y, own in zip(*sides, here.tolist(), there.tolist(), ends, strict=True):
+        plain, told = (chaining.alignment(one, two, [x], [y], [1], e) for e in (None, own))
+        assert all((p == t).all() for p, t in zip(plain[:2], told[:2])) and plain[2:] == told[2:]
+
+
 def test_alignment_in_halves(monkeypatch):
     draw = random.Random(14)
     for cells in (chaining.CELLS, 8):
